@@ -6,21 +6,41 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from factloom.llm import shared, token_counts
+from factloom.llm import fingerprints, line_dedup, sharding, shared, token_counts, toxicity
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's place after a two-pass external shuffle into eight shards."""
+    return sharding.digest(sharding.shuffle_into_shards(_read(spark, sf_dir, "documents"), 8))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts of every document."""
     return token_counts.count_tokens(_read(spark, sf_dir, "documents"), shared.tokenizer_file("byte_bpe_50k.json"))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document by subword-bag embeddings."""
+    return toxicity.score_documents(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SpotSigs fingerprints of every document and of its edited text."""
+    return fingerprints.fingerprint_report(_read(spark, sf_dir, "documents"))
+
+
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines whose template recurs across documents."""
+    return line_dedup.dedup_lines(_read(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Query name to function of (spark, sf_dir)."""
-    return {f.__name__: f for f in (op7_token_counts,)}
+    return {f.__name__: f for f in (op3_sharding, op7_token_counts, op8_toxicity, op9_fingerprints, op10_line_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
