@@ -1,25 +1,29 @@
 """Toxicity by subword-bag embeddings averaged into a linear softmax.
 
-A text's bag holds the character n-grams (MIN_N to MAX_N characters, word ends
-marked) of its lower-cased words, hashed into BUCKETS rows of an embedding
-table. Averages are taken over windows of WINDOW characters, half overlapping,
-and the window likeliest to be toxic speaks for the text, so that one insult in
-a very long text is not averaged away; no part of a text is left unread (texts
-of over _BLOCK characters are cut at blanks first).
-Embeddings and softmax are trained together in numpy by Adam on at most
-``max_rows`` labelled texts and ``max_chars`` characters (the least hashes of
-the ids first). Misspellings never seen share n-gram vectors with the words
-they come from.
-
-Once trained, each bucket's part of the logit is one number, so that scoring is
-a table lookup and running sums over whole texts. Null text counts as empty;
-texts without a letter or digit get the bias alone. Equal texts get equal
-scores. Without labelled rows of both kinds the score is the share of label 1
-(0.5 without any rows). Nothing but the text enters a score.
+A text's words, each once in order of first appearance and in lower case, have
+vectors that are averages of their character n-grams' embeddings (MIN_N to MAX_N
+characters, word ends marked, hashed into BUCKETS rows). Word vectors are
+averaged over windows of WINDOW words, half overlapping and filled up with zero
+vectors, and a linear softmax turns averages into probabilities. The window
+likeliest to be toxic speaks for the text, so that one insult in a very long
+text is not averaged away; no part of a text is left unread. Embeddings and
+softmax are trained together in numpy by Adam on at most ``max_rows`` labelled
+texts and ``max_chars`` characters (least hashes of the ids first). Misspellings
+never seen share n-gram vectors with the words they come from.
+
+Once trained, each bucket's part of the log-odds is one number, so that scoring
+is a table lookup for words not met before and sums over whole texts.
+
+Null text counts as empty; texts without words get the bias alone. Equal texts
+get equal scores, whatever stands beside them. Without labelled rows of both
+kinds the score is the share of label 1 (0.5 without any rows). Nothing but the
+text enters a score. An empty table gives an empty one.
 """
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,54 +31,67 @@ from pyspark.sql import functions as F
 BITS, DIM = 18, 8
 BUCKETS = 1 << BITS
 MIN_N, MAX_N = 3, 6
-WINDOW, STEP = 160, 80
-_BLOCK = 1 << 18  # characters looked at together
-_UNIT = 1 << 24  # logits are summed as whole numbers of this part: sums do not depend on what else is in a block
-
-_WORDLIKE: list[np.ndarray] = []
-
-
-def _word_table() -> np.ndarray:
-    """True for the code points below 65536 that are letters or digits."""
-    if not _WORDLIKE:
-        _WORDLIKE.append(np.fromiter((chr(i).isalnum() for i in range(1 << 16)), bool, 1 << 16))
-    return _WORDLIKE[0]
-
-
-def grams(texts: list[str]) -> tuple[np.ndarray, list[np.ndarray]]:
-    """Where each text starts in the joined code points, and for each n the buckets at all places (-1: no n-gram starts there)."""
-    lowered = [t.lower() for t in texts]
-    joined = " " + " ".join(lowered) + " "
-    points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
-    wordlike = _word_table()[np.minimum(points, (1 << 16) - 1)] | (points >= 1 << 16)
-    points = np.where(wordlike, points, 32).astype(np.uint32)
-    blanks = np.concatenate([[0], np.cumsum(~wordlike, dtype=np.int32)])
-    ends = np.cumsum([len(t) + 1 for t in lowered])
-    starts = np.concatenate([[0], ends])
-    n_all, found = len(points), []
+WINDOW, STEP = 24, 12
+CACHED_WORDS = 1 << 18  # values a scoring process remembers at most
+_WORD = re.compile(r"\w+")
+
+
+def words_of(text: str) -> list[str]:
+    """The distinct words of a text in order of first appearance."""
+    return list(dict.fromkeys(_WORD.findall(text.lower())))
+
+
+def grams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """For every n-gram of the words: the number of its word, its bucket."""
+    points = np.frombuffer((" " + " ".join(words) + " ").encode("utf-32-le", "surrogatepass"), np.uint32)
+    is_blank = points == 32
+    blanks = np.concatenate([[0], np.cumsum(is_blank, dtype=np.int32)])
+    owner = (blanks[1:] - 1).astype(np.int32)
+    size, owners, ids = len(points), [], []
     h = points * np.uint32(0x9E3779B1)
     for n in range(2, MAX_N + 1):
-        h = (h[: n_all - n + 1] ^ (h[: n_all - n + 1] >> np.uint32(15))) * np.uint32(0x85EBCA6B) + points[n - 1 :] * np.uint32(0xC2B2AE35)
-        if n < MIN_N:
-            continue
-        mixed = h ^ (h >> np.uint32(13))
-        mixed = (mixed * np.uint32(0x27D4EB2F)) >> np.uint32(32 - BITS)
-        # blanks may stand at either end only
-        ok = blanks[n - 1 : n_all] == blanks[1 : n_all - n + 2]
-        out = np.full(n_all, -1, np.int32)
-        out[: n_all - n + 1][ok] = mixed[ok]
-        found.append(out)
-    return starts, found
-
-
-def windows(starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start and end of every window, and where each text's windows begin."""
-    lengths = np.diff(starts)
-    each = np.maximum(1, -(-(lengths - WINDOW) // STEP) + 1)
-    first = np.concatenate([[0], np.cumsum(each)])
-    inside = np.arange(first[-1]) - np.repeat(first[:-1], each)
-    begin = np.repeat(starts[:-1], each) + inside * STEP
-    return begin, np.minimum(begin + WINDOW, np.repeat(starts[1:], each)), first[:-1]
+        if size < n:
+            break
+        h = (h[: size - n + 1] ^ (h[: size - n + 1] >> np.uint32(15))) * np.uint32(0x85EBCA6B) + points[n - 1 :] * np.uint32(0xC2B2AE35)
+        if n >= MIN_N:
+            # blanks may stand at either end only
+            ok = np.flatnonzero(blanks[n - 1 : size] == blanks[1 : size - n + 2])
+            mixed = h[ok] ^ (h[ok] >> np.uint32(13))
+            ids.append(((mixed * np.uint32(0x27D4EB2F)) >> np.uint32(32 - BITS)).astype(np.int32))
+            owners.append(owner[ok])
+    if not ids:
+        return np.zeros(0, np.int32), np.zeros(0, np.int32)
+    return np.concatenate(owners), np.concatenate(ids)
+
+
+def word_values(table: np.ndarray, words: list[str]) -> np.ndarray:
+    """Each word's part of the log-odds: the mean over its n-grams."""
+    owners, ids = grams(words)
+    total = np.bincount(owners, table[ids], len(words))
+    return total / np.maximum(np.bincount(owners, minlength=len(words)), 1)
+
+
+def window_count(n_words: np.ndarray) -> np.ndarray:
+    """How many windows texts of so many distinct words have."""
+    return np.maximum(1, -(-(n_words - WINDOW) // STEP) + 1)
+
+
+def score_texts(table: np.ndarray, bias: float, texts: list[str], known: dict[str, float] | None = None) -> np.ndarray:
+    """Probability of label 1 of each text: that of its likeliest window."""
+    known = {} if known is None else known
+    bags = [words_of(t) for t in texts]
+    if len(known) > CACHED_WORDS:
+        known.clear()
+    fresh = list(dict.fromkeys(w for bag in bags for w in bag if w not in known))
+    for at in range(0, len(fresh), 1 << 15):
+        some = fresh[at : at + (1 << 15)]
+        known.update(zip(some, word_values(table, some).tolist(), strict=True))
+    out = np.empty(len(texts))
+    for i, bag in enumerate(bags):
+        sums = np.concatenate([[0.0], np.cumsum([known[w] for w in bag])])
+        begin = np.arange(int(window_count(np.int64(len(bag))))) * STEP
+        out[i] = (sums[np.minimum(begin + WINDOW, len(bag))] - sums[np.minimum(begin, len(bag))]).max() / WINDOW + bias
+    return 1 / (1 + np.exp(-np.clip(out, -30, 30)))
 
 
 class Model:
@@ -82,8 +99,8 @@ class Model:
 
     def __init__(self, seed: int = 7):
         rng = np.random.default_rng(seed)
-        self.embeddings = rng.normal(0, 0.1, (BUCKETS, DIM)).astype(np.float32)
-        self.weights = rng.normal(0, 0.3, (DIM, 2)).astype(np.float32)
+        self.embeddings = rng.normal(0, 0.02, (BUCKETS, DIM)).astype(np.float32)
+        self.weights = rng.normal(0, 0.5, (DIM, 2)).astype(np.float32)
         self.bias = np.zeros(2, np.float32)
 
     def table(self) -> tuple[np.ndarray, float]:
@@ -91,98 +108,54 @@ class Model:
         return (self.embeddings @ (self.weights[:, 1] - self.weights[:, 0])).astype(np.float32), float(self.bias[1] - self.bias[0])
 
 
-def window_logits(table: np.ndarray, bias: float, starts: np.ndarray, found: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Log-odds of each window, its n-gram count, its bounds, and where each text's windows begin."""
-    begin, end, first = windows(starts)
-    padded = np.append(np.rint(table.astype(np.float64) * _UNIT).astype(np.int64), 0)
-    value, count = np.zeros(len(found[0]), np.int64), np.zeros(len(found[0]), np.int32)
-    for ids in found:
-        value += padded[ids]
-        count += ids >= 0
-    value, count = np.concatenate([[0], np.cumsum(value)]), np.concatenate([[0], np.cumsum(count)])
-    n = count[end] - count[begin]
-    return (value[end] - value[begin]) / (np.maximum(n, 1) * float(_UNIT)) + bias, n, begin, end, first
-
-
-def parts(text: str) -> list[str]:
-    """text, or what blanks cut it into, of at most _BLOCK characters each where blanks allow."""
-    out = []
-    while len(text) > _BLOCK and (at := text.rfind(" ", 1, _BLOCK)) > 0:
-        out.append(text[:at])
-        text = text[at:]
-    return [*out, text]
-
-
-def score_texts(table: np.ndarray, bias: float, texts: list[str]) -> np.ndarray:
-    """Probability of label 1 of each text: that of its likeliest window."""
-    pieces = [(i, p) for i, t in enumerate(texts) for p in parts(t)]
-    out, start = np.full(len(texts), -np.inf), 0
-    while start < len(pieces):
-        stop, held = start, 0
-        while stop < len(pieces) and (stop == start or held + len(pieces[stop][1]) <= _BLOCK):
-            held += len(pieces[stop][1])
-            stop += 1
-        logits, _, _, _, first = window_logits(table, bias, *grams([p for _, p in pieces[start:stop]]))
-        np.maximum.at(out, [i for i, _ in pieces[start:stop]], np.maximum.reduceat(logits, first))
-        start = stop
-    return 1 / (1 + np.exp(-np.clip(out, -30, 30)))
-
-
-def train(texts: list[str], labels: np.ndarray, epochs: int = 14, batch: int = 64, rate: float = 0.05, seed: int = 7) -> Model:
-    """Joint training: the gradient of a window goes to its n-grams' embeddings and to the softmax alike.
+def train(texts: list[str], labels: np.ndarray, steps: int = 60, rate: float = 25.0, decay: float = 0.005, warm: int = 4, seed: int = 7) -> Model:
+    """Joint training over all texts at each step, by normalised gradient descent with momentum.
 
-    In the first two epochs all windows of a text speak; from then on the likeliest only.
+    Every window of a text of label 0 is of label 0; of a text of label 1 the
+    likeliest window is (in the first ``warm`` steps all are). Steps are scaled
+    by the largest gradient of any n-gram, not one by one: n-grams of many
+    texts are learnt before those of one, and decay keeps the latter small.
     """
-    model, rng = Model(seed), np.random.default_rng(seed)
-    share = min(max(labels.mean(), 1e-3), 1 - 1e-3)
+    model = Model(seed)
+    number: dict[str, int] = {}
+    bags = [np.fromiter((number.setdefault(w, len(number)) for w in words_of(t)), np.int32) for t in texts]
+    owners, ids = grams(list(number))
+    per_word = np.maximum(np.bincount(owners, minlength=len(number)), 1)
+    lengths = np.array([len(b) for b in bags])
+    flat = np.concatenate([*bags, np.zeros(0, np.int32)])
+    starts = np.concatenate([[0], np.cumsum(lengths)])
+    each = window_count(lengths)
+    first = np.concatenate([[0], np.cumsum(each)])[:-1]
+    text_of = np.repeat(np.arange(len(texts)), each)
+    begin = np.repeat(starts[:-1], each) + (np.arange(len(text_of)) - np.repeat(first, each)) * STEP
+    end = np.minimum(begin + WINDOW, np.repeat(starts[1:], each))
+    begin = np.minimum(begin, end)
+    toxic = labels[text_of] > 0.5
+    share = min(max(float(labels.mean()), 1e-3), 1 - 1e-3)
     model.bias[:] = (0, np.log(share / (1 - share)))
-    state = [(np.zeros_like(p), np.zeros_like(p)) for p in (model.embeddings, model.weights, model.bias)]
-    step = 0
-    for epoch in range(epochs):
-        order = rng.permutation(len(texts))
-        speed = rate * (1 - epoch / epochs)
-        for at in range(0, len(order), batch):
-            some = order[at : at + batch]
-            starts, found = grams([texts[i] for i in some])
-            table, bias = model.table()
-            logits, n, begin, end, first = window_logits(table, bias, starts, found)
-            y = labels[some].astype(np.float64)
-            each = np.diff(np.append(first, len(logits)))
-            if epoch < 2:
-                owner = np.repeat(np.arange(len(some)), each)
-                chosen, weight = np.arange(len(logits)), 1 / np.repeat(each, each)
-            else:
-                top = np.repeat(np.maximum.reduceat(logits, first), each)
-                is_top = np.flatnonzero(logits == top)
-                owner = np.repeat(np.arange(len(some)), each)[is_top]
-                owner, where = np.unique(owner, return_index=True)
-                chosen, weight = is_top[where], np.ones(len(owner))
-            p = 1 / (1 + np.exp(-np.clip(logits[chosen], -30, 30)))
-            slope = (p - y[owner]) * weight / len(some)
-            spread = np.zeros(len(found[0]) + 1)
-            part = slope / np.maximum(n[chosen], 1)
-            np.add.at(spread, begin[chosen], part)
-            np.add.at(spread, end[chosen], -part)
-            spread = np.cumsum(spread)[:-1]
-            live = spread != 0
-            coef = np.zeros(BUCKETS)
-            for ids in found:
-                use = live & (ids >= 0)
-                coef += np.bincount(ids[use], spread[use], BUCKETS)
-            touched = np.flatnonzero(coef)
-            away = model.weights[:, 1] - model.weights[:, 0]
-            pull = coef[touched].astype(np.float32)
-            to_w = model.embeddings[touched].T @ pull
-            step += 1
-            (m, v), e = state[0], model.embeddings
-            g = pull[:, None] * away[None, :]
-            m[touched] = 0.9 * m[touched] + 0.1 * g
-            v[touched] = 0.99 * v[touched] + 0.01 * g * g
-            e[touched] -= 4 * speed * m[touched] / (np.sqrt(v[touched]) + 1e-7)
-            for (m, v), p_, g in ((state[1], model.weights, np.stack([-to_w, to_w], 1)), (state[2], model.bias, np.array([-slope.sum(), slope.sum()], np.float32))):
-                m[:] = 0.9 * m + 0.1 * g
-                v[:] = 0.99 * v + 0.01 * g * g
-                p_ -= speed * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-7)
+    moved = [np.zeros_like(p) for p in (model.embeddings, model.weights, model.bias)]
+    for step in range(steps):
+        table, bias = model.table()
+        value = np.bincount(owners, table[ids], len(number)) / per_word
+        sums = np.concatenate([[0.0], np.cumsum(value[flat])])
+        logit = (sums[end] - sums[begin]) / WINDOW + bias
+        p = 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
+        is_top = logit == np.maximum.reduceat(logit, first)[text_of]
+        weight = np.where(toxic, (1.0 / each[text_of]) if step < warm else is_top, 1.0 / each[text_of] + is_top)
+        slope = (p - toxic) * weight / len(texts)
+        spread = np.bincount(begin, slope, len(flat) + 1) - np.bincount(end, slope, len(flat) + 1)
+        of_word = np.bincount(flat, np.cumsum(spread)[:-1], len(number)) / per_word
+        coef = np.bincount(ids, of_word[owners], BUCKETS).astype(np.float32)
+        away = model.weights[:, 1] - model.weights[:, 0]
+        to_w = model.embeddings.T @ coef
+        speed = rate * (1 - step / steps)
+        scales = (speed / (np.abs(coef).max() * (away @ away) + 1e-12), 0.01 / (np.abs(to_w).max() + 1e-12), 1.0)
+        grads = (coef[:, None] * away[None, :], np.stack([-to_w, to_w], 1), np.array([-slope.sum(), slope.sum()], np.float32))
+        for param, grad, scale, m in zip((model.embeddings, model.weights, model.bias), grads, scales, moved, strict=True):
+            m *= 0.8
+            m += scale * grad
+            param -= m
+        model.embeddings *= 1 - decay
     return model
 
 
@@ -191,7 +164,7 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, max_rows: int = 6000, max_chars: int = 32 << 20) -> tuple[list[str], np.ndarray]:
+def training_rows(docs: DataFrame, labels: DataFrame, max_rows: int = 6000, max_chars: int = 12 << 20) -> tuple[list[str], np.ndarray]:
     """Labelled texts outside the held-out fifth: the least hashes of doc_id first, up to both bounds."""
     marked = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     order = (F.xxhash64("doc_id"), F.col("doc_id"))
@@ -221,8 +194,12 @@ def score(docs: DataFrame, table: np.ndarray, bias: float, id_col: str = "doc_id
         import pyarrow as pa
 
         t, b = shared.value
+        known: dict[str, float] = {}
         for batch in batches:
-            scores = score_texts(t, b, batch.column("_text").to_pylist())
+            texts = batch.column("_text")
+            # a few hundred texts at a time: the batch itself is the only copy of all its texts
+            some = [score_texts(t, b, texts.slice(at, 256).to_pylist(), known) for at in range(0, len(texts), 256)]
+            scores = np.concatenate([*some, np.zeros(0)])
             names = [c for c in batch.schema.names if c != "_text"]
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in names], pa.array(scores, pa.float64())], [*names, "score"])
 
