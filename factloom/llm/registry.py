@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from factloom.llm import fingerprints, line_dedup, sharding, shared, token_counts, toxicity
+from factloom.llm import fingerprints, html_extraction, line_dedup, sharding, shared, token_counts, toxicity
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -18,6 +18,11 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.digest(sharding.shuffle_into_shards(_read(spark, sf_dir, "documents"), 8))
 
 
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page by minimum-cut labelling."""
+    return html_extraction.extract(_read(spark, sf_dir, "pages"))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts of every document."""
     return token_counts.count_tokens(_read(spark, sf_dir, "documents"), shared.tokenizer_file("byte_bpe_50k.json"))
@@ -40,7 +45,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Query name to function of (spark, sf_dir)."""
-    return {f.__name__: f for f in (op3_sharding, op7_token_counts, op8_toxicity, op9_fingerprints, op10_line_dedup)}
+    return {f.__name__: f for f in (op3_sharding, op5_html_extraction, op7_token_counts, op8_toxicity, op9_fingerprints, op10_line_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
