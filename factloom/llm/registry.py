@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from factloom.llm import fingerprints, html_extraction, line_dedup, sharding, shared, token_counts, toxicity
+from factloom.llm import fingerprints, html_extraction, line_dedup, mixing, sharding, shared, token_counts, toxicity
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -23,6 +24,17 @@ def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extraction.extract(_read(spark, sf_dir, "pages"))
 
 
+MIX = {"high": 0.6, "low": 0.35, "toxic": 0.05}
+
+
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's domain posterior, rate and copies for the target weights MIX."""
+    docs = _read(spark, sf_dir, "documents")
+    fitted = mixing.rates(docs, mixing.label_domains(_read(spark, sf_dir, "labels")), MIX)
+    names = [F.get("posterior", F.lit(i)).alias(f"p_{d}") for i, d in enumerate(sorted(MIX))]
+    return fitted.select("doc_id", "n_tokens", *names, "rate", mixing.copies_of(F.col("rate"), F.col("key"), 11).alias("copies"))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts of every document."""
     return token_counts.count_tokens(_read(spark, sf_dir, "documents"), shared.tokenizer_file("byte_bpe_50k.json"))
@@ -45,7 +57,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Query name to function of (spark, sf_dir)."""
-    return {f.__name__: f for f in (op3_sharding, op5_html_extraction, op7_token_counts, op8_toxicity, op9_fingerprints, op10_line_dedup)}
+    return {f.__name__: f for f in (op3_sharding, op5_html_extraction, op6_mixing, op7_token_counts, op8_toxicity, op9_fingerprints, op10_line_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
