@@ -7,13 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from factloom.llm import fingerprints, html_extraction, line_dedup, mixing, sharding, shared, token_counts, toxicity
+from factloom.llm import fingerprints, html_extraction, line_dedup, mixing, piece_sampling, sharding, shared, token_counts, toxicity
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op1_piece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two distinct sampled segmentations of every document, with inclusion scores."""
+    return piece_sampling.sample_encode(_read(spark, sf_dir, "documents"), shared.tokenizer_file("piece_bpe_32k.model"), k=2)
+
+
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's place after a two-pass external shuffle into eight shards."""
     return sharding.digest(sharding.shuffle_into_shards(_read(spark, sf_dir, "documents"), 8))
@@ -57,7 +62,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Query name to function of (spark, sf_dir)."""
-    return {f.__name__: f for f in (op3_sharding, op5_html_extraction, op6_mixing, op7_token_counts, op8_toxicity, op9_fingerprints, op10_line_dedup)}
+    return {f.__name__: f for f in (op1_piece_sampling, op3_sharding, op5_html_extraction, op6_mixing, op7_token_counts, op8_toxicity, op9_fingerprints, op10_line_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
