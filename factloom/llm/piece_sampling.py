@@ -276,11 +276,13 @@ def sample_rows(pieces: Pieces, texts: list[str], keys: np.ndarray, k: int) -> l
 
     def draw(jobs: list[tuple[int, int, float, _Path | None, list[int], float]], number: int) -> None:
         """For (row, from unit, value, parent, edges of the unit before it, their log-probability): the row's next path."""
+        if not jobs:
+            return
         todo = [per_row[r][i:] for r, i, *_ in jobs]
         sizes = [len(t) for t in todo]
         flat = np.concatenate([*todo, np.zeros(0, np.int64)])
         row_seed = _seeds(base[[j[0] for j in jobs]], number)
-        where = np.concatenate([np.arange(j[1], j[1] + n) for j, n in zip(jobs, sizes, strict=True)]) if jobs else flat
+        where = np.concatenate([np.arange(j[1], j[1] + n) for j, n in zip(jobs, sizes, strict=True)])
         seeds = _seeds(np.repeat(row_seed, sizes), where)
         edges, offset, logp = lattice.sample(flat, seeds)
         running = np.concatenate([[0.0], np.cumsum(logp)])
