@@ -13,7 +13,8 @@ what is said stays. ``keep_first=False`` drops that one too.
 Lines of fewer than ``min_tokens`` tokens, blank lines included, are never
 dropped. Null text stays null. Documents that are equal in id and text count
 once. A document may be left with the empty text. An empty table gives an empty
-one. The columns of docs come back as they were, with the text replaced.
+one. The columns of docs come back as they were, with the text replaced
+(and ``length_col``, where there is one, brought up to date).
 """
 
 from __future__ import annotations
@@ -32,18 +33,28 @@ def _row_key(id_col: str, text_col: str) -> Column:
     return F.xxhash64(F.col(id_col).cast("string"), F.col(text_col))
 
 
-def _tokens(line: Column) -> Column:
-    spaced = F.trim(F.regexp_replace(line, r"\s+", " "))
-    masked = F.when(spaced.rlike("[0-9]"), F.regexp_replace(spaced, r"[^ ]*[0-9][^ ]*", VARIABLE)).otherwise(spaced)
-    return F.split(masked, " ")
+def _masked(line: Column) -> Column:
+    """The line with single spaces between its tokens, those that hold a digit made variable."""
+    untidy = line.contains("  ") | line.contains("\t") | line.contains("\r") | line.contains("\f") | line.contains("\x0b")
+    spaced = F.trim(F.when(untidy, F.regexp_replace(line, r"\s+", " ")).otherwise(line))
+    return F.when(spaced.rlike("[0-9]"), F.regexp_replace(spaced, r"[^ ]*[0-9][^ ]*", VARIABLE)).otherwise(spaced)
 
 
-def parsed_lines(docs: DataFrame, min_tokens: int, id_col: str, text_col: str) -> DataFrame:
-    """key, id, line_no, n, leaf, template and tokens of every line of min_tokens tokens or more."""
+def parsed_lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """key, id, line_no, n (tokens), leaf and template of every line."""
     lines = docs.select(F.col(id_col).alias("id"), _row_key(id_col, text_col).alias("key"), F.posexplode(F.split(text_col, "\n")).alias("line_no", "line"))
-    lines = lines.withColumn("tokens", _tokens(F.col("line"))).withColumn("n", F.size("tokens")).where(F.col("n") >= min_tokens)
-    leading = [F.get("tokens", F.lit(i)) for i in range(DEPTH)]
-    return lines.select("id", "key", "line_no", "n", F.xxhash64("n", *leading).alias("leaf"), F.xxhash64("n", F.array_join("tokens", " ")).alias("template"), "tokens")
+    lines = lines.withColumn("masked", _masked(F.col("line")))
+    n = F.when(F.col("masked") == "", 0).otherwise(F.char_length("masked") - F.char_length(F.replace("masked", F.lit(" "), F.lit(""))) + 1)
+    return lines.select("id", "key", "line_no", n.alias("n"), F.xxhash64(n, F.substring_index("masked", " ", DEPTH)).alias("leaf"), F.xxhash64(n, "masked").alias("template"))
+
+
+def line_tokens(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """id, key, line_no, n, leaf, at and token (its hash) of the wanted lines (key, line_no, n, leaf)."""
+    per_row = wanted.groupBy("key").agg(F.collect_list(F.struct("line_no", "n", "leaf")).alias("wanted")).withColumnRenamed("key", "_key")
+    rows = docs.select(F.col(id_col).alias("id"), _row_key(id_col, text_col).alias("key"), F.col(text_col).alias("text"))
+    met = rows.join(F.broadcast(per_row) if wanted.count() <= SMALL_ROWS else per_row, F.col("key") == F.col("_key")).select("id", "key", F.split("text", "\n").alias("lines"), F.explode("wanted").alias("w"))
+    tokens = met.select("id", "key", "w.*", F.split(_masked(F.get("lines", F.col("w.line_no"))), " ").alias("tokens"))
+    return tokens.select("id", "key", "line_no", "n", "leaf", F.posexplode(F.transform("tokens", lambda t: F.xxhash64(t))).alias("at", "token"))
 
 
 def _checked(small: DataFrame) -> DataFrame:
@@ -59,15 +70,14 @@ def _recurring(found: DataFrame, by: str, min_docs: int) -> DataFrame:
 
 def dropped_lines(docs: DataFrame, min_docs: int = 3, min_tokens: int = 3, similarity: float = 0.7, keep_first: bool = True, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """key (of a row's id and text) and line_no of the lines to drop."""
-    lines = parsed_lines(docs, min_tokens, id_col, text_col)
+    lines = cut(parsed_lines(docs, id_col, text_col)).where(F.col("n") >= min_tokens)
     exact = cut(_recurring(lines, "template", min_docs).select("template", "first"))
     known = _checked(exact.select("template"))
     # lines of up to DEPTH tokens are their own leaves: nothing is left to generalise
     longer = lines.where(F.col("n") > DEPTH)
     leaves = cut(longer.groupBy("leaf", "key").agg(F.lit(1).alias("one")).groupBy("leaf").count().where(F.col("count") >= min_docs).select("leaf"))
-    rest = longer.join(_checked(leaves), "leaf", "left_semi").join(known, "template", "left_anti")
-    rest = rest.select("id", "key", "line_no", "n", "leaf", F.posexplode(F.transform("tokens", lambda t: F.xxhash64(t))).alias("at", "token"))
-    rest = cut(rest)
+    rest = cut(longer.join(_checked(leaves), "leaf", "left_semi").join(known, "template", "left_anti").select("key", "line_no", "n", "leaf").distinct())
+    rest = cut(line_tokens(docs, rest, id_col, text_col))
     fixed = rest.groupBy("leaf", "at", "token", "key").agg(F.lit(1).alias("one")).groupBy("leaf", "at", "token").count().where(F.col("count") >= min_docs).drop("count")
     general = rest.join(fixed, ["leaf", "at", "token"]).groupBy("id", "key", "line_no", "n", "leaf").agg(F.sort_array(F.collect_list(F.struct("at", "token"))).alias("kept"))
     general = general.where(F.size("kept") >= F.col("n") * similarity)
@@ -83,11 +93,12 @@ def dropped_lines(docs: DataFrame, min_docs: int = 3, min_tokens: int = 3, simil
     return to_drop(lines, _checked(exact)).unionByName(to_drop(general, _recurring(general, "template", min_docs).select("template", "first")))
 
 
-def dedup_lines(docs: DataFrame, min_docs: int = 3, min_tokens: int = 3, similarity: float = 0.7, keep_first: bool = True, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def dedup_lines(docs: DataFrame, min_docs: int = 3, min_tokens: int = 3, similarity: float = 0.7, keep_first: bool = True, id_col: str = "doc_id", text_col: str = "text", length_col: str = "n_chars") -> DataFrame:
     """docs, each text without its lines whose template recurs across documents."""
     drops = dropped_lines(docs, min_docs, min_tokens, similarity, keep_first, id_col, text_col)
     per_row = drops.groupBy("key").agg(F.collect_set("line_no").alias("numbers")).toDF("_drop_key", "_drop_numbers")
     joined = docs.join(per_row, _row_key(id_col, text_col) == F.col("_drop_key"), "left")
     left = F.array_join(F.filter(F.split(text_col, "\n"), lambda line, i: ~F.array_contains("_drop_numbers", i)), "\n")
     text = F.when(F.col("_drop_numbers").isNull(), F.col(text_col)).otherwise(left)
-    return joined.select(*[text.alias(c) if c == text_col else docs[c] for c in docs.columns])
+    new = {text_col: text, length_col: F.char_length(text).cast(docs.schema[length_col].dataType)} if length_col in docs.columns else {text_col: text}
+    return joined.select(*[new[c].alias(c) if c in new else docs[c] for c in docs.columns])
