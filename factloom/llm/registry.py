@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from factloom.llm import fingerprints, html_extraction, line_dedup, mixing, piece_sampling, sharding, shared, token_counts, toxicity
+from factloom.llm import fingerprints, html_extraction, jaccard_join, line_dedup, mixing, piece_sampling, sharding, shared, token_counts, toxicity
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -24,6 +24,11 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.digest(sharding.shuffle_into_shards(_read(spark, sf_dir, "documents"), 8))
 
 
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose 3-word shingle sets have a Jaccard similarity of 0.9 or more."""
+    return jaccard_join.near_duplicates(_read(spark, sf_dir, "documents"), width=3, percent=90).select("doc_id", "n_shingles", "component_id")
+
+
 def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The main text of every page by minimum-cut labelling."""
     return html_extraction.extract(_read(spark, sf_dir, "pages"))
@@ -62,7 +67,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Query name to function of (spark, sf_dir)."""
-    return {f.__name__: f for f in (op1_piece_sampling, op3_sharding, op5_html_extraction, op6_mixing, op7_token_counts, op8_toxicity, op9_fingerprints, op10_line_dedup)}
+    return {f.__name__: f for f in (op1_piece_sampling, op3_sharding, op4_jaccard_join, op5_html_extraction, op6_mixing, op7_token_counts, op8_toxicity, op9_fingerprints, op10_line_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
