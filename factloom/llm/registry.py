@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from factloom.llm import fingerprints, html_extraction, jaccard_join, line_dedup, mixing, piece_sampling, sharding, shared, token_counts, toxicity
+from factloom.llm import fingerprints, html_extraction, jaccard_join, line_dedup, mixing, nearest, piece_sampling, sharding, shared, token_counts, toxicity
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -19,6 +19,11 @@ def op1_piece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_sampling.sample_encode(_read(spark, sf_dir, "documents"), shared.tokenizer_file("piece_bpe_32k.model"), k=2)
 
 
+def op2_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest rows, by inner product, of every row whose vec_id is divisible by 20."""
+    return nearest.nearest(_read(spark, sf_dir, "embeddings"))
+
+
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's place after a two-pass external shuffle into eight shards."""
     return sharding.digest(sharding.shuffle_into_shards(_read(spark, sf_dir, "documents"), 8))
@@ -67,7 +72,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Query name to function of (spark, sf_dir)."""
-    return {f.__name__: f for f in (op1_piece_sampling, op3_sharding, op4_jaccard_join, op5_html_extraction, op6_mixing, op7_token_counts, op8_toxicity, op9_fingerprints, op10_line_dedup)}
+    return {f.__name__: f for f in (op1_piece_sampling, op2_nearest, op3_sharding, op4_jaccard_join, op5_html_extraction, op6_mixing, op7_token_counts, op8_toxicity, op9_fingerprints, op10_line_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
