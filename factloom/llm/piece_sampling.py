@@ -30,13 +30,14 @@ empty table gives an empty table.
 from __future__ import annotations
 
 import re
+from itertools import chain
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SHIFT = 10.0
-BATCH_CHARS = 1_000_000
+BATCH_CHARS = 2_000_000
 BLANK = "▁"
 _UNIT = re.compile(r" +[^ \n]*|[^ \n]+|\n")
 _DENSE = 256
@@ -146,37 +147,43 @@ class Lattice:
         node_of = np.arange(len(points)) + np.repeat(np.arange(len(units)), lengths)
         left = np.repeat(ends, lengths) - np.arange(len(points))  # characters from here to the unit's end
         code = pieces.code[points]
-        at, state, depth = np.arange(len(points)), np.zeros(len(points), np.int32), 0
-        src, piece, size = [], [], []
+        single = np.zeros(len(points), bool)
+        at, state, depth = np.arange(len(points), dtype=np.int32), np.zeros(len(points), np.int32), 0
+        held = np.zeros(len(points), np.int32)  # edges found so far at each character, shortest first
+        found: list[tuple[np.ndarray, np.ndarray, np.ndarray, int]] = []
         while len(at):
             state = pieces.step(state, code[at + depth])
             depth += 1
-            alive = state >= 0
+            alive = np.flatnonzero(state >= 0)
             at, state = at[alive], state[alive]
-            found = pieces.ends[state]
-            ok = found >= 0
-            src.append(at[ok])
-            piece.append(found[ok])
-            size.append(np.full(int(ok.sum()), depth, np.int32))
-            more = left[at] > depth
+            ended = pieces.ends[state]
+            ok = np.flatnonzero(ended >= 0)
+            where = at[ok]
+            found.append((where, held[where], ended[ok], depth))
+            held[where] += 1
+            if depth == 1:
+                single = held > 0
+            more = np.flatnonzero(left[at] > depth)
             at, state = at[more], state[more]
-        single = np.zeros(len(points), bool)
-        if src:
-            single[src[0]] = True
-        strange = np.flatnonzero(~single)
-        src.append(strange)
-        piece.append((-1 - points[strange]).astype(np.int32))  # to be spelt in bytes
-        size.append(np.ones(len(strange), np.int32))
-        src, piece, size = np.concatenate(src), np.concatenate(piece), np.concatenate(size)
-        n_bytes = 1 + (points[strange] > 0x7F) + (points[strange] > 0x7FF) + (points[strange] > 0xFFFF)
-        logp = np.concatenate([pieces.logp[piece[: len(piece) - len(strange)]], pieces.byte_logp * n_bytes])
-        order = np.argsort(src, kind="stable")
-        src, piece, size, logp = src[order], piece[order], size[order], logp[order]
-        self.piece, self.logp = piece, logp
+        strange = np.flatnonzero(~single) if found else np.zeros(0, np.int64)
+        one_byte = points[strange] < 0x80
+        spelt = np.where(one_byte, pieces.byte_id[np.minimum(points[strange], 0x7F)], -1 - points[strange])  # the others are spelt in bytes later
+        found.append((strange, held[strange], spelt.astype(np.int32), 1))
+        held[strange] += 1
+        start_of = np.concatenate([[0], np.cumsum(held)])
+        self.piece, size = np.empty(start_of[-1], np.int32), np.empty(start_of[-1], np.int32)
+        for where, rank, piece, length in found:
+            to = start_of[where] + rank
+            self.piece[to], size[to] = piece, length
+        src = np.repeat(np.arange(len(points), dtype=np.int32), held)
+        logp = pieces.logp[np.maximum(self.piece, 0)]
+        for e in np.flatnonzero(self.piece < 0).tolist():
+            logp[e] = pieces.byte_logp * len(chr(-1 - int(self.piece[e])).encode("utf-8", "surrogatepass"))
+        self.logp = logp
         self.src = node_of[src]
         self.dst = self.src + size
         nodes = len(points) + len(units)
-        self.first = np.searchsorted(self.src, np.arange(nodes + 1))
+        self.first = np.concatenate([[0], np.cumsum(np.bincount(self.src, minlength=nodes))])
         # backward sums, from the units' ends to their starts
         self.beta = np.zeros(nodes)
         far = left[src]
@@ -195,11 +202,21 @@ class Lattice:
         self.q = np.exp(logp + self.beta[self.dst] - self.beta[self.src])
         running = np.cumsum(self.q)
         before = np.concatenate([[0.0], running])[self.first[:-1]]
-        self.cum = running - before[self.src]
+        cum = running - before[self.src]
         has = self.first[1:] > self.first[:-1]
-        self.cum[self.first[1:][has] - 1] = 1.0
-        self.key = self.src + np.minimum(self.cum, 1.0)
+        cum[self.first[1:][has] - 1] = 1.0
+        self.key = self.src + np.minimum(cum, 1.0)
         self.final = ~has
+        # the likeliest edge of each node is tried before the search
+        self.top = np.zeros(nodes, np.int64)
+        self.top_q, self.top_from = np.zeros(nodes), np.zeros(nodes)
+        if len(self.q):
+            begins = self.first[:-1][has]
+            most = np.maximum.reduceat(self.q, begins)
+            is_top = np.flatnonzero(self.q == np.repeat(most, np.diff(np.append(begins, len(self.q)))))
+            self.top[self.src[is_top]] = is_top  # of equals the last
+            self.top_q[has] = self.q[self.top[has]]
+            self.top_from[has] = np.where(self.top[has] > begins, cum[np.maximum(self.top[has] - 1, 0)], 0.0)
 
     def sample(self, unit: np.ndarray, seeds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Each unit's path by ancestral sampling: edges one unit after another, where each unit's begin, its log-probability."""
@@ -208,7 +225,12 @@ class Lattice:
         steps: list[tuple[np.ndarray, np.ndarray]] = []
         while len(who):
             u = _uniform(_seeds(seeds[who], len(steps)))
-            edge = np.minimum(np.searchsorted(self.key, node + u, side="right"), self.first[node + 1] - 1)
+            edge, most = self.top[node], self.top_q[node]
+            others = np.flatnonzero(u >= most)
+            if len(others):
+                at, u = node[others], u[others] - most[others]
+                u = np.where(u >= self.top_from[at], u + most[others], u)  # past the likeliest edge's share
+                edge[others] = np.clip(np.searchsorted(self.key, at + u, side="right"), self.first[at], self.first[at + 1] - 1)
             steps.append((who, edge))
             node = self.dst[edge]
             going = ~self.final[node]
@@ -266,8 +288,9 @@ def _bounds(before: np.ndarray, logp: np.ndarray, top: np.ndarray | float, seeds
 def sample_rows(pieces: Pieces, texts: list[str], keys: np.ndarray, k: int) -> list[list[tuple[np.ndarray, float, float, float]]]:
     """For each text: up to k of (ids, log-probability, perturbed value, log inclusion probability), best first."""
     units = [_UNIT.findall(" " + t.replace(BLANK, " ")) if t else [] for t in texts]
-    kinds: dict[str, int] = {}
-    per_row = [np.fromiter((kinds.setdefault(u, len(kinds)) for u in row), np.int64, len(row)) for row in units]
+    kinds = dict.fromkeys(chain.from_iterable(units))
+    number_of = dict(zip(kinds, range(len(kinds)), strict=True)).__getitem__
+    per_row = [np.array(list(map(number_of, row)), np.int64) for row in units]
     del units
     lattice = Lattice(pieces, list(kinds))
     base = _seeds(np.asarray(keys).astype(np.int64).view(np.uint64), 0)
