@@ -38,8 +38,9 @@ def row_key(id_col: str = "doc_id", text_col: str = "text") -> Column:
 
 
 def _words(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    split = F.split(F.replace(F.lower(text_col), F.lit("\n"), F.lit(" ")), " ")
-    return docs.select(F.col(id_col).alias("doc_id"), row_key(id_col, text_col).alias("key"), F.explode(split).alias("word")).where("word <> ''").select("doc_id", "key", F.pmod(F.xxhash64("word"), F.lit(BUCKETS)).cast("int").alias("bucket"))
+    # the key is made before the words are: beside explode() it would be made for every word
+    rows = docs.select(F.col(id_col).alias("doc_id"), row_key(id_col, text_col).alias("key"), F.replace(F.lower(text_col), F.lit("\n"), F.lit(" ")).alias("text"))
+    return rows.select("doc_id", "key", F.explode(F.split("text", " ")).alias("word")).where("word <> ''").select("doc_id", "key", F.pmod(F.xxhash64("word"), F.lit(BUCKETS)).cast("int").alias("bucket"))
 
 
 def fit_classifier(docs: DataFrame, labelled: DataFrame, domains: list[str], max_labelled: int = 20_000, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, list[float]]:
