@@ -9,7 +9,8 @@ right whatever the data), each step one aggregate over all documents. A rate is
 a fold over the steps' gradients (one number a domain), never a row kept back.
 
 ``mix`` turns rates into whole copies: the rate's floor, and one more with the
-rest as probability, drawn by a seeded hash of the row.
+rest as probability, drawn by a seeded hash of the row; a rate less than NEARLY
+below a whole number counts as that number.
 
 The classifier may be fitted on at most ``max_labelled`` labelled documents (the
 least hashes of doc_id); everything else covers all rows. Texts without words,
@@ -30,6 +31,7 @@ from factloom.llm.shared import cut
 BUCKETS = 4096
 EVIDENCE_WORDS = 32.0  # a text's mean log-likelihood counts as that of so many words at most
 SMOOTHING = 0.5
+NEARLY = 0.005
 
 
 def row_key(id_col: str = "doc_id", text_col: str = "text") -> Column:
@@ -125,7 +127,8 @@ def rates(docs: DataFrame, labelled: DataFrame, weights: dict[str, float], budge
 def copies_of(rate: Column, key: Column, seed: int) -> Column:
     """Whole copies for a rate: its floor, and one more with the rest as probability."""
     draw = F.shiftrightunsigned(F.xxhash64(F.lit(seed), key), 11) / float(1 << 53)
-    return (F.floor(rate) + F.when(draw < rate - F.floor(rate), 1).otherwise(0)).cast("int")
+    whole = F.floor(rate + NEARLY)
+    return (whole + F.when(draw < rate - whole, 1).otherwise(0)).cast("int")
 
 
 def mix(docs: DataFrame, labelled: DataFrame, weights: dict[str, float], budget: str = "total", seed: int = 11, max_labelled: int = 20_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
