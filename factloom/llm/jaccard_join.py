@@ -15,10 +15,12 @@ Two documents link if 100 * |A and B| >= percent * |A or B|.
 4. Groups that share a prefix token meet that token's pivot group (fewest own
    tokens); members are verified against the group's and the pivot's first
    member on whole sets, and components taken.
-5. Where a token still joins several components, pairs of members across them
-   that size and own tokens allow are verified too: no link between components
-   can be missed. Sizes are part of the join key, so that classes too different
-   in size never meet.
+5. Where a token still joins several components, pairs across them are looked
+   for in two ways that together miss none. If what the two have in common with
+   the token's pivot may be enough, sizes must be close: they meet by token and
+   size. If not, they share a token that the pivot lacks: they meet by pivot and
+   such a token, again in prefixes only. So neither a passage of many documents
+   nor a large group of copies makes its members meet one another.
 
 Sets are compared by 64-bit hashes of their shingles. Null and empty texts have
 size 0 and link with nothing. Equal texts, and repeated rows, are one class.
@@ -45,6 +47,10 @@ def _signed(hashes: np.ndarray) -> np.ndarray:
     return (hashes ^ np.uint64(1 << 63)).view(np.int64)
 
 
+def _row_hash(id_col: str, text_col: str) -> Column:
+    return F.xxhash64(F.col(id_col).cast("string"), F.col(text_col))
+
+
 def _prefix_length(n, percent: int):
     return n - (percent * n + 99) // 100 + 1
 
@@ -59,8 +65,8 @@ def _sets(batch, width: int):
 
 
 def set_classes(docs: DataFrame, width: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, class (a 64-bit hash of the set) and n of every row."""
-    kept = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    """doc_id, row (a hash of id and text), class (a 64-bit hash of the set) and n of every row."""
+    kept = docs.select(F.col(id_col).alias("doc_id"), _row_hash(id_col, text_col).alias("row"), F.col(text_col).alias("text"))
     id_type = kept.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
@@ -70,9 +76,9 @@ def set_classes(docs: DataFrame, width: int, id_col: str = "doc_id", text_col: s
 
         for batch in batches:
             found = [(set_identity(s)[0], len(s)) for _, some in _sets(batch, width) for s in some]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([x[0] for x in found], pa.int64()), pa.array([x[1] for x in found], pa.int64())], ["doc_id", "class", "n"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("row"), pa.array([x[0] for x in found], pa.int64()), pa.array([x[1] for x in found], pa.int64())], ["doc_id", "row", "class", "n"])
 
-    return kept.mapInArrow(run, f"doc_id {id_type}, class long, n long")
+    return kept.mapInArrow(run, f"doc_id {id_type}, row long, class long, n long")
 
 
 def _tokens(texts: DataFrame, width: int, percent: int, share: float, least: int) -> DataFrame:
@@ -107,14 +113,19 @@ def _own_tokens(tokens: DataFrame) -> DataFrame:
     return tokens.groupBy("token").agg(F.min("class").alias("class"), F.max("class").alias("other")).where("class = other").groupBy("class").agg(F.count(F.lit(1)).alias("own"))
 
 
-def _still_possible(n1: Column, own1: Column, n2: Column, own2: Column, percent: int) -> Column:
-    """Whether sizes and own tokens leave room for a link."""
-    most = F.least(n1 - own1, n2 - own2)
+def _still_possible(n1: Column, most1: Column, n2: Column, most2: Column, percent: int) -> Column:
+    """Whether sizes, and the most tokens either can have in common with another, leave room for a link."""
+    most = F.least(most1, most2)
     return 100 * most >= percent * (n1 + n2 - most)
 
 
-def verify(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs (a, b) of classes whose whole sets link; texts has class and text."""
+def compared(pairs: DataFrame, texts: DataFrame, width: int, percent: int, with_rest: bool = False) -> DataFrame:
+    """For pairs (a, b) of classes, on whole sets: both (tokens in common), linked and rest.
+
+    rest, if asked for, is the prefix, by hash, of a's tokens that b has not: any
+    class that links with a shares one of them, unless sizes let the tokens that
+    a and b have in common be enough. texts has class and text.
+    """
     one = texts.select(F.col("class").alias("a"), F.col("text").alias("text_a"))
     two = texts.select(F.col("class").alias("b"), F.col("text").alias("text_b"))
     full = pairs.join(one, "a").join(two, "b")
@@ -127,22 +138,32 @@ def verify(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> Data
         for batch in batches:
             a, b = batch.column("a"), batch.column("b")
             ta, tb = batch.column("text_a").cast("binary"), batch.column("text_b").cast("binary")
-            linked = []
+            common, linked, rest = [], [], []
             for at in range(0, len(a), SLICE):
                 xs, ys = ta.slice(at, SLICE).to_pylist(), tb.slice(at, SLICE).to_pylist()
                 distinct = {t: i for i, t in enumerate(dict.fromkeys([*xs, *ys]))}
                 sets = shingle_sets(list(distinct), width)
                 for x, y in zip(xs, ys, strict=True):
                     x, y = sets[distinct[x]], sets[distinct[y]]
-                    if len(x) > len(y):
-                        x, y = y, x
-                    where = np.minimum(np.searchsorted(y, x), max(len(y) - 1, 0))
-                    both = int((y[where] == x).sum()) if len(x) else 0
-                    linked.append(both > 0 and 100 * both >= percent * (len(x) + len(y) - both))
-            keep = pa.array(linked, pa.bool_())
-            yield pa.RecordBatch.from_arrays([a.filter(keep), b.filter(keep)], ["a", "b"])
-
-    return full.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
+                    if not len(x) or not len(y):
+                        common.append(0)
+                        linked.append(False)
+                        rest.append(None)
+                        continue
+                    where = np.minimum(np.searchsorted(y, x), len(y) - 1)
+                    shared = y[where] == x
+                    both = int(shared.sum())
+                    common.append(both)
+                    linked.append(100 * both >= percent * (len(x) + len(y) - both))
+                    if with_rest:
+                        own = x[~shared]
+                        needed = max(1, -(-percent * len(x) // 100) - both)
+                        rest.append(_signed(own[: max(0, len(own) - needed + 1)]).tolist())
+                    else:
+                        rest.append(None)
+            yield pa.RecordBatch.from_arrays([a, b, pa.array(common, pa.int64()), pa.array(linked, pa.bool_()), pa.array(rest, pa.list_(pa.int64()))], ["a", "b", "both", "linked", "rest"])
+
+    return full.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long, both long, linked boolean, rest array<long>")
 
 
 def class_links(docs: DataFrame, classes: DataFrame, width: int, percent: int, id_col: str, text_col: str) -> DataFrame:
@@ -170,26 +191,37 @@ def class_links(docs: DataFrame, classes: DataFrame, width: int, percent: int, i
     groups = cut(left.groupBy("n", "own", "tokens").agg(F.min("class").alias("group")))
     members = cut(left.join(groups, ["n", "own", "tokens"]).select("class", "group", "n", "own"))
     keyed = cut(groups.select("group", "n", "own", F.explode("tokens").alias("token")))
-    pivots = keyed.groupBy("token").agg(F.min(F.struct("own", "n", "group")).alias("pivot"), F.count(F.lit(1)).alias("groups")).where("groups > 1")
-    near = keyed.join(pivots, "token").where("group <> pivot.group").where(_still_possible(F.col("n"), F.col("own"), F.col("pivot.n"), F.col("pivot.own"), percent))
-    near = near.select("group", F.col("pivot.group").alias("pivot")).distinct()
+    pivots = cut(keyed.groupBy("token").agg(F.min(F.struct("own", "n", "group")).alias("pivot"), F.count(F.lit(1)).alias("groups")).where("groups > 1").select("token", F.col("pivot.group").alias("pivot")))
+    near = keyed.join(pivots, "token").where("group <> pivot").select("group", "pivot").distinct()
     pairs = members.join(near, "group").select(F.col("class").alias("a"), F.col("pivot").alias("b"))
-    inside = members.where("class <> group").where(_still_possible(F.col("n"), F.col("own"), F.col("n"), F.col("own"), percent)).select(F.col("class").alias("a"), F.col("group").alias("b"))
-    links = cut(verify(pairs.union(inside).distinct(), texts, width, percent))
+    inside = members.where("class <> group").select(F.col("class").alias("a"), F.col("group").alias("b"))
+    star = cut(compared(pairs.union(inside).distinct(), texts, width, percent, with_rest=True))
+    links = star.where("linked").select("a", "b")
 
     parts = connected_components(links)
-    placed = members.join(parts, members["class"] == parts["node"], "left").select("class", "group", "n", "own", F.coalesce("component", "class").alias("component"))
-    spread = cut(keyed.select("group", "token").join(placed, "group"))
+    placed = cut(members.join(parts, members["class"] == parts["node"], "left").select("class", "group", "n", "own", F.coalesce("component", "class").alias("component")))
+    spread = cut(keyed.select("group", "token").join(pivots, "token").join(placed, "group").select("token", "pivot", "class", "n", "own", "component"))
     divided = spread.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("token")
-    spread = spread.join(divided, "token").select("token", "class", "n", "own", "component")
-    # from the larger to the smaller or equal: sizes that the larger's own tokens allow
-    fits = F.floor((F.col("n") - F.col("own")) * (100 + percent) / percent + 1e-9) - F.col("n")
-    low, high = F.ceil(F.col("n") * percent / 100 - 1e-9), F.least(F.col("n"), fits)
-    asking = spread.where(high >= low).select("token", F.col("class").alias("a"), F.col("n").alias("n_a"), F.col("own").alias("own_a"), F.col("component").alias("part_a"), F.explode(F.sequence(_size_cell(low), _size_cell(high))).alias("cell"))
-    asked = spread.select("token", F.col("class").alias("b"), F.col("n").alias("n_b"), F.col("own").alias("own_b"), F.col("component").alias("part_b"), _size_cell(F.col("n")).alias("cell"))
-    across = asking.join(asked, ["token", "cell"]).where("part_a <> part_b").where("n_a > n_b or n_a = n_b and a < b").where(_still_possible(F.col("n_a"), F.col("own_a"), F.col("n_b"), F.col("own_b"), percent))
-    more = cut(verify(across.select("a", "b").distinct(), texts, width, percent))
-    drop_cut(spread)
+    # a class has at most so many tokens in common with another that shares none of its rest
+    measured = star.select(F.col("a").alias("class"), F.col("b").alias("pivot"), "both")
+    spread = spread.join(divided, "token").join(measured, ["class", "pivot"], "left")
+    spread = spread.select("token", "class", "n", F.least(F.col("n") - F.col("own"), F.coalesce("both", "n")).alias("most"), "component")
+    # from the larger to the smaller or equal, by the sizes that this leaves
+    low, high = F.ceil(F.col("n") * percent / 100 - 1e-9), F.least(F.col("n"), F.floor(F.col("most") * (100 + percent) / percent + 1e-9) - F.col("n"))
+    asking = spread.where(high >= low).select("token", F.col("class").alias("a"), F.col("n").alias("n_a"), F.col("most").alias("most_a"), F.col("component").alias("part_a"), F.explode(F.sequence(_size_cell(low), _size_cell(high))).alias("cell"))
+    asked = spread.select("token", F.col("class").alias("b"), F.col("n").alias("n_b"), F.col("most").alias("most_b"), F.col("component").alias("part_b"), _size_cell(F.col("n")).alias("cell"))
+    unordered = "(n_a > n_b or n_a = n_b and a < b) and part_a <> part_b"
+    across = asking.join(asked, ["token", "cell"]).where(unordered).where(_still_possible(F.col("n_a"), F.col("most_a"), F.col("n_b"), F.col("most_b"), percent)).select("a", "b")
+
+    # the others share a token that their common pivot has not
+    apart = star.join(placed, star["a"] == placed["class"]).select(F.col("b").alias("pivot"), "class", "n", "own", "component", "rest")
+    torn = apart.groupBy("pivot").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("pivot")
+    beyond = cut(apart.join(torn, "pivot").select("pivot", "class", "n", (F.col("n") - F.col("own")).alias("most"), "component", F.explode("rest").alias("token")))
+    left_, right_ = ([F.col("class").alias(x), F.col("n").alias(f"n_{x}"), F.col("most").alias(f"most_{x}"), F.col("component").alias(f"part_{x}")] for x in "ab")
+    around = beyond.select("pivot", "token", *left_).join(beyond.select("pivot", "token", *right_), ["pivot", "token"]).where(unordered).where(_still_possible(F.col("n_a"), F.col("most_a"), F.col("n_b"), F.col("most_b"), percent)).select("a", "b")
+
+    more = cut(compared(across.union(around).distinct(), texts, width, percent).where("linked").select("a", "b"))
+    drop_cut(beyond)
     return links.union(more)
 
 
@@ -215,13 +247,29 @@ def _only_of_class(chosen: DataFrame, width: int) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id (least doc_id reachable by links) and class of every row."""
+    """doc_id, n_shingles, component_id (least doc_id reachable by links), row (a hash of id and text) and component (a key) of every row."""
     rows = cut(set_classes(docs, width, id_col, text_col))
     classes = cut(rows.where("n > 0").groupBy("class").agg(F.first("n").alias("n"), F.min("doc_id").alias("first_id")))
     links = class_links(docs, classes, width, percent, id_col, text_col)
     parts = connected_components(links)
     named = classes.join(parts, classes["class"] == parts["node"], "left").select("class", F.coalesce("component", "class").alias("component"), "first_id")
     least = named.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    named = named.join(least, "component").select("class", "component_id")
-    sized = rows.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("class")).alias("class"))
-    return sized.join(named, "class", "left").select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), "class")
+    named = named.join(least, "component").select("class", "component", "component_id")
+    sized = rows.select("doc_id", F.col("n").alias("n_shingles"), "row", F.when(F.col("n") > 0, F.col("class")).alias("class"))
+    return sized.join(named, "class", "left").select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), "row", "component")
+
+
+def keep_one(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """docs with one document of each component: that of the least doc_id (null ids last), once if its row repeats.
+
+    Documents without words all stay.
+    """
+    found = near_duplicates(docs, width, percent, id_col, text_col)
+    rank = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("row"))
+    chosen = found.where("n_shingles > 0").groupBy("component").agg(F.min_by("row", rank).alias("row")).select("row", F.lit(True).alias("once"))
+    wordless = found.where("n_shingles = 0").select("row", F.lit(False).alias("once")).distinct()
+    kept = chosen.unionByName(wordless).join(found.groupBy("row").agg(F.count(F.lit(1)).alias("rows")), "row")
+    kept = kept.select(F.col("row").alias("_row"), (F.col("once") & (F.col("rows") > 1)).alias("_thin"))
+    joined = docs.join(kept, _row_hash(id_col, text_col) == F.col("_row"))
+    repeated = joined.where("_thin").dropDuplicates(["_row"])
+    return joined.where("not _thin").unionByName(repeated).select(*docs.columns)
