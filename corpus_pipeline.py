@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from factloom.llm import jaccard_join, line_dedup, mixing, piece_sampling, shared, toxicity
 
-WEIGHTS = {"high": 0.7, "low": 0.3}
+WEIGHTS = {"high": 0.75, "low": 0.25}
 
 ORACLE_SQL = None
 
