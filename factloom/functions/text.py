@@ -45,10 +45,14 @@ def project_of(title: Column) -> Column:
     return F.when(has & F.length(left).between(1, 40), left)
 
 
-@F.pandas_udf("string")
-def nfkc(value: pd.Series) -> pd.Series:
+def nfkc(value: Column | str) -> Column:
     """Unicode compatibility form."""
-    return value.map(lambda x: None if x is None else unicodedata.normalize("NFKC", x))
+
+    @F.pandas_udf("string")
+    def of(values: pd.Series) -> pd.Series:
+        return values.map(lambda x: None if x is None else unicodedata.normalize("NFKC", x))
+
+    return of(value)
 
 
 def jaro_winkler_of(a: str, b: str) -> float:
@@ -80,7 +84,11 @@ def jaro_winkler_of(a: str, b: str) -> float:
     return jaro + prefix * 0.1 * (1 - jaro)
 
 
-@F.pandas_udf("double")
-def jaro_winkler(a: pd.Series, b: pd.Series) -> pd.Series:
+def jaro_winkler(a: Column | str, b: Column | str) -> Column:
     """jaro_winkler_of() over columns; null where either is null."""
-    return pd.Series([None if x is None or y is None else jaro_winkler_of(x, y) for x, y in zip(a, b, strict=True)], dtype="float64")
+
+    @F.pandas_udf("double")
+    def of(xs: pd.Series, ys: pd.Series) -> pd.Series:
+        return pd.Series([None if x is None or y is None else jaro_winkler_of(x, y) for x, y in zip(xs, ys, strict=True)], dtype="float64")
+
+    return of(a, b)

@@ -2,21 +2,25 @@
 
 from __future__ import annotations
 
+import inspect
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from factloom.plans import oracles
+from factloom.plans import queries as own
+
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The flagship query of the engine."""
-    return spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id")
+    """The flagship query: active statements, newest first."""
+    return own.qry02_active_facts(spark, sf_dir)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Query name to function of (spark, sf_dir)."""
-    return {}
+    return {name: f for name, f in inspect.getmembers(own, inspect.isfunction) if f.__module__ == own.__name__ and not name.startswith("_")}
 
 
 def oracle_sql() -> dict[str, str]:
     """Query name to DuckDB SQL."""
-    return {}
+    return dict(oracles.ORACLES)
