@@ -35,11 +35,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from factloom.llm.components import connected_components
-from factloom.llm.shared import cut, drop_cut
+from factloom.llm.shared import bounded_batches, cut, drop_cut
 
 ELIGIBLE = 0.22  # share of the hash range that decides first
 SMALL_ROWS = 1 << 19  # rows of two numbers that may be broadcast (about 16 MB)
-SLICE = 128  # texts looked at together
 
 
 def _signed(hashes: np.ndarray) -> np.ndarray:
@@ -57,11 +56,13 @@ def _prefix_length(n, percent: int):
 
 def _sets(batch, width: int):
     """(first row, sets) of slices of an Arrow batch's text column."""
-    from factloom.llm.shingles import shingle_sets
+    import pyarrow.compute as pc
 
-    texts = batch.column("text").cast("binary")
-    for at in range(0, len(texts), SLICE):
-        yield at, shingle_sets([x or b"" for x in texts.slice(at, SLICE).to_pylist()], width)
+    from factloom.llm.shingles import shingle_sets, slices
+
+    texts = pc.fill_null(batch.column("text"), "").cast("binary")
+    for at, to in slices(pc.binary_length(texts).to_pylist()):
+        yield at, shingle_sets(texts.slice(at, to - at).to_pylist(), width)
 
 
 def set_classes(docs: DataFrame, width: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -119,31 +120,35 @@ def _still_possible(n1: Column, most1: Column, n2: Column, most2: Column, percen
     return 100 * most >= percent * (n1 + n2 - most)
 
 
-def compared(pairs: DataFrame, texts: DataFrame, width: int, percent: int, with_rest: bool = False) -> DataFrame:
+def compared(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
     """For pairs (a, b) of classes, on whole sets: both (tokens in common), linked and rest.
 
-    rest, if asked for, is the prefix, by hash, of a's tokens that b has not: any
-    class that links with a shares one of them, unless sizes let the tokens that
-    a and b have in common be enough. texts has class and text.
+    rest, made if pairs have own_tokens (those of a that no other class has), is
+    the prefix, by hash, of a's other tokens that b has not: any class that links
+    with a shares one of them, unless sizes let the tokens that a and b have in
+    common be enough. texts has class and text.
     """
     one = texts.select(F.col("class").alias("a"), F.col("text").alias("text_a"))
     two = texts.select(F.col("class").alias("b"), F.col("text").alias("text_b"))
+    with_rest = "own_tokens" in pairs.columns
     full = pairs.join(one, "a").join(two, "b")
 
     def run(batches):
         import pyarrow as pa
+        import pyarrow.compute as pc
 
-        from factloom.llm.shingles import shingle_sets
+        from factloom.llm.shingles import shingle_sets, slices
 
         for batch in batches:
             a, b = batch.column("a"), batch.column("b")
+            own = batch.column("own_tokens").to_pylist() if with_rest else [None] * len(a)
             ta, tb = batch.column("text_a").cast("binary"), batch.column("text_b").cast("binary")
             common, linked, rest = [], [], []
-            for at in range(0, len(a), SLICE):
-                xs, ys = ta.slice(at, SLICE).to_pylist(), tb.slice(at, SLICE).to_pylist()
+            for at, to in slices(pc.add(pc.binary_length(ta), pc.binary_length(tb)).to_pylist()):
+                xs, ys = ta.slice(at, to - at).to_pylist(), tb.slice(at, to - at).to_pylist()
                 distinct = {t: i for i, t in enumerate(dict.fromkeys([*xs, *ys]))}
                 sets = shingle_sets(list(distinct), width)
-                for x, y in zip(xs, ys, strict=True):
+                for x, y, alone in zip(xs, ys, own[at:to], strict=True):
                     x, y = sets[distinct[x]], sets[distinct[y]]
                     if not len(x) or not len(y):
                         common.append(0)
@@ -156,14 +161,14 @@ def compared(pairs: DataFrame, texts: DataFrame, width: int, percent: int, with_
                     common.append(both)
                     linked.append(100 * both >= percent * (len(x) + len(y) - both))
                     if with_rest:
-                        own = x[~shared]
+                        other = np.setdiff1d(_signed(x[~shared]), np.array(alone, np.int64), assume_unique=True)
                         needed = max(1, -(-percent * len(x) // 100) - both)
-                        rest.append(_signed(own[: max(0, len(own) - needed + 1)]).tolist())
+                        rest.append(other[: max(0, len(other) - needed + 1)].tolist())
                     else:
                         rest.append(None)
             yield pa.RecordBatch.from_arrays([a, b, pa.array(common, pa.int64()), pa.array(linked, pa.bool_()), pa.array(rest, pa.list_(pa.int64()))], ["a", "b", "both", "linked", "rest"])
 
-    return full.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long, both long, linked boolean, rest array<long>")
+    return full.select("a", "b", "text_a", "text_b", *(["own_tokens"] if with_rest else [])).mapInArrow(run, "a long, b long, both long, linked boolean, rest array<long>")
 
 
 def class_links(docs: DataFrame, classes: DataFrame, width: int, percent: int, id_col: str, text_col: str) -> DataFrame:
@@ -180,11 +185,11 @@ def class_links(docs: DataFrame, classes: DataFrame, width: int, percent: int, i
 
     tokens = _tokens(texts, width, percent, 1.0, least)
     met = cut(tokens.groupBy("token").agg(F.min("class").alias("class"), F.max("class").alias("other"), F.max("low").alias("low")).where("class = other or low"))
-    own = met.where("class = other").groupBy("class").agg(F.count(F.lit(1)).alias("own"))
-    left = open_.join(own, "class", "left").select("class", "n", F.coalesce("own", F.lit(0)).alias("own"), prefix).where("own < prefix")
+    own = met.where("class = other").groupBy("class").agg(F.count(F.lit(1)).alias("own"), F.collect_list("token").alias("own_tokens"))
+    left = open_.join(own, "class", "left").select("class", "n", F.coalesce("own", F.lit(0)).alias("own"), F.coalesce("own_tokens", F.array().cast("array<long>")).alias("own_tokens"), prefix).where("own < prefix")
     shared = tokens.where("low").select("class", "token").join(met.where("class <> other").select("token"), "token")
     lows = shared.groupBy("class").agg(F.sort_array(F.collect_set("token")).alias("tokens"))
-    left = cut(left.join(lows, "class").select("class", "n", "own", F.slice("tokens", F.lit(1), (F.col("prefix") - F.col("own")).cast("int")).alias("tokens")))
+    left = cut(left.join(lows, "class").select("class", "n", "own", "own_tokens", F.slice("tokens", F.lit(1), (F.col("prefix") - F.col("own")).cast("int")).alias("tokens")))
     drop_cut(met)
 
     # groups of equal shared prefix, size and own tokens
@@ -195,7 +200,8 @@ def class_links(docs: DataFrame, classes: DataFrame, width: int, percent: int, i
     near = keyed.join(pivots, "token").where("group <> pivot").select("group", "pivot").distinct()
     pairs = members.join(near, "group").select(F.col("class").alias("a"), F.col("pivot").alias("b"))
     inside = members.where("class <> group").select(F.col("class").alias("a"), F.col("group").alias("b"))
-    star = cut(compared(pairs.union(inside).distinct(), texts, width, percent, with_rest=True))
+    owned = left.select(F.col("class").alias("a"), "own_tokens")
+    star = cut(compared(pairs.union(inside).distinct().join(owned, "a"), texts, width, percent))
     links = star.where("linked").select("a", "b")
 
     parts = connected_components(links)
@@ -204,7 +210,9 @@ def class_links(docs: DataFrame, classes: DataFrame, width: int, percent: int, i
     divided = spread.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("token")
     # a class has at most so many tokens in common with another that shares none of its rest
     measured = star.select(F.col("a").alias("class"), F.col("b").alias("pivot"), "both")
-    spread = spread.join(divided, "token").join(measured, ["class", "pivot"], "left")
+    spread = cut(spread.join(divided, "token"))
+    meeting = spread.select(F.col("class").alias("a"), F.col("pivot").alias("b")).distinct()
+    spread = spread.join(measured, ["class", "pivot"], "left")
     spread = spread.select("token", "class", "n", F.least(F.col("n") - F.col("own"), F.coalesce("both", "n")).alias("most"), "component")
     # from the larger to the smaller or equal, by the sizes that this leaves
     low, high = F.ceil(F.col("n") * percent / 100 - 1e-9), F.least(F.col("n"), F.floor(F.col("most") * (100 + percent) / percent + 1e-9) - F.col("n"))
@@ -214,7 +222,7 @@ def class_links(docs: DataFrame, classes: DataFrame, width: int, percent: int, i
     across = asking.join(asked, ["token", "cell"]).where(unordered).where(_still_possible(F.col("n_a"), F.col("most_a"), F.col("n_b"), F.col("most_b"), percent)).select("a", "b")
 
     # the others share a token that their common pivot has not
-    apart = star.join(placed, star["a"] == placed["class"]).select(F.col("b").alias("pivot"), "class", "n", "own", "component", "rest")
+    apart = star.join(meeting, ["a", "b"]).join(placed, F.col("a") == placed["class"]).select(F.col("b").alias("pivot"), "class", "n", "own", "component", "rest")
     torn = apart.groupBy("pivot").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("pivot")
     beyond = cut(apart.join(torn, "pivot").select("pivot", "class", "n", (F.col("n") - F.col("own")).alias("most"), "component", F.explode("rest").alias("token")))
     left_, right_ = ([F.col("class").alias(x), F.col("n").alias(f"n_{x}"), F.col("most").alias(f"most_{x}"), F.col("component").alias(f"part_{x}")] for x in "ab")
@@ -248,6 +256,7 @@ def _only_of_class(chosen: DataFrame, width: int) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id (least doc_id reachable by links), row (a hash of id and text) and component (a key) of every row."""
+    bounded_batches(docs.sparkSession)
     rows = cut(set_classes(docs, width, id_col, text_col))
     classes = cut(rows.where("n > 0").groupBy("class").agg(F.first("n").alias("n"), F.min("doc_id").alias("first_id")))
     links = class_links(docs, classes, width, percent, id_col, text_col)

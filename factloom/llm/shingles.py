@@ -6,6 +6,7 @@ import numpy as np
 
 _MUL = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_MUL, -1, 1 << 64)
+KEPT = 1 << 20  # bytes looked at together, unless one text is longer
 _POWERS: list[np.ndarray] = []
 _BYTE = np.random.default_rng(20240607).integers(1, 1 << 63, 256, np.int64).astype(np.uint64)
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -15,11 +16,14 @@ _SPACE[[9, 10, 11, 12, 13, 32]] = True
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if not _POWERS or len(_POWERS[0]) < n:
-        size = max(n, 1 << 20)
-        with np.errstate(over="ignore"):
-            _POWERS[:] = [np.concatenate([[np.uint64(1)], np.cumprod(np.full(size, base, np.uint64), dtype=np.uint64)]) for base in (_MUL, _INVERSE)]
-    return _POWERS[0], _POWERS[1]
+    if _POWERS and len(_POWERS[0]) >= n:
+        return _POWERS[0], _POWERS[1]
+    size = max(n, KEPT)
+    with np.errstate(over="ignore"):
+        made = [np.concatenate([[np.uint64(1)], np.cumprod(np.full(size, base, np.uint64), dtype=np.uint64)]) for base in (_MUL, _INVERSE)]
+    if size == KEPT:  # longer ones are made for one text and go with it
+        _POWERS[:] = made
+    return made[0], made[1]
 
 
 def mixed(z: np.ndarray) -> np.ndarray:
@@ -64,6 +68,18 @@ def shingle_sets(texts: list[bytes], width: int = 3) -> list[np.ndarray]:
     return out
 
 
+def slices(sizes: list[int]):
+    """(from, to) of runs of rows whose sizes come to KEPT at most, or of one row."""
+    at, held = 0, 0
+    for i, size in enumerate(sizes):
+        if i > at and held + size + 1 > KEPT:
+            yield at, i
+            at, held = i, 0
+        held += size + 1
+    if at < len(sizes):
+        yield at, len(sizes)
+
+
 def set_identity(hashes: np.ndarray) -> tuple[int, int]:
     """128 bits that stand for a set (as two signed 64-bit numbers)."""
     with np.errstate(over="ignore"):
