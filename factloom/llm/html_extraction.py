@@ -26,6 +26,8 @@ from collections import deque
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from factloom.llm.shared import bounded_batches
+
 # Elements of the HTML standard by what they do to the flow of text.
 BLOCK = set(
     "address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form frameset "
@@ -282,6 +284,7 @@ def main_text(page: str | None) -> str:
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """page_id, url, text, n_chars of every row of pages."""
+    bounded_batches(pages.sparkSession)
     kept = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
     types = [f"{c} {kept.schema[c].dataType.simpleString()}" for c in ("page_id", "url")]
 

@@ -36,6 +36,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from factloom.llm.shared import bounded_batches
+
 SHIFT = 10.0
 BATCH_CHARS = 2_000_000
 BLANK = "▁"
@@ -382,6 +384,7 @@ def sample_encode(docs: DataFrame, model_path: str, k: int = 2, alpha: float = 0
     log_prob, perturbed, log_inclusion, ids, decoded_ok (the ids decode to the
     text).
     """
+    bounded_batches(docs.sparkSession)
     kept = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(F.lit(seed), F.col(id_col).cast("string")).alias("key"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     id_type = kept.schema["doc_id"].dataType.simpleString()
 

@@ -39,13 +39,12 @@ def drop_cut(df: DataFrame) -> None:
         where.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(where, True)
 
 
-def free_name(df: DataFrame, stem: str) -> str:
-    """A column name that df has not got, whatever the case."""
-    taken = {c.lower() for c in df.columns}
-    name = stem
-    while name.lower() in taken:
-        name += "_"
-    return name
+def bounded_batches(spark: SparkSession) -> None:
+    """Arrow batches of at most 8 MB and 2000 rows from here on: texts may be long, and a batch is held whole on both sides."""
+    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", 2000), ("spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20)):
+        now = spark.conf.get(key, None)
+        if now is None or not now.isdigit() or not 0 < int(now) <= most:
+            spark.conf.set(key, str(most))
 
 
 def tokenizer_file(name: str) -> str:

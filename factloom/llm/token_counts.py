@@ -21,6 +21,8 @@ from collections.abc import Iterable, Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from factloom.llm.shared import bounded_batches
+
 _LOADED: dict[str, object] = {}
 
 
@@ -75,6 +77,7 @@ def encoded_lengths(texts: Iterable[str], tokenizer, batch_bytes: int) -> Iterat
 
 def count_tokens(docs: DataFrame, tokenizer_path: str, limit: int = 512, id_col: str = "doc_id", text_col: str = "text", batch_bytes: int = 1 << 18) -> DataFrame:
     """doc_id, n_bytes, n_tokens, over_limit (n_tokens > limit) of every row."""
+    bounded_batches(docs.sparkSession)
     kept = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     id_type = kept.schema["doc_id"].dataType.simpleString()
 

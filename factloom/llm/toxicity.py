@@ -28,11 +28,13 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from factloom.llm.shared import bounded_batches
+
 BITS, DIM = 18, 8
 BUCKETS = 1 << BITS
 MIN_N, MAX_N = 3, 6
 WINDOW, STEP = 8, 4
-CACHED_WORDS = 1 << 18  # values a scoring process remembers at most
+CACHED_WORDS = 1 << 17  # values a scoring process remembers at most
 _WORD = re.compile(r"\w+")
 
 
@@ -211,8 +213,11 @@ def training_rows(docs: DataFrame, labels: DataFrame, max_rows: int = 6000, max_
 def score(docs: DataFrame, table: np.ndarray, bias: float, id_col: str = "doc_id", text_col: str = "text", also: list[str] | None = None) -> DataFrame:
     """The id, the columns in ``also``, and score of every row of docs."""
     spark = docs.sparkSession
+    bounded_batches(spark)
     shared = spark.sparkContext.broadcast((table, bias))
-    kept = docs.select(F.col(id_col).alias("doc_id"), *(also or []), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
+    given = text_col in (also or [])  # the text goes through once
+    read = text_col if given else "_text"
+    kept = docs.select(F.col(id_col).alias("doc_id"), *(also or []), *([] if given else [F.col(text_col).alias(read)]))
 
     def run(batches):
         import pyarrow as pa
@@ -220,14 +225,14 @@ def score(docs: DataFrame, table: np.ndarray, bias: float, id_col: str = "doc_id
         t, b = shared.value
         known: dict[str, float] = {}
         for batch in batches:
-            texts = batch.column("_text")
-            # a few hundred texts at a time: the batch itself is the only copy of all its texts
-            some = [score_texts(t, b, texts.slice(at, 256).to_pylist(), known) for at in range(0, len(texts), 256)]
-            scores = np.concatenate([*some, np.zeros(0)])
-            names = [c for c in batch.schema.names if c != "_text"]
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in names], pa.array(scores, pa.float64())], [*names, "score"])
-
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema if f.name != "_text")
+            # some rows at a time go on: whole batches of long texts would be held twice
+            for at in range(0, batch.num_rows, 256):
+                some = batch.slice(at, 256)
+                scores = score_texts(t, b, [x or "" for x in some.column(read).to_pylist()], known)
+                names = [c for c in some.schema.names if given or c != read]
+                yield pa.RecordBatch.from_arrays([*[some.column(c) for c in names], pa.array(scores, pa.float64())], [*names, "score"])
+
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema if given or f.name != read)
     return kept.mapInArrow(run, f"{schema}, score double")
 
 
