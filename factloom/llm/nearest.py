@@ -1,7 +1,7 @@
 """Approximate nearest neighbours by NN-descent and greedy graph search.
 
 Equal vectors are one node. The graph starts from the best neighbours within
-random blocks. Each round, every node brings together its neighbours and a
+blocks of two random divisions. Each round, every node brings together its neighbours and a
 sample of the nodes that have it as a neighbour (joins on node ids); in each of
 these small neighbourhoods all pairs with a fresh member are scored, and nodes
 whose lists they would better get them as proposals, merged into their lists.
@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 from factloom.llm.shared import cut, drop_cut
 
 BLOCK = 4096
+LEAST_BLOCKS = 16  # tables of fewer nodes are still dealt to so many tasks
 PROPOSALS = 16  # for one node from one block and round
 
 
@@ -50,7 +51,8 @@ def _lists(arrays: list[np.ndarray], kind):
     import pyarrow as pa
 
     offsets = np.concatenate([[0], np.cumsum([len(a) for a in arrays])]).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([*arrays, np.zeros(0)]), kind))
+    values = np.concatenate([np.zeros(0, kind.to_pandas_dtype()), *arrays])
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, kind))
 
 
 def usable(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -72,8 +74,8 @@ def _top(sims: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     return some[np.lexsort((ids[some], -sims[some]))][:k]
 
 
-def _start(nodes: DataFrame, count: int, degree: int) -> DataFrame:
-    """Lists (node, near, sims, fresh) from random blocks."""
+def _in_blocks(nodes: DataFrame, count: int, degree: int, salt: int) -> DataFrame:
+    """Lists (node, near, sims) from random blocks."""
     import pyarrow as pa
 
     blocks = max(1, math.ceil(count / (BLOCK // 2)))
@@ -88,10 +90,17 @@ def _start(nodes: DataFrame, count: int, degree: int) -> DataFrame:
                 best = _top(row, ids, min(degree, len(ids) - 1)) if len(ids) > 1 else np.zeros(0, np.int64)
                 near.append(ids[best])
                 sims.append(row[best])
-        return pa.table({"node": pa.array(ids), "near": _lists(near, pa.int64()), "sims": _lists(sims, pa.float32()), "fresh": _lists([np.ones(len(a), bool) for a in near], pa.bool_())})
+        return pa.table({"node": pa.array(ids), "near": _lists(near, pa.int64()), "sims": _lists(sims, pa.float32())})
+
+    dealt = nodes.select("node", "vector", F.pmod(F.xxhash64(F.lit("start"), F.lit(salt), "node"), F.lit(blocks)).alias("block"))
+    return dealt.groupBy("block").applyInArrow(run, "node long, near array<long>, sims array<float>")
 
-    dealt = nodes.select("node", "vector", F.pmod(F.xxhash64(F.lit(1), "node"), F.lit(blocks)).alias("block"))
-    return dealt.groupBy("block").applyInArrow(run, "node long, near array<long>, sims array<float>, fresh array<boolean>")
+
+def _start(nodes: DataFrame, count: int, degree: int) -> DataFrame:
+    """Lists from two random divisions into blocks, so that they lead from any block to others."""
+    both = _in_blocks(nodes, count, degree, 1).unionByName(_in_blocks(nodes, count, degree, 2))
+    gathered = both.groupBy("node").agg(F.flatten(F.collect_list("near")).alias("ids"), F.flatten(F.collect_list("sims")).alias("scores"))
+    return _merged(gathered.select("node", F.array().cast("array<long>").alias("near"), F.array().cast("array<float>").alias("sims"), "ids", "scores"), degree)
 
 
 def _around(graph: DataFrame, degree: int, salt: int) -> DataFrame:
@@ -107,11 +116,34 @@ def _with_vectors(requests: DataFrame, nodes: DataFrame, extra: list[str]) -> Da
     return requests.distinct().join(nodes.withColumnRenamed("node", "id"), "id").select(F.col("block").alias("of_block"), "id", "vector", *extra)
 
 
+def _merged(together: DataFrame, degree: int) -> DataFrame:
+    """Lists (node, near, sims, fresh) of the best ids of (node, near, sims, ids, scores); what comes from ids alone is fresh."""
+    import pyarrow as pa
+
+    def merge(batches):
+        for batch in batches:
+            near, sims, fresh = [], [], []
+            columns = [batch.column(c).to_pylist() for c in ("near", "sims", "ids", "scores")]
+            for old, old_sims, new, new_sims in zip(*columns, strict=True):
+                seen = np.array(old or [], np.int64)
+                ids = np.concatenate([seen, np.array(new or [], np.int64)])
+                s = np.concatenate([np.array(old_sims or [], np.float32), np.array(new_sims or [], np.float32)])
+                ids, where = np.unique(ids, return_index=True)
+                s, was = s[where], where < len(seen)
+                best = _top(s, ids, degree)
+                near.append(ids[best])
+                sims.append(s[best])
+                fresh.append(~was[best])
+            yield pa.RecordBatch.from_arrays([batch.column("node"), _lists(near, pa.int64()), _lists(sims, pa.float32()), _lists(fresh, pa.bool_())], ["node", "near", "sims", "fresh"])
+
+    return together.mapInArrow(merge, "node long, near array<long>, sims array<float>, fresh array<boolean>")
+
+
 def _round(graph: DataFrame, nodes: DataFrame, count: int, degree: int, salt: int) -> DataFrame:
     """The graph after one round of neighbours meeting neighbours."""
     import pyarrow as pa
 
-    blocks = max(1, math.ceil(count / BLOCK))
+    blocks = max(LEAST_BLOCKS, math.ceil(count / BLOCK))
     lists = cut(_around(graph, degree, salt).withColumn("block", F.pmod(F.xxhash64(F.lit(salt), "node"), F.lit(blocks))))
     bar = graph.select("node", F.when(F.size("sims") >= degree, F.element_at("sims", -1)).otherwise(F.lit(float("-inf"))).alias("bar"))
     known = nodes.join(bar, "node")
@@ -165,23 +197,7 @@ def _round(graph: DataFrame, nodes: DataFrame, count: int, degree: int, salt: in
     gathered = proposed.groupBy("node").agg(F.flatten(F.collect_list("ids")).alias("ids"), F.flatten(F.collect_list("scores")).alias("scores"))
     together = graph.select("node", "near", "sims").join(gathered, "node", "left")
 
-    def merge(batches):
-        for batch in batches:
-            near, sims, fresh = [], [], []
-            columns = [batch.column(c).to_pylist() for c in ("near", "sims", "ids", "scores")]
-            for old, old_sims, new, new_sims in zip(*columns, strict=True):
-                seen = np.array(old or [], np.int64)
-                ids = np.concatenate([seen, np.array(new or [], np.int64)])
-                s = np.concatenate([np.array(old_sims or [], np.float32), np.array(new_sims or [], np.float32)])
-                ids, where = np.unique(ids, return_index=True)
-                s, was = s[where], where < len(seen)
-                best = _top(s, ids, degree)
-                near.append(ids[best])
-                sims.append(s[best])
-                fresh.append(~was[best])
-            yield pa.RecordBatch.from_arrays([batch.column("node"), _lists(near, pa.int64()), _lists(sims, pa.float32()), _lists(fresh, pa.bool_())], ["node", "near", "sims", "fresh"])
-
-    merged = cut(together.mapInArrow(merge, "node long, near array<long>, sims array<float>, fresh array<boolean>"))
+    merged = cut(_merged(together, degree))
     drop_cut(lists)
     return merged
 
@@ -205,7 +221,7 @@ def search_graph(queries: DataFrame, graph: DataFrame, nodes: DataFrame, beam: i
     import pyarrow as pa
 
     lists = cut(_around(graph, degree, 0).select(F.col("node").alias("opened"), F.col("around.id").alias("near")))
-    blocks = max(1, math.ceil(queries.count() / (BLOCK // 4)))
+    blocks = max(LEAST_BLOCKS // 4, math.ceil(queries.count() / (BLOCK // 4)))
     state = queries.select("query", "vector", F.array().cast("array<long>").alias("found"), F.array().cast("array<double>").alias("scores"), F.array("query").alias("opening"), F.array().cast("array<long>").alias("opened"))
     kind = "query long, vector array<double>, found array<long>, scores array<double>, opening array<long>, opened array<long>"
     for _ in range(steps):
