@@ -8,9 +8,14 @@ from pyspark.sql import functions as F
 from factloom.config import NAMESPACE
 
 
+def let(value: Column, body) -> Column:
+    """body(value), with value standing once in the plan however often body names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def json_string(value: Column) -> Column:
     """A string as canonical JSON: quotes, backslashes and control characters escaped, null as __NULL__, empty as __EMPTY__."""
-    text = F.when(value.isNull(), "__NULL__").when(value == "", "__EMPTY__").otherwise(value)
+    text = let(value, lambda v: F.when(v.isNull(), "__NULL__").when(v == "", "__EMPTY__").otherwise(v))
     text = F.replace(F.replace(text, F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"'))
     for code, short in ((8, "\\b"), (9, "\\t"), (10, "\\n"), (12, "\\f"), (13, "\\r")):
         text = F.replace(text, F.lit(chr(code)), F.lit(short))
@@ -38,8 +43,12 @@ def number(value: Column) -> Column:
 def uuid5(name: Column, namespace: str = NAMESPACE) -> Column:
     """UUIDv5 of a name in a namespace."""
     digest = F.sha1(F.concat(F.unhex(F.lit(namespace.replace("-", ""))), F.encode(name, "UTF-8")))
-    variant = F.lower(F.hex((F.conv(F.substring(digest, 17, 1), 16, 10).cast("int").bitwiseAND(F.lit(3))).bitwiseOR(F.lit(8))))
-    return F.concat(F.substring(digest, 1, 8), F.lit("-"), F.substring(digest, 9, 4), F.lit("-5"), F.substring(digest, 14, 3), F.lit("-"), variant, F.substring(digest, 18, 3), F.lit("-"), F.substring(digest, 21, 12))
+
+    def laid_out(h: Column) -> Column:
+        variant = F.translate(F.substring(h, 17, 1), "0123456789abcdef", "89ab89ab89ab89ab")
+        return F.concat(F.substring(h, 1, 8), F.lit("-"), F.substring(h, 9, 4), F.lit("-5"), F.substring(h, 14, 3), F.lit("-"), variant, F.substring(h, 18, 3), F.lit("-"), F.substring(h, 21, 12))
+
+    return let(digest, laid_out)
 
 
 def entity_id(*parts: Column | str | int, namespace: str = NAMESPACE) -> Column:

@@ -119,5 +119,18 @@ ORACLES = {
     "jn22_overlap_windows": f"""WITH {GRAPH}, {MONTHS.replace('FROM facts', 'FROM dated')} SELECT w::TIMESTAMP AS window_start, count(*) AS n FROM dated d JOIN win USING (subject_id) WHERE d.valid_from < w + INTERVAL 1 MONTH AND (d.valid_to IS NULL OR d.valid_to >= w) GROUP BY 1""",
     "tp02_salience": f"WITH {FACTS}, {MEMBERS} SELECT subject_id, window_start::TIMESTAMP AS window_start, member, mentions, round(salience, 6) AS salience FROM scored",
     "tp03_categories": f"WITH {FACTS}, {MONTHS}, {VOTES} SELECT subject_id, window_start::TIMESTAMP AS window_start, member, category FROM cats",
+    "st_daily_counts": "SELECT date_trunc('day', ts)::TIMESTAMP AS day, event_type, count(*) AS n FROM events GROUP BY 1, 2",
+    "dt20_overlap_winners": f"""WITH {SAID}, c AS (
+      SELECT message_id, 'EMAIL' AS detector, regexp_extract(text, '\\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\\.[A-Za-z]{{2,}}\\b') AS surface, true AS kept, text FROM said WHERE text LIKE '%@%'
+      UNION ALL SELECT message_id, 'URL', rtrim(regexp_extract(text, 'https?://[^ ]+'), '.,;:!?)>]'), true, text FROM said WHERE text LIKE '%http%'
+      UNION ALL SELECT message_id, 'BARE_DOMAIN', regexp_extract(text, 'https?://([a-z.]+)', 1), false, text FROM said WHERE text LIKE '%http%')
+      SELECT message_id, detector, (strpos(text, surface) - 1)::INT AS "start", (strpos(text, surface) - 1 + length(surface))::INT AS "end", surface, kept FROM c""",
+    "ag04_entities": f"""WITH {SAID}, hit AS (
+      SELECT 'EMAIL' AS kind, lower(regexp_extract(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\\.[A-Za-z]{{2,}}')) AS key, * FROM said WHERE text LIKE '%@%'
+      UNION ALL SELECT 'URL', lower(rtrim(regexp_extract(text, 'https?://[^ ]+'), '.,;:!?)>]')), * FROM said WHERE text LIKE '%http%'),
+      per AS (SELECT kind, key, count(*) AS mentions, count(DISTINCT conversation_id) AS conversations, count(*) FILTER (role = 'user') AS user_mentions, max(created_at) AS last_seen FROM hit GROUP BY 1, 2)
+      SELECT kind, key, key AS name, mentions, conversations, user_mentions,
+             round(0.3 * mentions + 0.4 * conversations + 0.2 * user_mentions / mentions + 0.1 * exp(-ln(2) * epoch(TIMESTAMP '2024-01-01' - last_seen) / 86400 / 90), 6) AS salience FROM per""",
+    "ap22_predicates": f"""WITH {SAID} SELECT predicate AS label, min(created_at) AS first_seen, count(*) AS assertions FROM ({_patterns()}) JOIN said USING (message_id) GROUP BY 1""",
     "fn30_lexicon_score": "SELECT p_partkey, round(p_size + 2.0 * (p_partkey % 7) + 0.5 * (p_retailprice / 1000.0) - 0.5, 6) AS score FROM part",
 }

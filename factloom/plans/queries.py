@@ -239,8 +239,9 @@ def rp_retractions(spark, sf_dir):
 
 def _grounded(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = threads.eligible(tables.utterances(spark, sf_dir))
-    known = entities.consolidated(_mentions(spark, sf_dir), F.to_timestamp(F.lit(AS_OF)))
-    return assertions.grounded(said, assertions.extracted(said), known, "conversation_id")
+    # each is read many times further on; kept, and made again where an executor is lost
+    known = entities.consolidated(_mentions(spark, sf_dir).persist(), F.to_timestamp(F.lit(AS_OF))).persist()
+    return assertions.grounded(said, assertions.extracted(said).persist(), known, "conversation_id").persist()
 
 
 def fn31_grounded(spark, sf_dir):
@@ -439,6 +440,14 @@ def vz04_layout(spark, sf_dir):
     return profile.layout(_ranked(spark, sf_dir)[0]).select("subject_id", "window_start", "member", F.round("x", 6).alias("x"), F.round("y", 6).alias("y"), "z")
 
 
+def st_daily_counts(spark, sf_dir):
+    """Events a day and type, counted by a stream run to its end."""
+    from factloom.streaming import windows
+
+    found = windows.daily(windows.table_stream(spark, sf_dir, "events"), "ts", "event_type")
+    return windows.run_once(found, "factloom_daily_counts")
+
+
 def fn30_lexicon_score(spark, sf_dir):
     """The lexicon score over part columns."""
     p = _table(spark, sf_dir, "part")
