@@ -107,3 +107,48 @@ def topics(facts: DataFrame) -> DataFrame:
     key = F.sha2(F.concat_ws("|", "predicate", "object_signature", "modality", "polarity"), 256)
     at = F.coalesce("valid_from", "asserted_at")
     return facts.groupBy(key.alias("topic_id"), "predicate", "object_signature", "modality", "polarity").agg(F.count(F.lit(1)).alias("count"), F.min(at).alias("first_at"), F.avg("confidence").alias("mean_confidence"), F.transform(F.array_sort(F.collect_list(F.struct(at.alias("at"), F.col("assertion_id")))), lambda m: m["assertion_id"]).alias("members"))
+
+
+def message_nodes(messages: DataFrame) -> DataFrame:
+    """Nodes of messages."""
+    return nodes(messages, "Message", F.col("message_id"), F.substring(F.coalesce("text", F.lit("")), 1, 100), role=F.col("role"))
+
+
+def asserted_in(assertions: DataFrame) -> DataFrame:
+    """ASSERTED_IN edges from assertions to their messages."""
+    return edges(assertions, "ASSERTED_IN", "Assertion", F.col("assertion_id"), "Message", F.col("message_id"))
+
+
+def lexicon_edges(mentions: DataFrame) -> DataFrame:
+    """DERIVED_FROM_LEXICON edges of mentions (entity_id, term_key): by their own term, not by all terms."""
+    return edges(mentions, "DERIVED_FROM_LEXICON", "Entity", F.col("entity_id"), "LexiconTerm", F.col("term_key"))
+
+
+def topic_edges(found: DataFrame) -> DataFrame:
+    """TOPIC_SUPPORTED_BY edges of topics, ranked by time."""
+    support = found.select("topic_id", F.posexplode("members").alias("rank", "member"))
+    return edges(support, "TOPIC_SUPPORTED_BY", "Topic", F.col("topic_id"), "Assertion", F.col("member"), rank=F.col("rank"))
+
+
+def profile_graph(windows: DataFrame, ranked: DataFrame, clusters: DataFrame, top_members: int = 10, top_clusters: int = 6) -> tuple[DataFrame, DataFrame]:
+    """Nodes and edges of profiles: profile, windows, clusters, members, in order and by rank."""
+    subject, start = F.col("subject_id").cast("string"), F.date_format("window_start", "yyyy-MM-dd")
+    window, cluster = F.concat_ws("|", subject, start), F.concat_ws("|", subject, start, F.col("category"))
+    before = F.when(F.col("previous").isNotNull(), F.concat_ws("|", subject, F.date_format("previous", "yyyy-MM-dd")))
+    all_nodes = (
+        nodes(windows.select("subject_id").distinct(), "TemporalProfile", subject, F.concat(F.lit("Profile of "), subject))
+        .unionByName(nodes(windows, "TemporalWindow", window, F.col("label"), window_index=F.col("window_index")))
+        .unionByName(nodes(clusters, "SemanticCluster", cluster, F.initcap(F.replace("category", F.lit("_"), F.lit(" "))), size=F.col("size"), mean_salience=F.col("mean_salience")))
+        .unionByName(nodes(clusters.select("category").distinct(), "SemanticCategory", F.col("category"), F.initcap(F.replace("category", F.lit("_"), F.lit(" ")))))
+        .unionByName(nodes(ranked.select("member").distinct(), "Value", F.col("member"), F.substring("member", 1, 50)))
+    )
+    all_edges = (
+        edges(windows, "HAS_WINDOW", "TemporalProfile", subject, "TemporalWindow", window)
+        .unionByName(edges(windows, "WINDOW_PRECEDES", "TemporalWindow", before, "TemporalWindow", window))
+        .unionByName(edges(clusters, "HAS_CLUSTER", "TemporalWindow", window, "SemanticCluster", cluster))
+        .unionByName(edges(clusters, "CLUSTER_OF_CATEGORY", "SemanticCluster", cluster, "SemanticCategory", F.col("category")))
+        .unionByName(edges(ranked, "CLUSTER_CONTAINS", "SemanticCluster", cluster, "Value", F.col("member"), salience=F.col("salience")))
+        .unionByName(edges(ranked.where(F.col("window_rank") <= top_members), "WINDOW_TOP_MEMBER", "TemporalWindow", window, "Value", F.col("member"), rank=F.col("window_rank")))
+        .unionByName(edges(clusters.where(F.col("cluster_rank") <= top_clusters), "WINDOW_TOP_CLUSTER", "TemporalWindow", window, "SemanticCluster", cluster, rank=F.col("cluster_rank")))
+    )
+    return all_nodes, all_edges

@@ -132,5 +132,22 @@ ORACLES = {
       SELECT kind, key, key AS name, mentions, conversations, user_mentions,
              round(0.3 * mentions + 0.4 * conversations + 0.2 * user_mentions / mentions + 0.1 * exp(-ln(2) * epoch(TIMESTAMP '2024-01-01' - last_seen) / 86400 / 90), 6) AS salience FROM per""",
     "ap22_predicates": f"""WITH {SAID} SELECT predicate AS label, min(created_at) AS first_seen, count(*) AS assertions FROM ({_patterns()}) JOIN said USING (message_id) GROUP BY 1""",
+    "fn52_exclusions": f"""WITH {SAID} SELECT message_id, (message_id % 3 = 0)::INT AS fences, (message_id % 3 = 1)::INT AS quotes,
+      CASE message_id % 3 WHEN 0 THEN length(text) + 1 WHEN 1 THEN 0 END::INT AS "start", CASE message_id % 3 WHEN 0 THEN length(text) + 14 WHEN 1 THEN 8 END::INT AS "end" FROM said""",
+    "wf10_cluster_rank": f"""WITH {FACTS}, {MEMBERS}, {VOTES}, j AS (SELECT *, row_number() OVER (PARTITION BY subject_id, window_start, category ORDER BY salience DESC, member)::INT AS cluster_rank,
+      row_number() OVER (PARTITION BY subject_id, window_start ORDER BY salience DESC, member)::INT AS window_rank FROM scored JOIN cats USING (subject_id, window_start, member))
+      SELECT subject_id, window_start::TIMESTAMP AS window_start, member, category, cluster_rank, window_rank FROM j WHERE cluster_rank <= 50""",
+    "wf09_cluster_evolves": f"""WITH {FACTS}, {MONTHS}, {VOTES}, c AS (SELECT subject_id, window_start, category, count(*) AS size FROM cats GROUP BY 1, 2, 3), p AS (SELECT subject_id, w, lag(w) OVER (PARTITION BY subject_id ORDER BY w) AS prev FROM win)
+      SELECT c.subject_id, c.window_start::TIMESTAMP AS window_start, c.category, c.size, EXISTS (SELECT 1 FROM c o WHERE o.subject_id = c.subject_id AND o.category = c.category AND o.window_start = p.prev) AS evolves FROM c JOIN p ON p.subject_id = c.subject_id AND p.w = c.window_start""",
+    "wf13_topic_support": f"""WITH {FACTS} SELECT sha256(predicate || '|' || object_signature || '|' || modality || '|' || polarity) AS topic_id, (row_number() OVER (PARTITION BY predicate, object_signature, modality, polarity ORDER BY coalesce(valid_from, asserted_at), assertion_id) - 1)::INT AS rank, assertion_id FROM facts""",
+    "gr23_message_anchors": f"WITH {SAID}, a AS (SELECT DISTINCT message_id, predicate FROM ({_patterns()})) SELECT 'ASSERTED_IN' AS edge_type, count(*) AS n, count(DISTINCT message_id) AS messages FROM a",
+    "ag26_surface_distribution": f"""WITH {SAID}, hit AS (SELECT regexp_extract(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\\.[A-Za-z]{{2,}}') AS s FROM said WHERE text LIKE '%@%' UNION ALL SELECT rtrim(regexp_extract(text, 'https?://[^ ]+'), '.,;:!?)>]') FROM said WHERE text LIKE '%http%')
+      SELECT surfaces::INT AS surfaces, count(*) AS entities FROM (SELECT lower(s), count(DISTINCT s) AS surfaces FROM hit GROUP BY 1) GROUP BY 1""",
+    "qry01_user_entities": f"""WITH {SAID}, hit AS (
+      SELECT 'EMAIL' AS kind, lower(regexp_extract(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\\.[A-Za-z]{{2,}}')) AS key, * FROM said WHERE text LIKE '%@%'
+      UNION ALL SELECT 'URL', lower(rtrim(regexp_extract(text, 'https?://[^ ]+'), '.,;:!?)>]')), * FROM said WHERE text LIKE '%http%')
+      SELECT kind, key, round(0.3 * count(*) + 0.4 * count(DISTINCT conversation_id) + 0.2 * count(*) FILTER (role = 'user') / count(*) + 0.1 * exp(-ln(2) * epoch(TIMESTAMP '2024-01-01' - max(created_at)) / 86400 / 90), 6) AS salience
+      FROM hit GROUP BY 1, 2 HAVING count(*) FILTER (role = 'user') > 0 ORDER BY salience DESC, kind, key LIMIT 50""",
+    "ag24_top_words": f"""WITH {CHAT}, w AS (SELECT regexp_replace(unnest(regexp_split_to_array(lower(text), '\\s+')), '[^\\p{{L}}\\p{{N}}_-]', '', 'g') AS word FROM chat) SELECT word, count(*) AS n FROM w WHERE length(word) >= 3 GROUP BY 1 ORDER BY n DESC, word LIMIT 50""",
     "fn30_lexicon_score": "SELECT p_partkey, round(p_size + 2.0 * (p_partkey % 7) + 0.5 * (p_retailprice / 1000.0) - 0.5, 6) AS score FROM part",
 }

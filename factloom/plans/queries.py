@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from factloom.functions import ids, scores, times
 from factloom.functions.text import entity_key, inferred_type, jaro_winkler, project_of, trimmed_url
-from factloom.operators import analytics, assertions, detect, entities, graph, lexicon, profile, temporal, threads, timex
+from factloom.operators import analytics, assertions, detect, entities, graph, lexicon, markup, profile, temporal, threads, timex
 from factloom.sources import tables
 
 AS_OF = "2024-01-01 00:00:00"
@@ -463,3 +463,60 @@ def qry02_active_facts(spark, sf_dir):
     ready = temporal.eligibility(rows).drop("reasons").withColumn("functional", F.col("predicate").isin("works_at", "lives_in", "has_name"))
     done = temporal.apply_functional(ready)
     return done.where("status = 'active'").select("subject_id", "predicate", "object", "valid_from", "valid_to", F.round("confidence", 6).alias("confidence")).orderBy(F.desc("valid_from"), "subject_id", "predicate", "object")
+
+
+def fn52_exclusions(spark, sf_dir):
+    """Fences and quotes around statements, and what is left outside."""
+    said = tables.utterances(spark, sf_dir)
+    text = F.when(F.col("message_id") % 3 == 0, F.concat("text", F.lit("\n```py\nx=1\n```\nend"))).when(F.col("message_id") % 3 == 1, F.concat(F.lit("> quoted\n"), "text")).otherwise(F.col("text"))
+    rows = markup.with_exclusions(said.withColumn("text", text), quotes=True)
+    return rows.select("message_id", F.size("fences").alias("fences"), F.size("blockquotes").alias("quotes"), F.get("excluded", F.lit(0))["start"].alias("start"), F.get("excluded", F.lit(0))["end"].alias("end"))
+
+
+def tp04_profile_graph(spark, sf_dir):
+    """Nodes and edges of profiles, by type."""
+    rows, found = (x.persist() for x in _ranked(spark, sf_dir))
+    some_nodes, some_edges = graph.profile_graph(found, rows, profile.clusters(rows, found).persist())
+    kept = graph.without_dangling(some_edges, some_nodes)
+    return some_nodes.groupBy(F.col("node_type").alias("kind")).agg(F.count(F.lit(1)).alias("n")).unionByName(kept.groupBy(F.col("edge_type").alias("kind")).agg(F.count(F.lit(1)).alias("n")))
+
+
+def qry01_user_entities(spark, sf_dir):
+    """The fifty most salient entities that users mentioned."""
+    rows = _mentions(spark, sf_dir).persist()
+    found = entities.consolidated(rows, F.to_timestamp(F.lit(AS_OF)))
+    named = rows.where("role = 'user'").select("kind", entity_key(F.col("kind"), F.col("surface")).alias("key")).distinct()
+    return found.join(named, ["kind", "key"], "left_semi").select("kind", "key", F.round("salience", 6).alias("salience")).orderBy(F.desc("salience"), "kind", "key").limit(50)
+
+
+def qry03_month_items(spark, sf_dir):
+    """Members of windows of one month with category and salience, twenty at most."""
+    rows, found = _ranked(spark, sf_dir)
+    months = found.where(F.date_format("window_start", "yyyy-MM").startswith("2024-01") | F.col("label").startswith("January"))
+    return rows.join(months.select("subject_id", "window_start", "label"), ["subject_id", "window_start"]).select("subject_id", "label", "member", "category", F.round("salience", 6).alias("salience")).orderBy(F.desc("salience"), "subject_id", "member").limit(20)
+
+
+def wf13_topic_support(spark, sf_dir):
+    """Topics' statements in order of time."""
+    found = graph.topics(_facts(spark, sf_dir))
+    return found.select("topic_id", F.posexplode("members").alias("rank", "assertion_id"))
+
+
+def gr23_message_anchors(spark, sf_dir):
+    """Edges from assertions to their messages, none dangling."""
+    said = threads.eligible(tables.utterances(spark, sf_dir))
+    made = assertions.extracted(said).withColumn("assertion_id", F.concat_ws("-", F.col("message_id").cast("string"), "predicate"))
+    own = graph.nodes(made, "Assertion", F.col("assertion_id"), F.col("surface"))
+    kept = graph.without_dangling(graph.asserted_in(made), graph.message_nodes(said).unionByName(own))
+    return kept.groupBy("edge_type").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("dst_id").alias("messages"))
+
+
+def ag26_surface_distribution(spark, sf_dir):
+    """How many entities have how many surfaces."""
+    found = entities.consolidated(_mentions(spark, sf_dir), F.to_timestamp(F.lit(AS_OF)))
+    return found.groupBy(F.size("aliases").alias("surfaces")).agg(F.count(F.lit(1)).alias("entities"))
+
+
+def so06_sample(spark, sf_dir):
+    """A tenth of events, the least hashes of their ids."""
+    return _table(spark, sf_dir, "events").where(F.pmod(F.crc32(F.col("event_id").cast("string").cast("binary")), F.lit(10)) == 0).select("event_id", "event_type")
