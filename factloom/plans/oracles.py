@@ -65,6 +65,15 @@ def _patterns() -> str:
     )
 
 
+#: The time mentions that statements can hold, by what is said in them.
+TIMES = """times AS (
+    SELECT message_id, 'ISO_DATE' AS pattern, regexp_extract(text, '[0-9]{4}-[0-9]{2}-[0-9]{2}') AS surface, regexp_extract(text, '[0-9]{4}-[0-9]{2}-[0-9]{2}')::TIMESTAMP AS a, regexp_extract(text, '[0-9]{4}-[0-9]{2}-[0-9]{2}')::TIMESTAMP + INTERVAL 1 DAY AS b, 1 AS less FROM said WHERE regexp_matches(text, '[0-9]{4}-[0-9]{2}-[0-9]{2}')
+    UNION ALL SELECT message_id, 'RELATIVE_DAY', 'today', date_trunc('day', created_at), date_trunc('day', created_at) + INTERVAL 1 DAY, 1 FROM said WHERE text LIKE '% today'
+    UNION ALL SELECT message_id, 'RELATIVE_AGO', '3 weeks ago', date_trunc('day', created_at) - INTERVAL 21 DAY, date_trunc('day', created_at) - INTERVAL 20 DAY, 1 FROM said WHERE text LIKE '%3 weeks ago'
+    UNION ALL SELECT message_id, 'RELATIVE_PERIOD', 'last month', date_trunc('month', created_at) - INTERVAL 1 MONTH, date_trunc('month', created_at), 1 FROM said WHERE text LIKE '%last month'
+    UNION ALL SELECT message_id, 'YEAR_ONLY', substr(text, 19, 4), make_timestamp(substr(text, 19, 4)::BIGINT, 1, 1, 0, 0, 0), make_timestamp(substr(text, 19, 4)::BIGINT + 1, 1, 1, 0, 0, 0), 1000 FROM said WHERE text LIKE 'Nothing to say in %'),
+  spoken AS (SELECT t.*, strpos(text, surface) - 1 AS place, strftime(a, '%Y-%m-%dT%H:%M:%S.%gZ') AS valid_from, strftime(b - to_milliseconds(less), '%Y-%m-%dT%H:%M:%S.%gZ') AS valid_to FROM times t JOIN said USING (message_id))"""
+
 ORACLES = {
     "prj02_role_normalize": f"WITH {CHAT} SELECT message_id, CASE WHEN lower(role) IN ('user', 'assistant', 'system', 'tool') THEN lower(role) ELSE 'unknown' END AS role FROM chat",
     "flt02_eligible_messages": f"WITH {CHAT} SELECT message_id, conversation_id, role FROM chat WHERE role IN ('user', 'assistant') AND length(text) >= 10",
@@ -132,6 +141,9 @@ ORACLES = {
       SELECT kind, key, key AS name, mentions, conversations, user_mentions,
              round(0.3 * mentions + 0.4 * conversations + 0.2 * user_mentions / mentions + 0.1 * exp(-ln(2) * epoch(TIMESTAMP '2024-01-01' - last_seen) / 86400 / 90), 6) AS salience FROM per""",
     "ap22_predicates": f"""WITH {SAID} SELECT predicate AS label, min(created_at) AS first_seen, count(*) AS assertions FROM ({_patterns()}) JOIN said USING (message_id) GROUP BY 1""",
+    "tm_time_mentions": f"""WITH {SAID}, {TIMES} SELECT message_id, pattern, place::INT AS "start", surface, 'interval' AS resolved_type, valid_from, valid_to FROM spoken""",
+    "tr01_valid_time": f"""WITH {SAID}, {TIMES} SELECT message_id || '-' || predicate AS assertion_id, coalesce(valid_from, strftime(created_at, '%Y-%m-%dT%H:%M:%S.%gZ')) AS valid_from, valid_to,
+      CASE WHEN valid_from IS NULL THEN 'asserted_at' ELSE 'explicit' END AS valid_source FROM ({_patterns()}) JOIN said USING (message_id) LEFT JOIN spoken USING (message_id)""",
     "fn52_exclusions": f"""WITH {SAID} SELECT message_id, (message_id % 3 = 0)::INT AS fences, (message_id % 3 = 1)::INT AS quotes,
       CASE message_id % 3 WHEN 0 THEN length(text) + 1 WHEN 1 THEN 0 END::INT AS "start", CASE message_id % 3 WHEN 0 THEN length(text) + 14 WHEN 1 THEN 8 END::INT AS "end" FROM said""",
     "wf10_cluster_rank": f"""WITH {FACTS}, {MEMBERS}, {VOTES}, j AS (SELECT *, row_number() OVER (PARTITION BY subject_id, window_start, category ORDER BY salience DESC, member)::INT AS cluster_rank,
