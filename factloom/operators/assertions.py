@@ -12,7 +12,7 @@ from factloom.config import AssertionConfig
 from factloom.functions.ids import entity_id, json_string
 from factloom.functions.scores import final_confidence, grounding
 from factloom.functions.spans import overlaps
-from factloom.functions.text import collapsed, jaro_winkler, nfkc
+from factloom.functions.text import collapsed, jaro_winkler, jaro_winkler_of, nfkc
 
 _KIN = "mother|father|sister|brother|wife|husband|friend|colleague|boss|partner|child|son|daughter"
 # Predicate, object kind, modality, confidence, priority and pattern (the named groups are subject, object and relation).
@@ -139,13 +139,17 @@ def corroborated(assertions: DataFrame, config: AssertionConfig = AssertionConfi
 
     Predicates may differ a little; objects, subjects and conversations may not.
     """
-    users = assertions.where("role = 'user'").select("conversation_id", "subject", "object_signature", F.col("order_index").alias("at"), F.col("predicate").alias("said"))
-    asked = assertions.where("role = 'assistant'").select("assertion_id", "conversation_id", "subject", "object_signature", "order_index", "predicate")
-    met = asked.join(users, ["conversation_id", "subject", "object_signature"]).where((F.col("at") >= F.col("order_index") - config.corroboration_window) & (F.col("at") < F.col("order_index")))
-    same = met.where("predicate = said").select("assertion_id")
-    alike = met.where("predicate <> said").where(jaro_winkler("predicate", "said") >= config.predicate_similarity).select("assertion_id")
-    yes = same.union(alike).distinct().withColumn("corroborated", F.lit(True))
-    return assertions.join(yes, "assertion_id", "left").withColumn("corroborated", F.coalesce("corroborated", F.lit(False)))
+    before = Window.partitionBy("conversation_id", "subject", "object_signature").orderBy("order_index").rangeBetween(-config.corroboration_window, -1)
+
+    @F.pandas_udf("boolean")
+    def alike(predicate: pd.Series, said: pd.Series) -> pd.Series:
+        return pd.Series([any(jaro_winkler_of(p, x) >= config.predicate_similarity for x in some) for p, some in zip(predicate, said, strict=True)], dtype="bool")
+
+    # what users said of it in the messages before: few predicates a row
+    heard = assertions.withColumn("_said", F.when(F.col("role") == "assistant", F.collect_set(F.when(F.col("role") == "user", F.col("predicate"))).over(before)).otherwise(F.array().cast("array<string>")))
+    exact = F.array_contains("_said", F.col("predicate"))
+    rest = F.when(exact, F.array().cast("array<string>")).otherwise(F.col("_said"))
+    return heard.withColumn("corroborated", exact | alike("predicate", rest)).drop("_said")
 
 
 def grounded(messages: DataFrame, candidates: DataFrame, entities: DataFrame, owner: str | None = None, config: AssertionConfig = AssertionConfig()) -> DataFrame:
