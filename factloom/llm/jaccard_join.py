@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from factloom.llm.components import connected_components
-from factloom.llm.shared import bounded_batches, cut, drop_cut
+from factloom.llm.shared import bounded_batches, cut, drop_cut, give_back
 
 ELIGIBLE = 0.22  # share of the hash range that decides first
 SMALL_ROWS = 1 << 19  # rows of two numbers that may be broadcast (about 16 MB)
@@ -78,6 +78,7 @@ def set_classes(docs: DataFrame, width: int, id_col: str = "doc_id", text_col: s
         for batch in batches:
             found = [(set_identity(s)[0], len(s)) for _, some in _sets(batch, width) for s in some]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("row"), pa.array([x[0] for x in found], pa.int64()), pa.array([x[1] for x in found], pa.int64())], ["doc_id", "row", "class", "n"])
+        give_back()
 
     return kept.mapInArrow(run, f"doc_id {id_type}, row long, class long, n long")
 
@@ -100,6 +101,7 @@ def _tokens(texts: DataFrame, width: int, percent: int, share: float, least: int
                 classes = np.repeat([set_identity(s)[0] for s in some], [len(x) for x in kept])
                 low = np.concatenate([np.arange(len(x)) < _prefix_length(len(s), percent) for s, x in zip(some, kept, strict=True)])
                 yield pa.RecordBatch.from_arrays([pa.array(classes, pa.int64()), pa.array(_signed(np.concatenate(kept)), pa.int64()), pa.array(low, pa.bool_())], ["class", "token", "low"])
+        give_back()
 
     return texts.select("text").mapInArrow(run, "class long, token long, low boolean")
 
@@ -167,6 +169,7 @@ def compared(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> Da
                     else:
                         rest.append(None)
             yield pa.RecordBatch.from_arrays([a, b, pa.array(common, pa.int64()), pa.array(linked, pa.bool_()), pa.array(rest, pa.list_(pa.int64()))], ["a", "b", "both", "linked", "rest"])
+        give_back()
 
     return full.select("a", "b", "text_a", "text_b", *(["own_tokens"] if with_rest else [])).mapInArrow(run, "a long, b long, both long, linked boolean, rest array<long>")
 
@@ -273,7 +276,7 @@ def keep_one(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "
 
     Documents without words all stay.
     """
-    found = near_duplicates(docs, width, percent, id_col, text_col)
+    found = cut(near_duplicates(docs, width, percent, id_col, text_col))
     rank = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("row"))
     chosen = found.where("n_shingles > 0").groupBy("component").agg(F.min_by("row", rank).alias("row")).select("row", F.lit(True).alias("once"))
     wordless = found.where("n_shingles = 0").select("row", F.lit(False).alias("once")).distinct()

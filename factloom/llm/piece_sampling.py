@@ -36,10 +36,10 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from factloom.llm.shared import bounded_batches
+from factloom.llm.shared import bounded_batches, give_back
 
 SHIFT = 10.0
-BATCH_CHARS = 2_000_000
+BATCH_CHARS = 400_000
 BLANK = "▁"
 _UNIT = re.compile(r" +[^ \n]*|[^ \n]+|\n")
 _DENSE = 256
@@ -407,5 +407,8 @@ def sample_encode(docs: DataFrame, model_path: str, k: int = 2, alpha: float = 0
                 ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([*[x[2] for x in flat], np.zeros(0, np.int32)]).astype(np.int32)))
                 columns = [doc_ids.take(pa.array([x[0] for x in flat], pa.int64())), pa.array([x[1] for x in flat], pa.int32()), pa.array(np.diff(offsets), pa.int32()), *[pa.array([x[c] for x in flat], pa.float64()) for c in (3, 4, 5)], ids, pa.array([x[6] for x in flat], pa.bool_())]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "sample", "n_pieces", "log_prob", "perturbed", "log_inclusion", "ids", "decoded_ok"])
+        _MODELS.clear()  # idle workers are kept for other stages: they need not keep the trie
+        del pieces
+        give_back()
 
     return kept.mapInArrow(run, f"doc_id {id_type}, sample int, n_pieces int, log_prob double, perturbed double, log_inclusion double, ids array<int>, decoded_ok boolean")

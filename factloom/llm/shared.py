@@ -40,13 +40,26 @@ def drop_cut(df: DataFrame) -> None:
 
 
 def bounded_batches(spark: SparkSession) -> None:
-    """Arrow batches of at most 8 MB and 2000 rows from here on: texts may be long, and a batch is held whole on both sides."""
-    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", 2000), ("spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20)):
+    """Arrow batches of at most 4 MB and 2000 rows from here on: texts may be long, and a batch is held whole on both sides."""
+    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", 2000), ("spark.sql.execution.arrow.maxBytesPerBatch", 4 << 20)):
         now = spark.conf.get(key, None)
         if now is None or not now.isdigit() or not 0 < int(now) <= most:
             spark.conf.set(key, str(most))
 
 
+def give_back() -> None:
+    """Memory that a Python worker no longer uses goes back to the machine: idle workers keep what they once held."""
+    import ctypes
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        return  # another C library
+
+
 def tokenizer_file(name: str) -> str:
     """Place of a public vocabulary file on this machine (the same on every executor)."""
     import public_tokenizers

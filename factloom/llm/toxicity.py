@@ -28,7 +28,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from factloom.llm.shared import bounded_batches
+from factloom.llm.shared import bounded_batches, give_back
 
 BITS, DIM = 18, 8
 BUCKETS = 1 << BITS
@@ -231,6 +231,8 @@ def score(docs: DataFrame, table: np.ndarray, bias: float, id_col: str = "doc_id
                 scores = score_texts(t, b, [x or "" for x in some.column(read).to_pylist()], known)
                 names = [c for c in some.schema.names if given or c != read]
                 yield pa.RecordBatch.from_arrays([*[some.column(c) for c in names], pa.array(scores, pa.float64())], [*names, "score"])
+        known.clear()
+        give_back()
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema if given or f.name != read)
     return kept.mapInArrow(run, f"{schema}, score double")
