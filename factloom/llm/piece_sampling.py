@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from factloom.llm.shared import bounded_batches, give_back
 
 SHIFT = 10.0
-BATCH_CHARS = 400_000
+BATCH_CHARS = 600_000
 BLANK = "▁"
 _UNIT = re.compile(r" +[^ \n]*|[^ \n]+|\n")
 _DENSE = 256
@@ -87,6 +87,8 @@ class Pieces:
         zipf = -np.log(rank + SHIFT)
         self.logp = alpha * (zipf - np.log(np.exp(zipf).sum()))
         self.byte_logp = float(self.logp[self.byte_id[0]])
+        self.lowest = 4 * float(self.logp.min())  # of one character, spelt in bytes if need be
+        self.bytes_array = np.array([*self.bytes_of, b""], dtype=object)[:-1]
         letters = sorted({c for s in spelt for c in s}, key=lambda c: spelt.get(c, size))
         self.code = np.full(0x110000, len(letters), np.int32)
         self.code[[ord(c) for c in letters]] = np.arange(len(letters))
@@ -191,13 +193,17 @@ class Lattice:
         far = left[src]
         by_far = np.argsort(far.astype(np.uint16) if len(far) and far.max() < 1 << 16 else far, kind="stable")
         cuts = np.searchsorted(far[by_far], np.arange(1, int(far.max()) + 2)) if len(far) else []
-        for lo, hi in zip(cuts, cuts[1:], strict=False):
+        for distance, (lo, hi) in enumerate(zip(cuts, cuts[1:], strict=False), 1):
+            near = distance * pieces.lowest > -600
             if lo == hi:
                 continue
             e = by_far[lo:hi]
             s = self.src[e]
             new = np.flatnonzero(np.concatenate([[True], s[1:] != s[:-1]]))
             value = logp[e] + self.beta[self.dst[e]]
+            if near:  # sums of so few factors do not vanish
+                self.beta[s[new]] = np.log(np.add.reduceat(np.exp(value), new))
+                continue
             top = np.maximum.reduceat(value, new)
             total = np.add.reduceat(np.exp(value - np.repeat(top, np.diff(np.append(new, len(e))))), new)
             self.beta[s[new]] = top + np.log(total)
@@ -288,8 +294,8 @@ def _bounds(before: np.ndarray, logp: np.ndarray, top: np.ndarray | float, seeds
 
 
 def sample_rows(pieces: Pieces, texts: list[str], keys: np.ndarray, k: int) -> list[list[tuple[np.ndarray, float, float, float]]]:
-    """For each text: up to k of (ids, log-probability, perturbed value, log inclusion probability), best first."""
-    units = [_UNIT.findall(" " + t.replace(BLANK, " ")) if t else [] for t in texts]
+    """For each text (blanks for U+2581): up to k of (ids, log-probability, perturbed value, log inclusion probability), best first."""
+    units = [_UNIT.findall(" " + t) if t else [] for t in texts]
     kinds = dict.fromkeys(chain.from_iterable(units))
     number_of = dict(zip(kinds, range(len(kinds)), strict=True)).__getitem__
     per_row = [np.array(list(map(number_of, row)), np.int64) for row in units]
@@ -371,9 +377,9 @@ def _spelt(pieces: Pieces, found: np.ndarray) -> np.ndarray:
     return np.array(out, np.int32)
 
 
-def decode_ids(pieces: Pieces, ids: list[int]) -> str:
+def decode_ids(pieces: Pieces, ids: np.ndarray | list[int]) -> str:
     """The text of a sequence of ids."""
-    text = b"".join(map(pieces.bytes_of.__getitem__, ids)).decode("utf-8", "replace")
+    text = b"".join(pieces.bytes_array[np.asarray(ids, np.int64)].tolist()).decode("utf-8", "replace")
     return text[1:] if text.startswith(" ") else text
 
 
@@ -400,8 +406,9 @@ def sample_encode(docs: DataFrame, model_path: str, k: int = 2, alpha: float = 0
                 while start + len(some) < len(texts) and (not some or held < BATCH_CHARS):
                     some.append(texts[start + len(some)].as_py())
                     held += len(some[-1])
-                rows = sample_rows(pieces, some, keys[start : start + len(some)], k)
-                flat = [(start + i, n, *x, decode_ids(pieces, x[0].tolist()) == some[i].replace(BLANK, " ")) for i, row in enumerate(rows) for n, x in enumerate(row, 1)]
+                plain = [t.replace(BLANK, " ") for t in some]
+                rows = sample_rows(pieces, plain, keys[start : start + len(some)], k)
+                flat = [(start + i, n, *x, decode_ids(pieces, x[0]) == plain[i]) for i, row in enumerate(rows) for n, x in enumerate(row, 1)]
                 start += len(some)
                 offsets = np.concatenate([[0], np.cumsum([len(x[2]) for x in flat])]).astype(np.int32)
                 ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([*[x[2] for x in flat], np.zeros(0, np.int32)]).astype(np.int32)))
