@@ -13,8 +13,9 @@ Two documents link if 100 * |A and B| >= percent * |A or B|.
    their shared part is kept. Classes with equal shared prefix, size and number
    of own tokens form one group.
 4. Groups that share a prefix token meet that token's pivot group (fewest own
-   tokens); members are verified against the group's and the pivot's first
-   member on whole sets, and components taken.
+   tokens; a group that shares none is its own pivot); members are verified
+   against the group's and the pivot's first member on whole sets, and
+   components taken.
 5. Where a token still joins several components, pairs across them are looked
    for in two ways that together miss none. If what the two have in common with
    the token's pivot may be enough, sizes must be close: they meet by token and
@@ -199,7 +200,12 @@ def class_links(docs: DataFrame, classes: DataFrame, width: int, percent: int, i
     groups = cut(left.groupBy("n", "own", "tokens").agg(F.min("class").alias("group")))
     members = cut(left.join(groups, ["n", "own", "tokens"]).select("class", "group", "n", "own"))
     keyed = cut(groups.select("group", "n", "own", F.explode("tokens").alias("token")))
-    pivots = cut(keyed.groupBy("token").agg(F.min(F.struct("own", "n", "group")).alias("pivot"), F.count(F.lit(1)).alias("groups")).where("groups > 1").select("token", F.col("pivot.group").alias("pivot")))
+    counted = cut(keyed.groupBy("token").agg(F.min(F.struct("own", "n", "group")).alias("pivot"), F.count(F.lit(1)).alias("groups")))
+    # a group that shares no prefix token with another is a pivot to its own members, by one token that all of them have
+    several = members.where("class <> group").select("group").distinct()
+    lone = keyed.join(several, "group").join(counted, "token").groupBy("group").agg(F.max("groups").alias("groups"), F.min("token").alias("token")).where("groups = 1")
+    pivots = cut(counted.where("groups > 1").select("token", F.col("pivot.group").alias("pivot")).union(lone.select("token", F.col("group").alias("pivot"))))
+    drop_cut(counted)
     near = keyed.join(pivots, "token").where("group <> pivot").select("group", "pivot").distinct()
     pairs = members.join(near, "group").select(F.col("class").alias("a"), F.col("pivot").alias("b"))
     inside = members.where("class <> group").select(F.col("class").alias("a"), F.col("group").alias("b"))

@@ -200,6 +200,30 @@ def test_near_duplicates_against_brute_force(spark, width, percent, seed):
     assert got == true_components(texts, width, percent)
 
 
+def revisions(seed, families=60, n=50, changed=7):
+    """Families of two revisions below 0.8 to each other, two copies of each with one word of their own."""
+    rng = np.random.default_rng(seed)
+    texts = []
+    for f in range(families):
+        first = [f"w{f}x{i}" for i in range(n)]
+        second = list(first)
+        for i in rng.choice(n, changed, replace=False):
+            second[i] = f"v{f}x{i}"
+        for r, base in enumerate((first, second)):
+            for c in range(2):
+                copy = list(base)
+                copy[rng.integers(n)] = f"own{f}x{r}x{c}"
+                texts.append(" ".join(copy))
+    return dict(enumerate(texts))
+
+
+def test_links_inside_a_lone_group(spark):
+    texts = revisions(11)
+    frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.near_duplicates(frame, 1, 80).collect()}
+    assert got == true_components(texts, 1, 80)
+
+
 def test_one_document_of_each_component_stays(spark, docs, empty):
     texts = copies(3, 4, 5)
     frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
