@@ -10,6 +10,11 @@ least ``similarity`` of its tokens stay. Templates found in at least
 their first occurrence (least doc_id, then row and line), so that one copy of
 what is said stays. ``keep_first=False`` drops that one too.
 
+For lines of more than ``long_tokens`` tokens ``long_docs`` documents are enough.
+With ``spare`` (width, percent) lines that recur by that alone stay in a document
+that is, without its other dropped lines, a near copy of the document of the
+first occurrence: such documents are left whole for document dedup.
+
 Lines of fewer than ``min_tokens`` tokens, blank lines included, are never
 dropped. Null text stays null. Documents that are equal in id and text count
 once. A document may be left with the empty text. An empty table gives an empty
@@ -62,43 +67,77 @@ def _checked(small: DataFrame) -> DataFrame:
     return F.broadcast(small) if small.count() <= SMALL_ROWS else small
 
 
-def _recurring(found: DataFrame, by: str, min_docs: int) -> DataFrame:
-    """by, first (id, key, line_no) for each value that min_docs documents or more have."""
-    once = found.groupBy(by, "key").agg(F.min(F.struct("id", "key", "line_no")).alias("first"))
-    return once.groupBy(by).agg(F.count(F.lit(1)).alias("docs"), F.min("first").alias("first")).where(F.col("docs") >= min_docs)
+def _recurring(found: DataFrame, by: str, needed: Column) -> DataFrame:
+    """by, docs, first (id, key, line_no) for each value that as many documents as needed (by n) have."""
+    once = found.groupBy(by, "n", "key").agg(F.min(F.struct("id", "key", "line_no")).alias("first"))
+    return once.groupBy(by, "n").agg(F.count(F.lit(1)).alias("docs"), F.min("first").alias("first")).where(F.col("docs") >= needed).select(by, "docs", "first")
+
+
+def _without(docs: DataFrame, drops: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """docs with _drop_key and _left (the text without the lines in drops; as it stands where there are none)."""
+    per_row = drops.groupBy("key").agg(F.collect_set("line_no").alias("numbers")).toDF("_drop_key", "_drop_numbers")
+    joined = docs.join(per_row, _row_key(id_col, text_col) == F.col("_drop_key"), "left")
+    left = F.array_join(F.filter(F.split(text_col, "\n"), lambda line, i: ~F.array_contains("_drop_numbers", i)), "\n")
+    return joined.withColumn("_left", F.when(F.col("_drop_numbers").isNull(), F.col(text_col)).otherwise(left))
+
+
+def _shingles(text: Column, width: int) -> Column:
+    """Hashes of the distinct runs of width words (all words, if they are fewer), words taken as document dedup takes them."""
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    words = F.split(F.trim(F.regexp_replace(F.translate(text, upper, upper.lower()), r"[\x20\x09-\x0D]+", " ")), " ")
 
+    def runs(w: Column) -> Column:
+        return F.transform(F.sequence(F.lit(1), F.greatest(F.size(w) - width + 1, F.lit(1))), lambda i: F.xxhash64(F.array_join(F.slice(w, i, width), " ")))
 
-def dropped_lines(docs: DataFrame, min_docs: int = 3, min_tokens: int = 3, similarity: float = 0.7, keep_first: bool = True, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    return F.array_distinct(F.flatten(F.transform(F.array(words), runs)))
+
+
+def _near_copies(docs: DataFrame, pairs: DataFrame, drops: DataFrame, width: int, percent: int, id_col: str, text_col: str) -> DataFrame:
+    """The pairs (key, kept) of rows that are near copies without the lines in drops."""
+    keys = _checked(cut(pairs.select("key").union(pairs.select("kept")).distinct().toDF("_key")))
+    some = docs.select(F.col(id_col), F.col(text_col)).join(keys, _row_key(id_col, text_col) == F.col("_key")).dropDuplicates(["_key"])
+    sets = cut(_without(some, drops, id_col, text_col).select("_key", _shingles(F.col("_left"), width).alias("set")))
+    met = pairs.join(sets.toDF("key", "one"), "key").join(sets.toDF("kept", "two"), "kept").withColumn("both", F.size(F.array_intersect("one", "two")))
+    return met.where(100 * F.col("both") >= percent * (F.size("one") + F.size("two") - F.col("both"))).select("key", "kept")
+
+
+def dropped_lines(docs: DataFrame, min_docs: int = 3, min_tokens: int = 3, similarity: float = 0.7, keep_first: bool = True, long_tokens: int = 50, long_docs: int = 2, spare: tuple[int, int] | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """key (of a row's id and text) and line_no of the lines to drop."""
+    needed = F.when(F.col("n") > long_tokens, min(long_docs, min_docs)).otherwise(min_docs)
     lines = cut(parsed_lines(docs, id_col, text_col)).where(F.col("n") >= min_tokens)
-    exact = cut(_recurring(lines, "template", min_docs).select("template", "first"))
+    exact = cut(_recurring(lines, "template", needed))
     known = _checked(exact.select("template"))
     # lines of up to DEPTH tokens are their own leaves: nothing is left to generalise
     longer = lines.where(F.col("n") > DEPTH)
-    leaves = cut(longer.groupBy("leaf", "key").agg(F.lit(1).alias("one")).groupBy("leaf").count().where(F.col("count") >= min_docs).select("leaf"))
+    leaves = cut(longer.groupBy("leaf", "n", "key").agg(F.lit(1).alias("one")).groupBy("leaf", "n").count().where(F.col("count") >= needed).select("leaf"))
     rest = cut(longer.join(_checked(leaves), "leaf", "left_semi").join(known, "template", "left_anti").select("key", "line_no", "n", "leaf").distinct())
     rest = cut(line_tokens(docs, rest, id_col, text_col))
-    fixed = rest.groupBy("leaf", "at", "token", "key").agg(F.lit(1).alias("one")).groupBy("leaf", "at", "token").count().where(F.col("count") >= min_docs).drop("count")
+    fixed = rest.groupBy("leaf", "n", "at", "token", "key").agg(F.lit(1).alias("one")).groupBy("leaf", "n", "at", "token").count().where(F.col("count") >= needed).drop("n", "count")
     general = rest.join(fixed, ["leaf", "at", "token"]).groupBy("id", "key", "line_no", "n", "leaf").agg(F.sort_array(F.collect_list(F.struct("at", "token"))).alias("kept"))
     general = general.where(F.size("kept") >= F.col("n") * similarity)
-    general = cut(general.select("id", "key", "line_no", F.xxhash64("leaf", "kept").alias("template")))
+    general = cut(general.select("id", "key", "line_no", "n", F.xxhash64("leaf", "kept").alias("template")))
     drop_cut(rest)
 
     def to_drop(all_lines: DataFrame, recurring: DataFrame) -> DataFrame:
         met = all_lines.select("key", "line_no", "template").join(recurring, "template")
         if keep_first:
             met = met.where((F.col("key") != F.col("first.key")) | (F.col("line_no") != F.col("first.line_no")))
-        return met.select("key", "line_no")
+        return met.select("key", "line_no", F.col("first.key").alias("kept"), (F.col("docs") < min_docs).alias("by_length"))
 
-    return to_drop(lines, _checked(exact)).unionByName(to_drop(general, _recurring(general, "template", min_docs).select("template", "first")))
+    drops = to_drop(lines, _checked(exact)).unionByName(to_drop(general, _recurring(general, "template", needed)))
+    if not spare:
+        return drops.select("key", "line_no")
+    drops = cut(drops)
+    others = drops.where("not by_length").select("key", "line_no")
+    pairs = cut(drops.where("by_length and key <> kept").select("key", "kept").distinct())
+    near = _checked(cut(_near_copies(docs, pairs, others, *spare, id_col, text_col)))
+    return others.unionByName(drops.where("by_length").join(near, ["key", "kept"], "left_anti").select("key", "line_no"))
 
 
-def dedup_lines(docs: DataFrame, min_docs: int = 3, min_tokens: int = 3, similarity: float = 0.7, keep_first: bool = True, id_col: str = "doc_id", text_col: str = "text", length_col: str = "n_chars") -> DataFrame:
+def dedup_lines(docs: DataFrame, min_docs: int = 3, min_tokens: int = 3, similarity: float = 0.7, keep_first: bool = True, long_tokens: int = 50, long_docs: int = 2, spare: tuple[int, int] | None = None, id_col: str = "doc_id", text_col: str = "text", length_col: str = "n_chars") -> DataFrame:
     """docs, each text without its lines whose template recurs across documents."""
-    drops = dropped_lines(docs, min_docs, min_tokens, similarity, keep_first, id_col, text_col)
-    per_row = drops.groupBy("key").agg(F.collect_set("line_no").alias("numbers")).toDF("_drop_key", "_drop_numbers")
-    joined = docs.join(per_row, _row_key(id_col, text_col) == F.col("_drop_key"), "left")
-    left = F.array_join(F.filter(F.split(text_col, "\n"), lambda line, i: ~F.array_contains("_drop_numbers", i)), "\n")
-    text = F.when(F.col("_drop_numbers").isNull(), F.col(text_col)).otherwise(left)
+    drops = dropped_lines(docs, min_docs, min_tokens, similarity, keep_first, long_tokens, long_docs, spare, id_col, text_col)
+    joined = _without(docs, drops, id_col, text_col)
+    text = F.col("_left")
     new = {text_col: text, length_col: F.char_length(text).cast(docs.schema[length_col].dataType)} if length_col in docs.columns else {text_col: text}
     return joined.select(*[new[c].alias(c) if c in new else docs[c] for c in docs.columns])

@@ -151,6 +151,18 @@ def test_lines_recurring_across_documents_go(spark, docs, empty):
     assert line_dedup.dedup_lines(with_null_id(spark, docs)).count() == len(rows()) + 2
 
 
+def test_long_lines_of_two_documents_go(spark):
+    plain = lambda seed, n: words(seed, n, 400).translate(str.maketrans("0123456789", "abcdefghij"))
+    passage, own, tail = plain(31, 60), [plain(40 + i, 55) for i in range(4)], plain(50, 40)
+    texts = [f"{passage}\n{own[0]}", f"{own[1]}\n{passage}", f"{own[2]} {own[3]}\n{tail} x", f"{own[2]} {own[3]}\n{tail} y", "a short line\nof one", "a short line\nof two"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.text for r in line_dedup.dedup_lines(frame).collect()}
+    assert got[0] == texts[0] and got[1] == own[1] and got[2] == texts[2] and got[3] == texts[3].split("\n")[1]
+    assert got[4] == texts[4] and got[5] == texts[5]
+    spared = {r.doc_id: r.text for r in line_dedup.dedup_lines(frame, spare=(5, 80)).collect()}
+    assert spared == {**got, 3: texts[3]}  # a near copy as a whole
+
+
 # --- shingles, joins, components ------------------------------------------------------------------------------------
 
 
