@@ -5,7 +5,9 @@ Tokens that hold a digit are variable fields from the start. A template is
 either a masked line as it stands, or, within a leaf, a line generalised: a
 token stays if it stands at that place in lines of at least ``min_docs``
 documents, all others become variable; a generalised line counts only if at
-least ``similarity`` of its tokens stay. Templates found in at least
+least ``similarity`` of its tokens stay. A line has its own template and all those
+of its leaf that leave more places open and agree elsewhere; lines whose masked
+form recurs count too. Templates found in at least
 ``min_docs`` documents recur, and their lines are dropped everywhere but at
 their first occurrence (least doc_id, then row and line), so that one copy of
 what is said stays. ``keep_first=False`` drops that one too.
@@ -54,12 +56,13 @@ def parsed_lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def line_tokens(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """id, key, line_no, n, leaf, at and token (its hash) of the wanted lines (key, line_no, n, leaf)."""
-    per_row = wanted.groupBy("key").agg(F.collect_list(F.struct("line_no", "n", "leaf")).alias("wanted")).withColumnRenamed("key", "_key")
+    """id, key, at, token (its hash) and the other columns of the wanted lines (key, line_no, n, leaf and others)."""
+    others = [c for c in wanted.columns if c != "key"]
+    per_row = wanted.groupBy("key").agg(F.collect_list(F.struct(*others)).alias("wanted")).withColumnRenamed("key", "_key")
     rows = docs.select(F.col(id_col).alias("id"), _row_key(id_col, text_col).alias("key"), F.col(text_col).alias("text"))
     met = rows.join(F.broadcast(per_row) if wanted.count() <= SMALL_ROWS else per_row, F.col("key") == F.col("_key")).select("id", "key", F.split("text", "\n").alias("lines"), F.explode("wanted").alias("w"))
     tokens = met.select("id", "key", "w.*", F.split(_masked(F.get("lines", F.col("w.line_no"))), " ").alias("tokens"))
-    return tokens.select("id", "key", "line_no", "n", "leaf", F.posexplode(F.transform("tokens", lambda t: F.xxhash64(t))).alias("at", "token"))
+    return tokens.select("id", "key", *others, F.posexplode(F.transform("tokens", lambda t: F.xxhash64(t))).alias("at", "token"))
 
 
 def _checked(small: DataFrame) -> DataFrame:
@@ -68,9 +71,23 @@ def _checked(small: DataFrame) -> DataFrame:
 
 
 def _recurring(found: DataFrame, by: str, needed: Column) -> DataFrame:
-    """by, docs, first (id, key, line_no) for each value that as many documents as needed (by n) have."""
-    once = found.groupBy(by, "n", "key").agg(F.min(F.struct("id", "key", "line_no")).alias("first"))
-    return once.groupBy(by, "n").agg(F.count(F.lit(1)).alias("docs"), F.min("first").alias("first")).where(F.col("docs") >= needed).select(by, "docs", "first")
+    """by, n, leaf, docs, first (id, key, line_no) for each value that as many documents as needed (by n) have; a row may stand for ``held`` documents."""
+    held = F.max("held") if "held" in found.columns else F.lit(0)
+    once = found.groupBy(by, "n", "leaf", "key").agg(F.min(F.struct("id", "key", "line_no")).alias("first"), held.alias("held"))
+    docs = F.greatest(F.count(F.lit(1)), F.max("held")).alias("docs")
+    return once.groupBy(by, "n", "leaf").agg(docs, F.min("first").alias("first")).where(F.col("docs") >= needed)
+
+
+def _wider(general: DataFrame) -> DataFrame:
+    """narrow and template: the templates of a leaf whose places are some of another's (narrow) and agree with it there."""
+    places = F.transform("kept", lambda k: k["at"])
+    forms = general.select("leaf", "kept", F.col("template").alias("narrow")).distinct()
+    shapes = general.where("held = 0").select("leaf", places.alias("places")).distinct()
+    met = forms.join(shapes, "leaf").where(F.size("kept") > F.size("places"))
+    there = F.filter("kept", lambda k: F.array_contains("places", k["at"]))
+    met = met.select("leaf", "narrow", "places", there.alias("there")).where(F.size("there") == F.size("places"))
+    found = general.where("held = 0").select("template").distinct()
+    return met.select("narrow", F.xxhash64("leaf", "there").alias("template")).join(found, "template")
 
 
 def _without(docs: DataFrame, drops: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -110,21 +127,29 @@ def dropped_lines(docs: DataFrame, min_docs: int = 3, min_tokens: int = 3, simil
     # lines of up to DEPTH tokens are their own leaves: nothing is left to generalise
     longer = lines.where(F.col("n") > DEPTH)
     leaves = cut(longer.groupBy("leaf", "n", "key").agg(F.lit(1).alias("one")).groupBy("leaf", "n").count().where(F.col("count") >= needed).select("leaf"))
-    rest = cut(longer.join(_checked(leaves), "leaf", "left_semi").join(known, "template", "left_anti").select("key", "line_no", "n", "leaf").distinct())
-    rest = cut(line_tokens(docs, rest, id_col, text_col))
-    fixed = rest.groupBy("leaf", "n", "at", "token", "key").agg(F.lit(1).alias("one")).groupBy("leaf", "n", "at", "token").count().where(F.col("count") >= needed).drop("n", "count")
-    general = rest.join(fixed, ["leaf", "at", "token"]).groupBy("id", "key", "line_no", "n", "leaf").agg(F.sort_array(F.collect_list(F.struct("at", "token"))).alias("kept"))
+    rest = cut(longer.join(_checked(leaves), "leaf", "left_semi").join(known, "template", "left_anti").select("key", "line_no", "n", "leaf", F.lit(0).cast("long").alias("held")).distinct())
+    # one line stands for each recurring masked form of these leaves: its tokens stay, as all its documents have them
+    standing = exact.where(F.col("n") > DEPTH).join(_checked(cut(rest.select("leaf").distinct())), "leaf", "left_semi").select("first.key", "first.line_no", "n", "leaf", F.col("docs").alias("held"))
+    tokens = cut(line_tokens(docs, cut(rest.unionByName(standing)), id_col, text_col))
+    fixed = tokens.groupBy("leaf", "n", "at", "token", "key").agg(F.max("held").alias("held")).groupBy("leaf", "n", "at", "token").agg(F.greatest(F.count(F.lit(1)), F.max("held")).alias("docs")).where(F.col("docs") >= needed).select("leaf", "at", "token")
+    general = tokens.join(fixed, ["leaf", "at", "token"]).groupBy("id", "key", "line_no", "n", "leaf", "held").agg(F.sort_array(F.collect_list(F.struct("at", "token"))).alias("kept"))
     general = general.where(F.size("kept") >= F.col("n") * similarity)
-    general = cut(general.select("id", "key", "line_no", "n", F.xxhash64("leaf", "kept").alias("template")))
-    drop_cut(rest)
+    general = cut(general.withColumn("template", F.xxhash64("leaf", "kept")))
+    drop_cut(tokens)
+    own = general.drop("kept")
+    wider = cut(_wider(general))
+    matched = cut(own.unionByName(own.withColumnRenamed("template", "narrow").join(_checked(wider), "narrow").drop("narrow")))
 
     def to_drop(all_lines: DataFrame, recurring: DataFrame) -> DataFrame:
-        met = all_lines.select("key", "line_no", "template").join(recurring, "template")
-        if keep_first:
-            met = met.where((F.col("key") != F.col("first.key")) | (F.col("line_no") != F.col("first.line_no")))
-        return met.select("key", "line_no", F.col("first.key").alias("kept"), (F.col("docs") < min_docs).alias("by_length"))
-
-    drops = to_drop(lines, _checked(exact)).unionByName(to_drop(general, _recurring(general, "template", needed)))
+        met = all_lines.select("key", "line_no", "template").join(recurring.select("template", "docs", "first"), "template")
+        is_first = (F.col("key") == F.col("first.key")) & (F.col("line_no") == F.col("first.line_no"))
+        return met.select("key", "line_no", "first", is_first.alias("is_first"), (F.col("docs") < min_docs).alias("by_length"))
+
+    by_form = to_drop(lines, _checked(exact)).select("key", "line_no", F.col("first.key").alias("kept"), "is_first", "by_length")
+    by_field = to_drop(matched.where("held = 0"), _recurring(matched, "template", needed)).groupBy("key", "line_no")
+    by_field = by_field.agg(F.min("first").alias("first"), F.max("is_first").alias("is_first"), F.min("by_length").alias("by_length"))
+    drops = by_form.unionByName(by_field.select("key", "line_no", F.col("first.key").alias("kept"), "is_first", "by_length"))
+    drops = (drops.where("not is_first") if keep_first else drops).drop("is_first")
     if not spare:
         return drops.select("key", "line_no")
     drops = cut(drops)

@@ -163,6 +163,17 @@ def test_long_lines_of_two_documents_go(spark):
     assert spared == {**got, 3: texts[3]}  # a near copy as a whole
 
 
+def test_rare_values_of_a_skewed_field_go(spark):
+    values = ["rome"] * 6 + ["oslo", "bern", "rome"]
+    texts = [f"the parcel was sent out from {v} to you" for v in values]
+    texts += [f"we met in the old {v} of town {w} again" for v, w in zip(["inn"] * 3 + ["pub", "inn", "bar"], ["today"] * 3 + ["once", "late", "twice"], strict=True)]
+    texts += ["the parcel was lost", "a parcel was sent out from oslo to you", "we met in the new park of village today once"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.text for r in line_dedup.dedup_lines(frame).collect()}
+    assert {i for i, t in got.items() if t} == {0, 9, 15, 16, 17}
+    assert all(got[i] == texts[i] for i in (0, 9, 15, 16, 17))
+
+
 # --- shingles, joins, components ------------------------------------------------------------------------------------
 
 
