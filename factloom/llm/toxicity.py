@@ -191,22 +191,23 @@ def held_out(doc_id: Column) -> Column:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, max_rows: int = 6000, max_chars: int = 12 << 20) -> tuple[list[str], np.ndarray]:
-    """Labelled texts outside the held-out fifth: the least hashes of doc_id first, up to both bounds."""
+    """Labelled texts outside the held-out fifth: the least hashes of doc_id first, up to both bounds; a text that does not fit is passed over."""
     marked = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     order = (F.xxhash64("doc_id"), F.col("doc_id"))
     # lengths first: what is brought to the driver is bounded before any text is
-    sized = docs.select("doc_id", F.char_length(F.coalesce("text", F.lit(""))).alias("n")).join(marked, "doc_id")
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("n", F.char_length("text"))
+    sized = texts.select("doc_id", "n").where(F.col("n") <= max_chars).join(marked, "doc_id")
     chosen, held = [], 0
     for row in sized.orderBy(*order, "n").limit(max_rows).collect():
         if held + row.n > max_chars:
-            break
+            continue
         held += row.n
-        chosen.append((row.doc_id,))
+        chosen.append((row.doc_id, row.n))
     if not chosen:
         return [], np.zeros(0)
     spark = docs.sparkSession
-    wanted = spark.createDataFrame(sorted(set(chosen)), docs.select("doc_id").schema)
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(wanted), "doc_id").join(marked, "doc_id").orderBy(*order, "text").limit(max_rows).collect()
+    wanted = spark.createDataFrame(sorted(set(chosen)), sized.select("doc_id", "n").schema)
+    rows = texts.join(F.broadcast(wanted), ["doc_id", "n"]).join(marked, "doc_id").orderBy(*order, "text").limit(max_rows).collect()
     return [r.text for r in rows], np.array([r.toxic for r in rows], float)
 
 

@@ -402,6 +402,19 @@ def test_toxicity_on_held_out_rows_and_misspellings(spark, empty):
     assert len(one_kind) == 1 and one_kind[0].score < 0.01
 
 
+def test_training_rows_pass_over_what_does_not_fit(spark):
+    ids = list(range(40))
+    frame = spark.createDataFrame([(i, f"text {i}") for i in ids], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in ids], "doc_id long, toxic int")
+    first = toxicity.training_rows(frame, labels)[0]
+    giant = int(first[0].split()[1])
+    longer = frame.where(F.col("doc_id") != giant).union(spark.createDataFrame([(giant, "x" * 2000), (giant, "small")], frame.schema))
+    got, marks = toxicity.training_rows(longer, labels, max_chars=1000)
+    assert got == ["small", *first[1:]] and len(marks) == len(got)
+    middle = frame.where(F.col("doc_id") != giant).union(spark.createDataFrame([(giant, "x" * 95)], frame.schema))
+    assert len(toxicity.training_rows(middle, labels, max_chars=100)[0]) == 1
+
+
 def test_long_and_equal_texts_score_alike():
     table = np.random.default_rng(0).normal(0, 1, toxicity.BUCKETS).astype(np.float32)
     long = words(5, 30000, 20000)
