@@ -31,4 +31,6 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFr
         labels = jumped
         if not changed:
             drop_cut(both)
-            return labels.select("node", "component")
+            found = labels.select("node", "component")
+            found._factloom_path = labels._factloom_path  # drop_cut() takes the whole table
+            return found

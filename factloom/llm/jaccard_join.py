@@ -9,37 +9,38 @@ Two documents link if 100 * |A and B| >= percent * |A or B|.
    them as its prefix is long, n - ceil(percent * n / 100) + 1, links with
    nothing and goes; this is found from a hash range of all tokens first, then,
    for what is left, from all of its tokens.
-3. Prefixes are taken in the order "tokens of one class, then by hash"; only
-   their shared part is kept. Classes with equal shared prefix, size and number
-   of own tokens form one group.
+3. Prefixes are taken in order of frequency, rarest first, so that a passage of
+   many documents is in the prefix of those only that consist of little else.
+   Classes with equal shared prefix, size and number of own tokens form a group.
 4. Groups that share a prefix token meet that token's pivot group (fewest own
    tokens; a group that shares none is its own pivot); members are verified
    against the group's and the pivot's first member on whole sets, and
    components taken.
-5. Where a token still joins several components, pairs across them are looked
-   for in two ways that together miss none. If what the two have in common with
-   the token's pivot may be enough, sizes must be close: they meet by token and
-   size. If not, they share a token that the pivot lacks: they meet by pivot and
-   such a token, again in prefixes only. So neither a passage of many documents
-   nor a large group of copies makes its members meet one another.
-
-Sets are compared by 64-bit hashes of their shingles. Null and empty texts have
-size 0 and link with nothing. Equal texts, and repeated rows, are one class.
-Null ids are allowed: they never name a component unless all its ids are null.
-An empty table gives an empty table. Other columns are left aside.
+5. Where a token's other classes still lie in several components, pairs across
+   them are looked for in two ways that together miss none. If what the two have
+   in common with the token's pivot may be enough, sizes must be close: they meet
+   by token and size. If not, they share a token that the pivot lacks: they meet
+   by pivot and such a token, again in prefixes, rarest first, the smaller's
+   shorter than the larger's. So neither a passage of many documents nor a large
+   group of copies makes its members meet one another.
+
+Sets are compared by 64-bit hashes of their shingles; classes are told apart by
+128 bits, rows by 128 bits of id and text. Null and empty texts have size 0 and
+link with nothing. Equal texts, and repeated rows, are one class. Null ids are
+allowed: they never name a component unless all its ids are null. An empty table
+gives an empty table. Other columns, whatever their names, are left aside.
 """
 
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from factloom.llm.components import connected_components
-from factloom.llm.shared import bounded_batches, cut, drop_cut, give_back
+from factloom.llm.shared import Cuts, bounded_batches, give_back
 
-ELIGIBLE = 0.22  # share of the hash range that decides first
-SMALL_ROWS = 1 << 19  # rows of two numbers that may be broadcast (about 16 MB)
+SMALL_ROWS = 1 << 18  # rows of four numbers that may be broadcast (about 16 MB)
 
 
 def _signed(hashes: np.ndarray) -> np.ndarray:
@@ -47,12 +48,14 @@ def _signed(hashes: np.ndarray) -> np.ndarray:
     return (hashes ^ np.uint64(1 << 63)).view(np.int64)
 
 
-def _row_hash(id_col: str, text_col: str) -> Column:
-    return F.xxhash64(F.col(id_col).cast("string"), F.col(text_col))
+def _row_key(id_col: str, text_col: str) -> list[Column]:
+    """128 bits of a row's id and text, nulls told from empty ones."""
+    key, text = F.col(id_col).cast("string"), F.col(text_col)
+    return [F.xxhash64(F.lit(salt), key.isNull(), key, text.isNull(), text) for salt in (1, 2)]
 
 
-def _prefix_length(n, percent: int):
-    return n - (percent * n + 99) // 100 + 1
+def _prefix(n: Column, percent: int) -> Column:
+    return n - F.floor((n * percent + 99) / 100) + 1
 
 
 def _sets(batch, width: int):
@@ -67,8 +70,9 @@ def _sets(batch, width: int):
 
 
 def set_classes(docs: DataFrame, width: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, row (a hash of id and text), class (a 64-bit hash of the set) and n of every row."""
-    kept = docs.select(F.col(id_col).alias("doc_id"), _row_hash(id_col, text_col).alias("row"), F.col(text_col).alias("text"))
+    """doc_id, r1 and r2 (of id and text), c1 and c2 (of the set) and n of every row."""
+    r1, r2 = _row_key(id_col, text_col)
+    kept = docs.select(F.col(id_col).alias("doc_id"), r1.alias("r1"), r2.alias("r2"), F.col(text_col).alias("text"))
     id_type = kept.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
@@ -77,15 +81,26 @@ def set_classes(docs: DataFrame, width: int, id_col: str = "doc_id", text_col: s
         from factloom.llm.shingles import set_identity
 
         for batch in batches:
-            found = [(set_identity(s)[0], len(s)) for _, some in _sets(batch, width) for s in some]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("row"), pa.array([x[0] for x in found], pa.int64()), pa.array([x[1] for x in found], pa.int64())], ["doc_id", "row", "class", "n"])
+            found = [(*set_identity(s), len(s)) for _, some in _sets(batch, width) for s in some]
+            numbers = [pa.array([x[i] for x in found], pa.int64()) for i in range(3)]
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in ("doc_id", "r1", "r2")], *numbers], ["doc_id", "r1", "r2", "c1", "c2", "n"])
         give_back()
 
-    return kept.mapInArrow(run, f"doc_id {id_type}, row long, class long, n long")
+    return kept.mapInArrow(run, f"doc_id {id_type}, r1 long, r2 long, c1 long, c2 long, n long")
 
 
-def _tokens(texts: DataFrame, width: int, percent: int, share: float, least: int) -> DataFrame:
-    """class, token and low (among the prefix-length first by hash) of the tokens in the first part of the hash range."""
+def named_classes(rows: DataFrame) -> DataFrame:
+    """class (a number of its own for each c1 and c2), c1, c2, alone (no other class has its c1), n, first_id, and one of its rows (r1, r2, again: it repeats)."""
+    once = rows.where("n > 0").groupBy("c1", "c2", "r1", "r2").agg(F.min("n").alias("n"), F.min("doc_id").alias("doc_id"), (F.count(F.lit(1)) > 1).alias("again"))
+    classes = once.groupBy("c1", "c2").agg(F.min("n").alias("n"), F.min("doc_id").alias("first_id"), F.min(F.struct("r1", "r2", "again")).alias("row"))
+    same = Window.partitionBy("c1")
+    ranked = classes.withColumns({"at": F.row_number().over(same.orderBy("c2")), "many": F.count(F.lit(1)).over(same)})
+    key = F.when(F.col("at") == 1, F.col("c1")).otherwise(F.xxhash64("c1", "c2", "at"))
+    return ranked.select(key.alias("class"), "c1", "c2", (F.col("many") == 1).alias("alone"), "n", "first_id", "row.*")
+
+
+def _first_tokens(texts: DataFrame, width: int, share: float, least: int) -> DataFrame:
+    """c1 and token of the tokens in the first part of the hash range, of sets of ``least`` and more."""
     top = np.uint64(min(int(share * 2.0**64), (1 << 64) - 1))
 
     def run(batches):
@@ -100,146 +115,130 @@ def _tokens(texts: DataFrame, width: int, percent: int, share: float, least: int
                     continue
                 kept = [s[: np.searchsorted(s, top, side="right")] for s in some]
                 classes = np.repeat([set_identity(s)[0] for s in some], [len(x) for x in kept])
-                low = np.concatenate([np.arange(len(x)) < _prefix_length(len(s), percent) for s, x in zip(some, kept, strict=True)])
-                yield pa.RecordBatch.from_arrays([pa.array(classes, pa.int64()), pa.array(_signed(np.concatenate(kept)), pa.int64()), pa.array(low, pa.bool_())], ["class", "token", "low"])
+                yield pa.RecordBatch.from_arrays([pa.array(classes, pa.int64()), pa.array(_signed(np.concatenate(kept)), pa.int64())], ["c1", "token"])
         give_back()
 
-    return texts.select("text").mapInArrow(run, "class long, token long, low boolean")
+    return texts.select("text").mapInArrow(run, "c1 long, token long")
 
 
-def _held(small: DataFrame) -> DataFrame:
-    """The same table, to be broadcast if it has been counted and found small."""
-    return F.broadcast(small) if small.count() <= SMALL_ROWS else small
+def _token_lists(chosen: DataFrame, width: int) -> DataFrame:
+    """class, n and tokens (array) of rows of class, n and text."""
 
+    def run(batches):
+        import pyarrow as pa
 
-def _own_tokens(tokens: DataFrame) -> DataFrame:
-    """class and own: how many of its tokens no other class has."""
-    return tokens.groupBy("token").agg(F.min("class").alias("class"), F.max("class").alias("other")).where("class = other").groupBy("class").agg(F.count(F.lit(1)).alias("own"))
+        for batch in batches:
+            for at, some in _sets(batch, width):
+                offsets = np.concatenate([[0], np.cumsum([len(s) for s in some])]).astype(np.int32)
+                values = pa.array(_signed(np.concatenate(some)), pa.int64())
+                part = batch.slice(at, len(some))
+                yield pa.RecordBatch.from_arrays([part.column("class"), part.column("n"), pa.ListArray.from_arrays(pa.array(offsets), values)], ["class", "n", "tokens"])
+        give_back()
 
+    return chosen.select("class", "n", "text").mapInArrow(run, "class long, n long, tokens array<long>")
 
-def _still_possible(n1: Column, most1: Column, n2: Column, most2: Column, percent: int) -> Column:
-    """Whether sizes, and the most tokens either can have in common with another, leave room for a link."""
-    most = F.least(most1, most2)
-    return 100 * most >= percent * (n1 + n2 - most)
 
+def _held(small: DataFrame) -> DataFrame:
+    """The same table of numbers, to be broadcast if it has been counted and found small."""
+    return F.broadcast(small) if small.count() <= SMALL_ROWS else small
 
-def compared(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """For pairs (a, b) of classes, on whole sets: both (tokens in common), linked and rest.
 
-    rest, made if pairs have own_tokens (those of a that no other class has), is
-    the prefix, by hash, of a's other tokens that b has not: any class that links
-    with a shares one of them, unless sizes let the tokens that a and b have in
-    common be enough. texts has class and text.
-    """
-    one = texts.select(F.col("class").alias("a"), F.col("text").alias("text_a"))
-    two = texts.select(F.col("class").alias("b"), F.col("text").alias("text_b"))
-    with_rest = "own_tokens" in pairs.columns
-    full = pairs.join(one, "a").join(two, "b")
+def _with_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs (a, b) of classes with n_a, n_b, own_a, own_b, set_a and set_b."""
+    one, two = (sets.select(F.col("class").alias(x), F.col("n").alias(f"n_{x}"), F.col("own").alias(f"own_{x}"), F.col("tokens").alias(f"set_{x}")) for x in "ab")
+    return pairs.join(one, "a").join(two, "b")
 
-    def run(batches):
-        import pyarrow as pa
-        import pyarrow.compute as pc
 
-        from factloom.llm.shingles import shingle_sets, slices
+def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """For pairs (a, b) of classes: both (tokens in common) and linked."""
+    met = _with_sets(pairs, sets).select("a", "b", "n_a", "n_b", F.size(F.array_intersect("set_a", "set_b")).alias("both"))
+    return met.select("a", "b", "both", (100 * F.col("both") >= percent * (F.col("n_a") + F.col("n_b") - F.col("both"))).alias("linked"))
 
-        for batch in batches:
-            a, b = batch.column("a"), batch.column("b")
-            own = batch.column("own_tokens").to_pylist() if with_rest else [None] * len(a)
-            ta, tb = batch.column("text_a").cast("binary"), batch.column("text_b").cast("binary")
-            common, linked, rest = [], [], []
-            for at, to in slices(pc.add(pc.binary_length(ta), pc.binary_length(tb)).to_pylist()):
-                xs, ys = ta.slice(at, to - at).to_pylist(), tb.slice(at, to - at).to_pylist()
-                distinct = {t: i for i, t in enumerate(dict.fromkeys([*xs, *ys]))}
-                sets = shingle_sets(list(distinct), width)
-                for x, y, alone in zip(xs, ys, own[at:to], strict=True):
-                    x, y = sets[distinct[x]], sets[distinct[y]]
-                    if not len(x) or not len(y):
-                        common.append(0)
-                        linked.append(False)
-                        rest.append(None)
-                        continue
-                    where = np.minimum(np.searchsorted(y, x), len(y) - 1)
-                    shared = y[where] == x
-                    both = int(shared.sum())
-                    common.append(both)
-                    linked.append(100 * both >= percent * (len(x) + len(y) - both))
-                    if with_rest:
-                        other = np.setdiff1d(_signed(x[~shared]), np.array(alone, np.int64), assume_unique=True)
-                        needed = max(1, -(-percent * len(x) // 100) - both)
-                        rest.append(other[: max(0, len(other) - needed + 1)].tolist())
-                    else:
-                        rest.append(None)
-            yield pa.RecordBatch.from_arrays([a, b, pa.array(common, pa.int64()), pa.array(linked, pa.bool_()), pa.array(rest, pa.list_(pa.int64()))], ["a", "b", "both", "linked", "rest"])
-        give_back()
 
-    return full.select("a", "b", "text_a", "text_b", *(["own_tokens"] if with_rest else [])).mapInArrow(run, "a long, b long, both long, linked boolean, rest array<long>")
+def _differences(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """For pairs (a, b): others (how many tokens of a, its own apart, b has not), rest (those, rarest first, one of which any class that links with a has, unless what a and b have in common is enough) and short (how many of them do if that class is not smaller than a)."""
+    met = _with_sets(pairs, sets).select("a", "b", F.col("n_a").alias("n"), F.array_except("set_a", "set_b").alias("other"), F.size("set_a").alias("kept"))
+    met = met.select("a", "b", "other", F.size("other").alias("others"), (F.col("kept") - F.size("other")).alias("both"), "n")
+
+    def length(needed: Column) -> Column:
+        return F.greatest(F.lit(0), F.col("others") - F.greatest(F.lit(1), needed - F.col("both")) + 1).cast("int")
 
+    as_larger = F.floor((F.col("n") * percent + 99) / 100)
+    as_smaller = F.floor((F.col("n") * 2 * percent + 99 + percent) / (100 + percent))
+    return met.select("a", "b", "others", F.slice("other", F.lit(1), length(as_larger)).alias("rest"), length(as_smaller).alias("short"))
 
-def class_links(docs: DataFrame, classes: DataFrame, width: int, percent: int, id_col: str, text_col: str) -> DataFrame:
-    """Links (a, b) of classes that join every component; classes has class, n and first_id."""
+
+def class_links(docs: DataFrame, classes: DataFrame, cuts: Cuts, width: int, percent: int, id_col: str, text_col: str) -> DataFrame:
+    """Links (a, b) of classes that join every component; classes as named_classes() gives them."""
     least = max(1, -(-percent // (100 - percent))) if percent < 100 else 1 << 62  # smaller sets link with their equals only
-    plain = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).where(F.col("text").isNotNull())
-    prefix = (F.col("n") - F.floor((F.col("n") * percent + 99) / 100) + 1).alias("prefix")
-
-    first = _own_tokens(_tokens(plain, width, percent, ELIGIBLE, least))
-    open_ = cut(classes.where(F.col("n") >= least).join(first, "class", "left").where(F.coalesce("own", F.lit(0)) < prefix).select("class", "n", "first_id"))
-    wanted = _held(open_.select("class", F.col("first_id").alias("_first")))
-    chosen = plain.join(wanted, plain["doc_id"].eqNullSafe(F.col("_first"))).select("class", "text")
-    texts = cut(_only_of_class(chosen, width))
-
-    tokens = _tokens(texts, width, percent, 1.0, least)
-    met = cut(tokens.groupBy("token").agg(F.min("class").alias("class"), F.max("class").alias("other"), F.max("low").alias("low")).where("class = other or low"))
-    own = met.where("class = other").groupBy("class").agg(F.count(F.lit(1)).alias("own"), F.collect_list("token").alias("own_tokens"))
-    left = open_.join(own, "class", "left").select("class", "n", F.coalesce("own", F.lit(0)).alias("own"), F.coalesce("own_tokens", F.array().cast("array<long>")).alias("own_tokens"), prefix).where("own < prefix")
-    shared = tokens.where("low").select("class", "token").join(met.where("class <> other").select("token"), "token")
-    lows = shared.groupBy("class").agg(F.sort_array(F.collect_set("token")).alias("tokens"))
-    left = cut(left.join(lows, "class").select("class", "n", "own", "own_tokens", F.slice("tokens", F.lit(1), (F.col("prefix") - F.col("own")).cast("int")).alias("tokens")))
-    drop_cut(met)
+    r1, r2 = _row_key(id_col, text_col)
+    plain = docs.select(r1.alias("r1"), r2.alias("r2"), F.col(text_col).alias("text")).where(F.col("text").isNotNull())
+
+    # a part of the hash range that holds a prefix's length of a set's tokens with room to spare
+    share = min(1.0, 1.4 * (100 - percent) / 100 + 0.06)
+    tokens = _first_tokens(plain, width, share, least).groupBy("token").agg(F.min("c1").alias("c1"), F.max("c1").alias("other"))
+    lone = tokens.where("c1 = other").groupBy("c1").agg(F.count(F.lit(1)).alias("own"))
+    possible = classes.where(F.col("n") >= least).join(lone, "c1", "left").where((F.coalesce("own", F.lit(0)) < _prefix(F.col("n"), percent)) | ~F.col("alone"))
+    open_ = cuts.add(possible.select("class", "n", "r1", "r2", "again"))
+    chosen = plain.join(_held(open_), ["r1", "r2"])
+    repeated = chosen.where("again").dropDuplicates(["class"])
+    chosen = chosen.where("not again").unionByName(repeated) if open_.where("again").limit(1).count() else chosen
+    lists = cuts.add(_token_lists(chosen, width))
+
+    exploded = lists.select("class", F.explode("tokens").alias("token"))
+    counts = exploded.groupBy("token").agg(F.count(F.lit(1)).alias("held")).where("held > 1")
+    shared = exploded.join(counts, "token").groupBy("class").agg(F.sort_array(F.collect_list(F.struct("held", "token"))).alias("found"))
+    sets = lists.select("class", "n").join(shared, "class").select("class", "n", (F.col("n") - F.size("found")).alias("own"), F.transform("found", lambda x: x["token"]).alias("tokens"))
+    sets = cuts.add(sets.withColumn("reach", (_prefix(F.col("n"), percent) - F.col("own")).cast("int")).where("reach > 0"))
+    cuts.drop(open_, lists)
 
     # groups of equal shared prefix, size and own tokens
-    groups = cut(left.groupBy("n", "own", "tokens").agg(F.min("class").alias("group")))
-    members = cut(left.join(groups, ["n", "own", "tokens"]).select("class", "group", "n", "own"))
-    keyed = cut(groups.select("group", "n", "own", F.explode("tokens").alias("token")))
-    counted = cut(keyed.groupBy("token").agg(F.min(F.struct("own", "n", "group")).alias("pivot"), F.count(F.lit(1)).alias("groups")))
+    prefixed = sets.select("class", "n", "own", F.slice("tokens", F.lit(1), F.col("reach")).alias("prefix"))
+    groups = cuts.add(prefixed.groupBy("n", "own", "prefix").agg(F.min("class").alias("group")))
+    members = cuts.add(prefixed.join(groups, ["n", "own", "prefix"]).select("class", "group", "n", "own"))
+    keyed = cuts.add(groups.select("group", "n", "own", F.explode("prefix").alias("token")))
+    counted = cuts.add(keyed.groupBy("token").agg(F.min(F.struct("own", "n", "group")).alias("pivot"), F.count(F.lit(1)).alias("groups")))
     # a group that shares no prefix token with another is a pivot to its own members, by one token that all of them have
     several = members.where("class <> group").select("group").distinct()
-    lone = keyed.join(several, "group").join(counted, "token").groupBy("group").agg(F.max("groups").alias("groups"), F.min("token").alias("token")).where("groups = 1")
-    pivots = cut(counted.where("groups > 1").select("token", F.col("pivot.group").alias("pivot")).union(lone.select("token", F.col("group").alias("pivot"))))
-    drop_cut(counted)
+    alone = keyed.join(several, "group").join(counted, "token").groupBy("group").agg(F.max("groups").alias("groups"), F.min("token").alias("token")).where("groups = 1")
+    pivots = cuts.add(counted.where("groups > 1").select("token", F.col("pivot.group").alias("pivot")).union(alone.select("token", F.col("group").alias("pivot"))))
     near = keyed.join(pivots, "token").where("group <> pivot").select("group", "pivot").distinct()
     pairs = members.join(near, "group").select(F.col("class").alias("a"), F.col("pivot").alias("b"))
     inside = members.where("class <> group").select(F.col("class").alias("a"), F.col("group").alias("b"))
-    owned = left.select(F.col("class").alias("a"), "own_tokens")
-    star = cut(compared(pairs.union(inside).distinct().join(owned, "a"), texts, width, percent))
+    star = cuts.add(verified(pairs.union(inside).distinct(), sets, percent))
     links = star.where("linked").select("a", "b")
 
     parts = connected_components(links)
-    placed = cut(members.join(parts, members["class"] == parts["node"], "left").select("class", "group", "n", "own", F.coalesce("component", "class").alias("component")))
-    spread = cut(keyed.select("group", "token").join(pivots, "token").join(placed, "group").select("token", "pivot", "class", "n", "own", "component"))
+    placed = cuts.add(members.join(parts, members["class"] == parts["node"], "left").select("class", "group", "n", "own", F.coalesce("component", "class").alias("component")))
+    cuts.drop(parts)
+    # all have met the pivot; lists whose other classes are of one component are done
+    spread = keyed.select("group", "token").join(pivots, "token").join(placed, "group").where("class <> pivot").select("token", "pivot", "class", "n", "own", "component")
+    spread = cuts.add(spread)
     divided = spread.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("token")
-    # a class has at most so many tokens in common with another that shares none of its rest
     measured = star.select(F.col("a").alias("class"), F.col("b").alias("pivot"), "both")
-    spread = cut(spread.join(divided, "token"))
-    meeting = spread.select(F.col("class").alias("a"), F.col("pivot").alias("b")).distinct()
-    spread = spread.join(measured, ["class", "pivot"], "left")
-    spread = spread.select("token", "class", "n", F.least(F.col("n") - F.col("own"), F.coalesce("both", "n")).alias("most"), "component")
-    # from the larger to the smaller or equal, by the sizes that this leaves
-    low, high = F.ceil(F.col("n") * percent / 100 - 1e-9), F.least(F.col("n"), F.floor(F.col("most") * (100 + percent) / percent + 1e-9) - F.col("n"))
-    asking = spread.where(high >= low).select("token", F.col("class").alias("a"), F.col("n").alias("n_a"), F.col("most").alias("most_a"), F.col("component").alias("part_a"), F.explode(F.sequence(_size_cell(low), _size_cell(high))).alias("cell"))
-    asked = spread.select("token", F.col("class").alias("b"), F.col("n").alias("n_b"), F.col("most").alias("most_b"), F.col("component").alias("part_b"), _size_cell(F.col("n")).alias("cell"))
+    spread = cuts.add(spread.join(divided, "token").join(measured, ["class", "pivot"]))
+
+    # what both have in common with the pivot may be enough: from the larger to the smaller or equal, by the sizes that this leaves
+    low, high = F.ceil(F.col("n") * percent / 100 - 1e-9), F.floor(F.col("both") * (100 + percent) / percent + 1e-9) - F.col("n")
+    bounded = spread.select("token", "class", "n", "both", "component", low.alias("low"), F.least("n", high).alias("high"), high.alias("most"))
+    asking = bounded.where("high >= low").select("token", F.col("class").alias("a"), F.col("n").alias("n_a"), F.col("both").alias("both_a"), F.col("component").alias("part_a"), F.explode(F.sequence(_size_cell(F.col("low")), _size_cell(F.col("high")))).alias("cell"))
+    asked = bounded.where("most >= n").select("token", F.col("class").alias("b"), F.col("n").alias("n_b"), F.col("both").alias("both_b"), F.col("component").alias("part_b"), _size_cell(F.col("n")).alias("cell"))
     unordered = "(n_a > n_b or n_a = n_b and a < b) and part_a <> part_b"
-    across = asking.join(asked, ["token", "cell"]).where(unordered).where(_still_possible(F.col("n_a"), F.col("most_a"), F.col("n_b"), F.col("most_b"), percent)).select("a", "b")
+    enough = f"(100 + {percent}) * least(both_a, both_b) >= {percent} * (n_a + n_b)"
+    across = asking.join(asked, ["token", "cell"]).where(unordered).where(enough).select("a", "b")
 
     # the others share a token that their common pivot has not
-    apart = star.join(meeting, ["a", "b"]).join(placed, F.col("a") == placed["class"]).select(F.col("b").alias("pivot"), "class", "n", "own", "component", "rest")
-    torn = apart.groupBy("pivot").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("pivot")
-    beyond = cut(apart.join(torn, "pivot").select("pivot", "class", "n", (F.col("n") - F.col("own")).alias("most"), "component", F.explode("rest").alias("token")))
-    left_, right_ = ([F.col("class").alias(x), F.col("n").alias(f"n_{x}"), F.col("most").alias(f"most_{x}"), F.col("component").alias(f"part_{x}")] for x in "ab")
-    around = beyond.select("pivot", "token", *left_).join(beyond.select("pivot", "token", *right_), ["pivot", "token"]).where(unordered).where(_still_possible(F.col("n_a"), F.col("most_a"), F.col("n_b"), F.col("most_b"), percent)).select("a", "b")
+    beside = spread.select("class", "pivot", "n", "both", "component").distinct()
+    apart = _differences(beside.select(F.col("class").alias("a"), F.col("pivot").alias("b")), sets, percent).where("size(rest) > 0")
+    apart = apart.select(F.col("a").alias("class"), F.col("b").alias("pivot"), "others", "short", F.posexplode("rest").alias("at", "token"))
+    beyond = cuts.add(apart.join(beside, ["class", "pivot"]).select("pivot", "token", "class", "n", "both", "others", "component", (F.col("at") < F.col("short")).alias("short")))
+    torn = beyond.groupBy("pivot", "token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.max("short").alias("any")).where("lo <> hi and any").select("pivot", "token")
+    beyond = cuts.add(beyond.join(torn, ["pivot", "token"]))
+    left_, right_ = ([F.col(c).alias(f"{d}{x}") for c, d in (("class", ""), ("n", "n_"), ("both", "both_"), ("others", "others_"), ("component", "part_"))] for x in "ab")
+    met = beyond.select("pivot", "token", *left_).join(beyond.where("short").select("pivot", "token", *right_), ["pivot", "token"]).where(unordered).where(f"100 * n_b >= {percent} * n_a")
+    around = met.where(f"(100 + {percent}) * (least(both_a, both_b) + least(others_a, others_b)) >= {percent} * (n_a + n_b)").select("a", "b")
 
-    more = cut(compared(across.union(around).distinct(), texts, width, percent).where("linked").select("a", "b"))
-    drop_cut(beyond)
-    return links.union(more)
+    return cuts.add(links.union(verified(across.union(around).distinct(), sets, percent).where("linked").select("a", "b")))
 
 
 def _size_cell(n: Column) -> Column:
@@ -247,34 +246,22 @@ def _size_cell(n: Column) -> Column:
     return F.when(n <= 64, n.cast("int")).otherwise((F.floor(F.log(n / 64.0) * 32) + 65).cast("int"))
 
 
-def _only_of_class(chosen: DataFrame, width: int) -> DataFrame:
-    """The rows (class, text) whose text is of the class (ids may repeat with other texts)."""
-
-    def run(batches):
-        import pyarrow as pa
-
-        from factloom.llm.shingles import set_identity
-
-        for batch in batches:
-            found = [set_identity(s)[0] for _, some in _sets(batch, width) for s in some]
-            keep = pa.array([x == y for x, y in zip(found, batch.column("class").to_pylist(), strict=True)], pa.bool_())
-            yield batch.filter(keep)
-
-    return chosen.mapInArrow(run, "class long, text string")
-
-
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id (least doc_id reachable by links), row (a hash of id and text) and component (a key) of every row."""
+    """doc_id, n_shingles, component_id (least doc_id reachable by links), r1 and r2 (of id and text) and component (a key) of every row."""
     bounded_batches(docs.sparkSession)
-    rows = cut(set_classes(docs, width, id_col, text_col))
-    classes = cut(rows.where("n > 0").groupBy("class").agg(F.first("n").alias("n"), F.min("doc_id").alias("first_id")))
-    links = class_links(docs, classes, width, percent, id_col, text_col)
+    cuts = Cuts()
+    rows = cuts.add(set_classes(docs, width, id_col, text_col))
+    classes = cuts.add(named_classes(rows))
+    links = class_links(docs, classes, cuts, width, percent, id_col, text_col)
     parts = connected_components(links)
-    named = classes.join(parts, classes["class"] == parts["node"], "left").select("class", F.coalesce("component", "class").alias("component"), "first_id")
+    named = classes.join(parts, classes["class"] == parts["node"], "left").select("c1", "c2", F.coalesce("component", "class").alias("component"), "first_id")
     least = named.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    named = named.join(least, "component").select("class", "component", "component_id")
-    sized = rows.select("doc_id", F.col("n").alias("n_shingles"), "row", F.when(F.col("n") > 0, F.col("class")).alias("class"))
-    return sized.join(named, "class", "left").select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), "row", "component")
+    named = cuts.add(named.join(least, "component").select("c1", "c2", "component", "component_id"))
+    cuts.keep_only(rows, named)
+    cuts.drop(parts)
+    full = F.col("n") > 0
+    sized = rows.select("doc_id", F.col("n").alias("n_shingles"), "r1", "r2", F.when(full, F.col("c1")).alias("c1"), F.when(full, F.col("c2")).alias("c2"))
+    return sized.join(named, ["c1", "c2"], "left").select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), "r1", "r2", "component")
 
 
 def keep_one(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -282,12 +269,13 @@ def keep_one(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "
 
     Documents without words all stay.
     """
-    found = cut(near_duplicates(docs, width, percent, id_col, text_col))
-    rank = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("row"))
-    chosen = found.where("n_shingles > 0").groupBy("component").agg(F.min_by("row", rank).alias("row")).select("row", F.lit(True).alias("once"))
-    wordless = found.where("n_shingles = 0").select("row", F.lit(False).alias("once")).distinct()
-    kept = chosen.unionByName(wordless).join(found.groupBy("row").agg(F.count(F.lit(1)).alias("rows")), "row")
-    kept = kept.select(F.col("row").alias("_row"), (F.col("once") & (F.col("rows") > 1)).alias("_thin"))
-    joined = docs.join(kept, _row_hash(id_col, text_col) == F.col("_row"))
-    repeated = joined.where("_thin").dropDuplicates(["_row"])
+    found = Cuts().add(near_duplicates(docs, width, percent, id_col, text_col))
+    rank = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("r1"), F.col("r2"))
+    chosen = found.where("n_shingles > 0").groupBy("component").agg(F.min_by(F.struct("r1", "r2"), rank).alias("row")).select("row.*", F.lit(True).alias("once"))
+    wordless = found.where("n_shingles = 0").select("r1", "r2", F.lit(False).alias("once")).distinct()
+    kept = chosen.unionByName(wordless).join(found.groupBy("r1", "r2").agg(F.count(F.lit(1)).alias("rows")), ["r1", "r2"])
+    kept = kept.select(F.col("r1").alias("_r1"), F.col("r2").alias("_r2"), (F.col("once") & (F.col("rows") > 1)).alias("_thin"))
+    r1, r2 = _row_key(id_col, text_col)
+    joined = docs.withColumns({"_k1": r1, "_k2": r2}).join(kept, (F.col("_k1") == F.col("_r1")) & (F.col("_k2") == F.col("_r2")))
+    repeated = joined.where("_thin").dropDuplicates(["_r1", "_r2"])
     return joined.where("not _thin").unionByName(repeated).select(*docs.columns)

@@ -39,6 +39,28 @@ def drop_cut(df: DataFrame) -> None:
         where.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(where, True)
 
 
+class Cuts:
+    """Cut tables that are deleted when their last reader is done."""
+
+    def __init__(self):
+        self.held: list[DataFrame] = []
+
+    def add(self, df: DataFrame) -> DataFrame:
+        """cut(df), remembered."""
+        self.held.append(cut(df))
+        return self.held[-1]
+
+    def drop(self, *tables: DataFrame) -> None:
+        """Deletes the files of these tables."""
+        for table in tables:
+            drop_cut(table)
+        self.held = [t for t in self.held if not any(t is x for x in tables)]
+
+    def keep_only(self, *tables: DataFrame) -> None:
+        """Deletes the files of all remembered tables but these."""
+        self.drop(*[t for t in self.held if not any(t is x for x in tables)])
+
+
 def bounded_batches(spark: SparkSession) -> None:
     """Arrow batches of at most 4 MB and 2000 rows from here on: texts may be long, and a batch is held whole on both sides."""
     for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", 2000), ("spark.sql.execution.arrow.maxBytesPerBatch", 4 << 20)):

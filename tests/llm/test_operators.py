@@ -240,6 +240,34 @@ def revisions(seed, families=60, n=50, changed=7):
     return dict(enumerate(texts))
 
 
+def test_one_large_group_of_near_copies(spark):
+    rng = np.random.default_rng(8)
+    base, texts = words(77, 60, 4000).split(), {}
+    for i in range(500):
+        w = list(base)
+        for at in rng.choice(60, int(rng.integers(0, 6)), replace=False):
+            w[at] = f"r{rng.integers(0, 3)}"  # replaced words are shared, too
+        if rng.random() < 0.3:
+            w = w[int(rng.integers(0, 12)) :]
+        texts[i] = " ".join(w)
+    frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    for width, percent in ((3, 90), (5, 80), (2, 60)):
+        got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.near_duplicates(frame, width, percent).collect()}
+        assert got == true_components(texts, width, percent)
+
+
+def test_null_ids_and_repeated_rows(spark):
+    texts = copies(6, 5, 6)
+    frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    many = frame.union(frame).union(frame.where("doc_id % 2 = 0")).union(frame.select(F.lit(None).cast("long"), "text"))
+    truth = true_components(texts, 5, 80)
+    got = {(r.doc_id, r.n_shingles, r.component_id) for r in jaccard_join.near_duplicates(many, 5, 80).where("doc_id is not null").collect()}
+    assert got == {(i, *t) for i, t in truth.items()}
+    nameless = jaccard_join.near_duplicates(frame.select(F.lit(None).cast("long").alias("doc_id"), "text"), 5, 80).where("n_shingles > 0")
+    assert {r.component_id for r in nameless.collect()} == {None}
+    assert nameless.select("component").distinct().count() == len({t for i, (n, t) in truth.items() if n})
+
+
 def test_links_inside_a_lone_group(spark):
     texts = revisions(11)
     frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
