@@ -7,8 +7,8 @@ averaged over windows of WINDOW words, half overlapping and filled up with zero
 vectors, and a linear softmax turns averages into probabilities. The window
 likeliest to be toxic speaks for the text, so that one insult in a very long
 text is not averaged away; no part of a text is left unread. Embeddings and
-softmax are trained together in numpy by Adam on at most ``max_rows`` labelled
-texts and ``max_chars`` characters (least hashes of the ids first). Misspellings
+softmax are trained together in numpy, by normalised gradient descent with
+momentum, on at most ``max_rows`` labelled texts and ``max_chars`` characters (least hashes of the ids first). Misspellings
 never seen share n-gram vectors with the words they come from.
 
 Once trained, each bucket's part of the log-odds is one number, so that scoring
@@ -17,7 +17,9 @@ is a table lookup for words not met before and sums over whole texts.
 Null text counts as empty; texts without words get the bias alone. Equal texts
 get equal scores, whatever stands beside them. Without labelled rows of both
 kinds the score is the share of label 1 (0.5 without any rows). Nothing but the
-text enters a score. An empty table gives an empty one.
+text enters a score. Repeated ids are rows of their own: all are scored, and all
+that are labelled may be learnt from, within the same bounds. Columns that go
+along may have any names but that of the score. An empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -193,26 +195,27 @@ def held_out(doc_id: Column) -> Column:
 def training_rows(docs: DataFrame, labels: DataFrame, max_rows: int = 6000, max_chars: int = 12 << 20) -> tuple[list[str], np.ndarray]:
     """Labelled texts outside the held-out fifth: the least hashes of doc_id first, up to both bounds; a text that does not fit is passed over."""
     marked = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    order = (F.xxhash64("doc_id"), F.col("doc_id"))
-    # lengths first: what is brought to the driver is bounded before any text is
-    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("n", F.char_length("text"))
-    sized = texts.select("doc_id", "n").where(F.col("n") <= max_chars).join(marked, "doc_id")
+    order = ("hash", "doc_id", "n", "body")
+    # lengths first: what is brought to the driver is bounded before any text is, row by row even where ids repeat
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumns({"n": F.char_length("text"), "body": F.xxhash64("text"), "hash": F.xxhash64("doc_id")})
+    sized = texts.select("doc_id", "n", "body", "hash").where(F.col("n") <= max_chars).join(marked, "doc_id").groupBy(*order, "toxic").agg(F.count(F.lit(1)).alias("rows"))
     chosen, held = [], 0
-    for row in sized.orderBy(*order, "n").limit(max_rows).collect():
+    for row in sized.orderBy(*order).limit(max_rows).collect():
         if held + row.n > max_chars:
             continue
         held += row.n
-        chosen.append((row.doc_id, row.n))
+        chosen.append((row.doc_id, row.n, row.body, row.toxic, row.rows))
     if not chosen:
         return [], np.zeros(0)
-    spark = docs.sparkSession
-    wanted = spark.createDataFrame(sorted(set(chosen)), sized.select("doc_id", "n").schema)
-    rows = texts.join(F.broadcast(wanted), ["doc_id", "n"]).join(marked, "doc_id").orderBy(*order, "text").limit(max_rows).collect()
-    return [r.text for r in rows], np.array([r.toxic for r in rows], float)
+    wanted = docs.sparkSession.createDataFrame(chosen, sized.select("doc_id", "n", "body", "toxic", "rows").schema)
+    # one text for each chosen row, as long as was counted; rows that repeat are learnt from as often, up to max_rows
+    found = texts.join(F.broadcast(wanted), ["doc_id", "n", "body"]).groupBy(*order, "toxic", "rows").agg(F.min("text").alias("text")).orderBy(*order).collect()
+    rows = [(r.text, r.toxic) for r in found for _ in range(min(r.rows, max_rows))][:max_rows]
+    return [t for t, _ in rows], np.array([y for _, y in rows], float)
 
 
-def score(docs: DataFrame, table: np.ndarray, bias: float, id_col: str = "doc_id", text_col: str = "text", also: list[str] | None = None) -> DataFrame:
-    """The id, the columns in ``also``, and score of every row of docs."""
+def score(docs: DataFrame, table: np.ndarray, bias: float, id_col: str = "doc_id", text_col: str = "text", also: list[str] | None = None, into: str = "score") -> DataFrame:
+    """The id, the columns in ``also``, and the score, in a column named ``into``, of every row of docs."""
     spark = docs.sparkSession
     bounded_batches(spark)
     shared = spark.sparkContext.broadcast((table, bias))
@@ -231,12 +234,12 @@ def score(docs: DataFrame, table: np.ndarray, bias: float, id_col: str = "doc_id
                 some = batch.slice(at, 256)
                 scores = score_texts(t, b, [x or "" for x in some.column(read).to_pylist()], known)
                 names = [c for c in some.schema.names if given or c != read]
-                yield pa.RecordBatch.from_arrays([*[some.column(c) for c in names], pa.array(scores, pa.float64())], [*names, "score"])
+                yield pa.RecordBatch.from_arrays([*[some.column(c) for c in names], pa.array(scores, pa.float64())], [*names, into])
         known.clear()
         give_back()
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema if given or f.name != read)
-    return kept.mapInArrow(run, f"{schema}, score double")
+    return kept.mapInArrow(run, f"{schema}, `{into}` double")
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, float]:
