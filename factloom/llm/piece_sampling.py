@@ -408,7 +408,7 @@ def sample_encode(docs: DataFrame, model_path: str, k: int = 2, alpha: float = 0
                     held += len(some[-1])
                 plain = [t.replace(BLANK, " ") for t in some]
                 rows = sample_rows(pieces, plain, keys[start : start + len(some)], k)
-                flat = [(start + i, n, *x, decode_ids(pieces, x[0]) == plain[i]) for i, row in enumerate(rows) for n, x in enumerate(row, 1)]
+                flat = [(start + i, n, *x, decode_ids(pieces, x[0]) == some[i]) for i, row in enumerate(rows) for n, x in enumerate(row, 1)]
                 start += len(some)
                 offsets = np.concatenate([[0], np.cumsum([len(x[2]) for x in flat])]).astype(np.int32)
                 ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([*[x[2] for x in flat], np.zeros(0, np.int32)]).astype(np.int32)))
