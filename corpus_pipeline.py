@@ -21,9 +21,11 @@ ORACLE_SQL = None
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score is below 0.5."""
     table, bias = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    columns = [c for c in docs.columns if c != "doc_id"]
-    scored = toxicity.score(docs, table, bias, also=columns)
-    return scored.where(F.col("score") < 0.5).select(*docs.columns)
+    columns, name = [c for c in docs.columns if c != "doc_id"], "toxicity"
+    while name in {c.lower() for c in docs.columns}:
+        name += "_"
+    scored = toxicity.score(docs, table, bias, also=columns, into=name)
+    return scored.where(F.col(name) < 0.5).select(*docs.columns)
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
