@@ -33,6 +33,8 @@ gives an empty table. Other columns, whatever their names, are left aside.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -48,7 +50,7 @@ def _signed(hashes: np.ndarray) -> np.ndarray:
     return (hashes ^ np.uint64(1 << 63)).view(np.int64)
 
 
-def _row_key(id_col: str, text_col: str) -> list[Column]:
+def row_key(id_col: str, text_col: str) -> list[Column]:
     """128 bits of a row's id and text, nulls told from empty ones."""
     key, text = F.col(id_col).cast("string"), F.col(text_col)
     return [F.xxhash64(F.lit(salt), key.isNull(), key, text.isNull(), text) for salt in (1, 2)]
@@ -71,7 +73,7 @@ def _sets(batch, width: int):
 
 def set_classes(docs: DataFrame, width: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, r1 and r2 (of id and text), c1 and c2 (of the set) and n of every row."""
-    r1, r2 = _row_key(id_col, text_col)
+    r1, r2 = row_key(id_col, text_col)
     kept = docs.select(F.col(id_col).alias("doc_id"), r1.alias("r1"), r2.alias("r2"), F.col(text_col).alias("text"))
     id_type = kept.schema["doc_id"].dataType.simpleString()
 
@@ -90,13 +92,13 @@ def set_classes(docs: DataFrame, width: int, id_col: str = "doc_id", text_col: s
 
 
 def named_classes(rows: DataFrame) -> DataFrame:
-    """class (a number of its own for each c1 and c2), c1, c2, alone (no other class has its c1), n, first_id, and one of its rows (r1, r2, again: it repeats)."""
-    once = rows.where("n > 0").groupBy("c1", "c2", "r1", "r2").agg(F.min("n").alias("n"), F.min("doc_id").alias("doc_id"), (F.count(F.lit(1)) > 1).alias("again"))
-    classes = once.groupBy("c1", "c2").agg(F.min("n").alias("n"), F.min("doc_id").alias("first_id"), F.min(F.struct("r1", "r2", "again")).alias("row"))
+    """class (a number of its own for each c1 and c2), c1, c2, alone (no other class has its c1), n, rows, first_id, and one of its rows (r1, r2, again: it repeats)."""
+    once = rows.where("n > 0").groupBy("c1", "c2", "r1", "r2").agg(F.min("n").alias("n"), F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("rows")).withColumn("again", F.col("rows") > 1)
+    classes = once.groupBy("c1", "c2").agg(F.sum("rows").alias("rows"), F.min("n").alias("n"), F.min("doc_id").alias("first_id"), F.min(F.struct("r1", "r2", "again")).alias("row"))
     same = Window.partitionBy("c1")
     ranked = classes.withColumns({"at": F.row_number().over(same.orderBy("c2")), "many": F.count(F.lit(1)).over(same)})
     key = F.when(F.col("at") == 1, F.col("c1")).otherwise(F.xxhash64("c1", "c2", "at"))
-    return ranked.select(key.alias("class"), "c1", "c2", (F.col("many") == 1).alias("alone"), "n", "first_id", "row.*")
+    return ranked.select(key.alias("class"), "c1", "c2", (F.col("many") == 1).alias("alone"), "n", "rows", "first_id", "row.*")
 
 
 def _first_tokens(texts: DataFrame, width: int, share: float, least: int) -> DataFrame:
@@ -168,22 +170,25 @@ def _differences(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return met.select("a", "b", "others", F.slice("other", F.lit(1), length(as_larger)).alias("rest"), length(as_smaller).alias("short"))
 
 
-def class_links(docs: DataFrame, classes: DataFrame, cuts: Cuts, width: int, percent: int, id_col: str, text_col: str) -> DataFrame:
-    """Links (a, b) of classes that join every component; classes as named_classes() gives them."""
+def class_links(plain: DataFrame, classes: DataFrame, cuts: Cuts, percent: int, first_tokens: Callable, token_lists: Callable) -> DataFrame:
+    """Links (a, b) of classes that join every component; plain has r1, r2 and what the sets are made of, classes are as named_classes() gives them.
+
+    first_tokens(plain, share, least) gives c1 and token of the tokens in the
+    first share of the hash range, of sets of ``least`` and more; token_lists of
+    plain rows with class and n gives class, n and tokens.
+    """
     least = max(1, -(-percent // (100 - percent))) if percent < 100 else 1 << 62  # smaller sets link with their equals only
-    r1, r2 = _row_key(id_col, text_col)
-    plain = docs.select(r1.alias("r1"), r2.alias("r2"), F.col(text_col).alias("text")).where(F.col("text").isNotNull())
 
     # a part of the hash range that holds a prefix's length of a set's tokens with room to spare
     share = min(1.0, 1.4 * (100 - percent) / 100 + 0.06)
-    tokens = _first_tokens(plain, width, share, least).groupBy("token").agg(F.min("c1").alias("c1"), F.max("c1").alias("other"))
+    tokens = first_tokens(plain, share, least).groupBy("token").agg(F.min("c1").alias("c1"), F.max("c1").alias("other"))
     lone = tokens.where("c1 = other").groupBy("c1").agg(F.count(F.lit(1)).alias("own"))
     possible = classes.where(F.col("n") >= least).join(lone, "c1", "left").where((F.coalesce("own", F.lit(0)) < _prefix(F.col("n"), percent)) | ~F.col("alone"))
     open_ = cuts.add(possible.select("class", "n", "r1", "r2", "again"))
     chosen = plain.join(_held(open_), ["r1", "r2"])
     repeated = chosen.where("again").dropDuplicates(["class"])
     chosen = chosen.where("not again").unionByName(repeated) if open_.where("again").limit(1).count() else chosen
-    lists = cuts.add(_token_lists(chosen, width))
+    lists = cuts.add(token_lists(chosen))
 
     exploded = lists.select("class", F.explode("tokens").alias("token"))
     counts = exploded.groupBy("token").agg(F.count(F.lit(1)).alias("held")).where("held > 1")
@@ -246,19 +251,27 @@ def _size_cell(n: Column) -> Column:
     return F.when(n <= 64, n.cast("int")).otherwise((F.floor(F.log(n / 64.0) * 32) + 65).cast("int"))
 
 
+def components_of(rows: DataFrame, plain: DataFrame, cuts: Cuts, percent: int, first_tokens: Callable, token_lists: Callable) -> DataFrame:
+    """c1, c2, component (a key), component_id (least doc_id reachable by links), first_id and all_rows (of the component) of every class; rows as set_classes() gives them."""
+    classes = cuts.add(named_classes(rows))
+    links = class_links(plain, classes, cuts, percent, first_tokens, token_lists)
+    parts = connected_components(links)
+    named = classes.join(parts, classes["class"] == parts["node"], "left").select("c1", "c2", F.coalesce("component", "class").alias("component"), "first_id", "rows")
+    least = named.groupBy("component").agg(F.min("first_id").alias("component_id"), F.sum("rows").alias("all_rows"))
+    named = cuts.add(named.join(least, "component").select("c1", "c2", "component", "component_id", "first_id", "all_rows"))
+    cuts.keep_only(rows, named)
+    cuts.drop(parts)
+    return named
+
+
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id (least doc_id reachable by links), r1 and r2 (of id and text) and component (a key) of every row."""
     bounded_batches(docs.sparkSession)
     cuts = Cuts()
     rows = cuts.add(set_classes(docs, width, id_col, text_col))
-    classes = cuts.add(named_classes(rows))
-    links = class_links(docs, classes, cuts, width, percent, id_col, text_col)
-    parts = connected_components(links)
-    named = classes.join(parts, classes["class"] == parts["node"], "left").select("c1", "c2", F.coalesce("component", "class").alias("component"), "first_id")
-    least = named.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    named = cuts.add(named.join(least, "component").select("c1", "c2", "component", "component_id"))
-    cuts.keep_only(rows, named)
-    cuts.drop(parts)
+    r1, r2 = row_key(id_col, text_col)
+    plain = docs.select(r1.alias("r1"), r2.alias("r2"), F.col(text_col).alias("text")).where(F.col("text").isNotNull())
+    named = components_of(rows, plain, cuts, percent, lambda texts, share, least: _first_tokens(texts, width, share, least), lambda chosen: _token_lists(chosen, width))
     full = F.col("n") > 0
     sized = rows.select("doc_id", F.col("n").alias("n_shingles"), "r1", "r2", F.when(full, F.col("c1")).alias("c1"), F.when(full, F.col("c2")).alias("c2"))
     return sized.join(named, ["c1", "c2"], "left").select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), "r1", "r2", "component")
@@ -275,7 +288,7 @@ def keep_one(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "
     wordless = found.where("n_shingles = 0").select("r1", "r2", F.lit(False).alias("once")).distinct()
     kept = chosen.unionByName(wordless).join(found.groupBy("r1", "r2").agg(F.count(F.lit(1)).alias("rows")), ["r1", "r2"])
     kept = kept.select(F.col("r1").alias("_r1"), F.col("r2").alias("_r2"), (F.col("once") & (F.col("rows") > 1)).alias("_thin"))
-    r1, r2 = _row_key(id_col, text_col)
+    r1, r2 = row_key(id_col, text_col)
     joined = docs.withColumns({"_k1": r1, "_k2": r2}).join(kept, (F.col("_k1") == F.col("_r1")) & (F.col("_k2") == F.col("_r2")))
     repeated = joined.where("_thin").dropDuplicates(["_r1", "_r2"])
     return joined.where("not _thin").unionByName(repeated).select(*docs.columns)

@@ -8,12 +8,12 @@ documents, all others become variable; a generalised line counts only if at
 least ``similarity`` of its tokens stay. A line has its own template and all those
 of its leaf that leave more places open and agree elsewhere; lines whose masked
 form recurs count too. Templates found in at least
-``min_docs`` documents recur, and their lines are dropped everywhere but at
-their first occurrence (least doc_id, then row and line), so that one copy of
-what is said stays. ``keep_first=False`` drops that one too.
+``min_docs`` documents recur, and their lines are dropped everywhere. With
+``keep_first`` their first occurrence (least doc_id, then row and line) stays, so
+that documents that are copies of one another are not emptied all of them.
 
 For lines of more than ``long_tokens`` tokens ``long_docs`` documents are enough.
-With ``spare`` (width, percent) lines that recur by that alone stay in a document
+With ``keep_first`` and ``spare`` (width, percent) lines that recur by that alone stay in a document
 that is, without its other dropped lines, a near copy of the document of the
 first occurrence: such documents are left whole for document dedup.
 
@@ -29,7 +29,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from factloom.llm.shared import cut, drop_cut
+from factloom.llm.shared import Cuts
 
 VARIABLE = "<*>"
 DEPTH = 3
@@ -43,7 +43,7 @@ def _row_key(id_col: str, text_col: str) -> Column:
 def _masked(line: Column) -> Column:
     """The line with single spaces between its tokens, those that hold a digit made variable."""
     untidy = line.contains("  ") | line.contains("\t") | line.contains("\r") | line.contains("\f") | line.contains("\x0b")
-    spaced = F.trim(F.when(untidy, F.regexp_replace(line, r"\s+", " ")).otherwise(line))
+    spaced = F.trim(F.when(untidy, F.regexp_replace(line, r"[ \t\r\f\x0B]+", " ")).otherwise(line))
     return F.when(spaced.rlike("[0-9]"), F.regexp_replace(spaced, r"[^ ]*[0-9][^ ]*", VARIABLE)).otherwise(spaced)
 
 
@@ -109,36 +109,44 @@ def _shingles(text: Column, width: int) -> Column:
     return F.array_distinct(F.flatten(F.transform(F.array(words), runs)))
 
 
-def _near_copies(docs: DataFrame, pairs: DataFrame, drops: DataFrame, width: int, percent: int, id_col: str, text_col: str) -> DataFrame:
+def _near_copies(cuts: Cuts, docs: DataFrame, pairs: DataFrame, drops: DataFrame, width: int, percent: int, id_col: str, text_col: str) -> DataFrame:
     """The pairs (key, kept) of rows that are near copies without the lines in drops."""
-    keys = _checked(cut(pairs.select("key").union(pairs.select("kept")).distinct().toDF("_key")))
+    keys = _checked(cuts.add(pairs.select("key").union(pairs.select("kept")).distinct().toDF("_key")))
     some = docs.select(F.col(id_col), F.col(text_col)).join(keys, _row_key(id_col, text_col) == F.col("_key")).dropDuplicates(["_key"])
-    sets = cut(_without(some, drops, id_col, text_col).select("_key", _shingles(F.col("_left"), width).alias("set")))
+    sets = cuts.add(_without(some, drops, id_col, text_col).select("_key", _shingles(F.col("_left"), width).alias("set")))
     met = pairs.join(sets.toDF("key", "one"), "key").join(sets.toDF("kept", "two"), "kept").withColumn("both", F.size(F.array_intersect("one", "two")))
     return met.where(100 * F.col("both") >= percent * (F.size("one") + F.size("two") - F.col("both"))).select("key", "kept")
 
 
-def dropped_lines(docs: DataFrame, min_docs: int = 3, min_tokens: int = 3, similarity: float = 0.7, keep_first: bool = True, long_tokens: int = 50, long_docs: int = 2, spare: tuple[int, int] | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def dropped_lines(docs: DataFrame, min_docs: int = 3, min_tokens: int = 3, similarity: float = 0.7, keep_first: bool = False, long_tokens: int = 50, long_docs: int = 2, spare: tuple[int, int] | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """key (of a row's id and text) and line_no of the lines to drop."""
+    cuts = Cuts()
     needed = F.when(F.col("n") > long_tokens, min(long_docs, min_docs)).otherwise(min_docs)
-    lines = cut(parsed_lines(docs, id_col, text_col)).where(F.col("n") >= min_tokens)
-    exact = cut(_recurring(lines, "template", needed))
+    lines = cuts.add(parsed_lines(docs, id_col, text_col).where(F.col("n") >= min_tokens))
+    exact = cuts.add(_recurring(lines, "template", needed))
     known = _checked(exact.select("template"))
     # lines of up to DEPTH tokens are their own leaves: nothing is left to generalise
     longer = lines.where(F.col("n") > DEPTH)
-    leaves = cut(longer.groupBy("leaf", "n", "key").agg(F.lit(1).alias("one")).groupBy("leaf", "n").count().where(F.col("count") >= needed).select("leaf"))
-    rest = cut(longer.join(_checked(leaves), "leaf", "left_semi").join(known, "template", "left_anti").select("key", "line_no", "n", "leaf", F.lit(0).cast("long").alias("held")).distinct())
+    leaves = cuts.add(longer.groupBy("leaf", "n", "key").agg(F.lit(1).alias("one")).groupBy("leaf", "n").count().where(F.col("count") >= needed).select("leaf"))
+    rest = cuts.add(longer.join(_checked(leaves), "leaf", "left_semi").join(known, "template", "left_anti").select("key", "line_no", "n", "leaf", F.lit(0).cast("long").alias("held")).distinct())
     # one line stands for each recurring masked form of these leaves: its tokens stay, as all its documents have them
-    standing = exact.where(F.col("n") > DEPTH).join(_checked(cut(rest.select("leaf").distinct())), "leaf", "left_semi").select("first.key", "first.line_no", "n", "leaf", F.col("docs").alias("held"))
-    tokens = cut(line_tokens(docs, cut(rest.unionByName(standing)), id_col, text_col))
+    standing = exact.where(F.col("n") > DEPTH).join(_checked(cuts.add(rest.select("leaf").distinct())), "leaf", "left_semi").select("first.key", "first.line_no", "n", "leaf", F.col("docs").alias("held"))
+    tokens = cuts.add(line_tokens(docs, cuts.add(rest.unionByName(standing)), id_col, text_col))
     fixed = tokens.groupBy("leaf", "n", "at", "token", "key").agg(F.max("held").alias("held")).groupBy("leaf", "n", "at", "token").agg(F.greatest(F.count(F.lit(1)), F.max("held")).alias("docs")).where(F.col("docs") >= needed).select("leaf", "at", "token")
     general = tokens.join(fixed, ["leaf", "at", "token"]).groupBy("id", "key", "line_no", "n", "leaf", "held").agg(F.sort_array(F.collect_list(F.struct("at", "token"))).alias("kept"))
     general = general.where(F.size("kept") >= F.col("n") * similarity)
-    general = cut(general.withColumn("template", F.xxhash64("leaf", "kept")))
-    drop_cut(tokens)
+    general = cuts.add(general.withColumn("template", F.xxhash64("leaf", "kept")))
+    cuts.drop(tokens)
     own = general.drop("kept")
-    wider = cut(_wider(general))
-    matched = cut(own.unionByName(own.withColumnRenamed("template", "narrow").join(_checked(wider), "narrow").drop("narrow")))
+    wider = cuts.add(_wider(general))
+    matched = cuts.add(own.unionByName(own.withColumnRenamed("template", "narrow").join(_checked(wider), "narrow").drop("narrow")))
+    by_field = _recurring(matched, "template", needed)
+    if not keep_first:
+        recurring = _checked(cuts.add(by_field.select("template")))
+        drops = lines.join(known, "template", "left_semi").select("key", "line_no").unionByName(matched.where("held = 0").join(recurring, "template", "left_semi").select("key", "line_no").distinct())
+        drops = cuts.add(drops)
+        cuts.keep_only(drops)
+        return drops
 
     def to_drop(all_lines: DataFrame, recurring: DataFrame) -> DataFrame:
         met = all_lines.select("key", "line_no", "template").join(recurring.select("template", "docs", "first"), "template")
@@ -146,20 +154,21 @@ def dropped_lines(docs: DataFrame, min_docs: int = 3, min_tokens: int = 3, simil
         return met.select("key", "line_no", "first", is_first.alias("is_first"), (F.col("docs") < min_docs).alias("by_length"))
 
     by_form = to_drop(lines, _checked(exact)).select("key", "line_no", F.col("first.key").alias("kept"), "is_first", "by_length")
-    by_field = to_drop(matched.where("held = 0"), _recurring(matched, "template", needed)).groupBy("key", "line_no")
-    by_field = by_field.agg(F.min("first").alias("first"), F.max("is_first").alias("is_first"), F.min("by_length").alias("by_length"))
-    drops = by_form.unionByName(by_field.select("key", "line_no", F.col("first.key").alias("kept"), "is_first", "by_length"))
-    drops = (drops.where("not is_first") if keep_first else drops).drop("is_first")
+    field = to_drop(matched.where("held = 0"), by_field).groupBy("key", "line_no")
+    field = field.agg(F.min("first").alias("first"), F.max("is_first").alias("is_first"), F.min("by_length").alias("by_length"))
+    drops = cuts.add(by_form.unionByName(field.select("key", "line_no", F.col("first.key").alias("kept"), "is_first", "by_length")).where("not is_first").drop("is_first"))
+    cuts.keep_only(drops)
     if not spare:
         return drops.select("key", "line_no")
-    drops = cut(drops)
     others = drops.where("not by_length").select("key", "line_no")
-    pairs = cut(drops.where("by_length and key <> kept").select("key", "kept").distinct())
-    near = _checked(cut(_near_copies(docs, pairs, others, *spare, id_col, text_col)))
-    return others.unionByName(drops.where("by_length").join(near, ["key", "kept"], "left_anti").select("key", "line_no"))
+    pairs = cuts.add(drops.where("by_length and key <> kept").select("key", "kept").distinct())
+    near = _checked(cuts.add(_near_copies(cuts, docs, pairs, others, *spare, id_col, text_col)))
+    left = cuts.add(others.unionByName(drops.where("by_length").join(near, ["key", "kept"], "left_anti").select("key", "line_no")))
+    cuts.keep_only(left)
+    return left
 
 
-def dedup_lines(docs: DataFrame, min_docs: int = 3, min_tokens: int = 3, similarity: float = 0.7, keep_first: bool = True, long_tokens: int = 50, long_docs: int = 2, spare: tuple[int, int] | None = None, id_col: str = "doc_id", text_col: str = "text", length_col: str = "n_chars") -> DataFrame:
+def dedup_lines(docs: DataFrame, min_docs: int = 3, min_tokens: int = 3, similarity: float = 0.7, keep_first: bool = False, long_tokens: int = 50, long_docs: int = 2, spare: tuple[int, int] | None = None, id_col: str = "doc_id", text_col: str = "text", length_col: str = "n_chars") -> DataFrame:
     """docs, each text without its lines whose template recurs across documents."""
     drops = dropped_lines(docs, min_docs, min_tokens, similarity, keep_first, long_tokens, long_docs, spare, id_col, text_col)
     joined = _without(docs, drops, id_col, text_col)

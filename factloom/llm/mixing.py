@@ -26,7 +26,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from factloom.llm.shared import cut
+from factloom.llm.shared import Cuts, cut, drop_cut
 
 BUCKETS = 4096
 EVIDENCE_WORDS = 32.0  # a text's mean log-likelihood counts as that of so many words at most
@@ -48,16 +48,19 @@ def _words(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def fit_classifier(docs: DataFrame, labelled: DataFrame, domains: list[str], max_labelled: int = 20_000, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, list[float]]:
     """Log-likelihoods (bucket, l0, l1, ...) and log-priors of the domains; labelled has doc_id and domain."""
     sample = labelled.where(F.col("domain").isin(domains) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min("domain").alias("domain"))
-    sample = cut(docs.select(F.col(id_col).alias("doc_id")).distinct().join(sample, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled))
+    cuts = Cuts()
+    sample = cuts.add(docs.select(F.col(id_col).alias("doc_id")).distinct().join(sample, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled))
     # at most max_labelled rows of an id and a short label
     counts = _words(docs.withColumnRenamed(id_col, "doc_id"), "doc_id", text_col).join(F.broadcast(sample), "doc_id").groupBy("bucket").agg(*[F.count_if(F.col("domain") == d).cast("double").alias(f"n{i}") for i, d in enumerate(domains)])
-    counts = cut(counts)
+    counts = cuts.add(counts)
     totals = counts.agg(*[F.coalesce(F.sum(f"n{i}"), F.lit(0.0)) for i in range(len(domains))]).first()
     shares = sample.agg(*[F.count_if(F.col("domain") == d) for d in domains]).first()
     prior = [float(np.log((n + SMOOTHING) / (sum(shares) + SMOOTHING * len(domains)))) for n in shares]
     every = docs.sparkSession.range(BUCKETS).select(F.col("id").cast("int").alias("bucket"))
     model = every.join(counts, "bucket", "left").select("bucket", *[F.log((F.coalesce(F.col(f"n{i}"), F.lit(0.0)) + SMOOTHING) / (totals[i] + SMOOTHING * BUCKETS)).alias(f"l{i}") for i in range(len(domains))])
-    return cut(model), prior
+    model = cuts.add(model)
+    cuts.keep_only(model)
+    return model, prior
 
 
 def posteriors(docs: DataFrame, model: DataFrame, prior: list[float], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -117,6 +120,7 @@ def rates(docs: DataFrame, labelled: DataFrame, weights: dict[str, float], budge
     share = share / share.sum()
     model, prior = fit_classifier(docs, labelled, domains, max_labelled, id_col, text_col)
     scored = cut(posteriors(docs, model, prior, id_col, text_col))
+    drop_cut(model)
     tokens = F.col("n_tokens") * F.col("rows")
     now = np.array(scored.agg(*[F.coalesce(F.sum(tokens * F.get("posterior", F.lit(i))), F.lit(0.0)) for i in range(len(domains))]).first(), float)
     size = now.sum() if budget == "total" else max((now / np.maximum(share, 1e-9)).max(), now.sum())

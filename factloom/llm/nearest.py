@@ -8,8 +8,8 @@ whose lists they would better get them as proposals, merged into their lists.
 Rounds end when few lists change, or at ``rounds``.
 
 A query starts at its own node and keeps a beam of the ``beam`` best nodes seen;
-each step joins the lists of beam nodes not yet opened and scores what is new.
-The best of the beam are scored again in double precision on the original
+each step joins the lists of beam nodes not yet opened and scores what is new,
+until every node of the beam has been opened. The best of the beam are scored again in double precision on the original
 vectors, and nodes become rows once more (ties to the smaller id).
 
 Work is laid out in blocks: a block of nodes (or queries) and the distinct
@@ -18,16 +18,19 @@ network once for each block that needs it. A block holds at most BLOCK lists of
 at most 2 x ``degree`` ids.
 
 The measure is the inner product. Null vectors, those without components, of
-another length than most, of zeros only, or with null or non-finite components
-take no part, and null ids do not either. A node of very many equal vectors
-hands on only its ``k`` + 1 least ids, which is all an answer can hold. Repeated
-ids count as the rows they are. Fewer candidates than k give all of them. An
-empty table gives an empty table; other columns are left aside.
+zeros only, or with null or non-finite components take no part, and null ids do
+not either. Vectors of different lengths have no inner product: each length is a
+search of its own. A node of very many equal vectors hands on only its ``k`` + 1
+least ids, which is all an answer can hold. Rows that repeat an id are rows of
+their own as candidates; as queries, those of equal vector ask once, others each
+for themselves (``same`` tells them apart). Fewer candidates than k give all of
+them. An empty table gives an empty table; other columns are left aside.
 """
 
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import numpy as np
 from pyspark.sql import DataFrame, Window
@@ -37,6 +40,7 @@ from factloom.llm.shared import cut, drop_cut
 
 BLOCK = 4096
 LEAST_BLOCKS = 16  # tables of fewer nodes are still dealt to so many tasks
+LARGEST = 1e15
 PROPOSALS = 16  # for one node from one block and round
 
 
@@ -44,6 +48,8 @@ def _matrix(column, dtype=np.float32) -> np.ndarray:
     flat = column.combine_chunks() if hasattr(column, "combine_chunks") else column
     n = len(flat)
     values = flat.flatten().to_numpy(zero_copy_only=False)
+    if n and dtype == np.float32 and values.dtype == np.float64:
+        values = np.clip(values, -LARGEST, LARGEST)  # products must stay finite; the last scoring is of the values as they are
     return values.reshape(n, -1).astype(dtype) if n else np.zeros((0, 1), dtype)
 
 
@@ -56,12 +62,11 @@ def _lists(arrays: list[np.ndarray], kind):
 
 
 def usable(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
-    """vec_id and vector of the rows that take part."""
-    rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("vector")).where("vec_id is not null and vector is not null and size(vector) > 0")
+    """vec_id and vector (of float, if it was; else of double) of the rows that take part."""
+    kind = "array<float>" if vectors.schema[vector_col].dataType.simpleString() == "array<float>" else "array<double>"
+    rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast(kind).alias("vector")).where("vec_id is not null and vector is not null and size(vector) > 0")
     finite = F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    rows = rows.where(finite & F.exists("vector", lambda x: x != 0))
-    size = rows.groupBy(F.size("vector").alias("size")).count().orderBy(F.desc("count"), "size").first()
-    return rows.where(F.size("vector") == (size["size"] if size else 0))
+    return rows.where(finite & F.exists("vector", lambda x: x != 0))
 
 
 def _top(sims: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
@@ -216,15 +221,16 @@ def neighbour_graph(nodes: DataFrame, degree: int = 48, rounds: int = 6, still:
     return graph
 
 
-def search_graph(queries: DataFrame, graph: DataFrame, nodes: DataFrame, beam: int = 96, steps: int = 3, degree: int = 48) -> DataFrame:
+def search_graph(queries: DataFrame, graph: DataFrame, nodes: DataFrame, beam: int = 96, degree: int = 48) -> DataFrame:
     """query, found (node ids) and scores (double, best first) for queries (query, vector) that are nodes themselves."""
     import pyarrow as pa
 
     lists = cut(_around(graph, degree, 0).select(F.col("node").alias("opened"), F.col("around.id").alias("near")))
     blocks = max(LEAST_BLOCKS // 4, math.ceil(queries.count() / (BLOCK // 4)))
     state = queries.select("query", "vector", F.array().cast("array<long>").alias("found"), F.array().cast("array<double>").alias("scores"), F.array("query").alias("opening"), F.array().cast("array<long>").alias("opened"))
-    kind = "query long, vector array<double>, found array<long>, scores array<double>, opening array<long>, opened array<long>"
-    for _ in range(steps):
+    kind = f"query long, vector {queries.schema['vector'].dataType.simpleString()}, found array<long>, scores array<double>, opening array<long>, opened array<long>"
+    done, steps = [], []
+    while True:
         front = state.select("query", F.explode("opening").alias("opened")).join(lists, "opened").groupBy("query").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("candidates"))
         front = cut(state.join(front, "query", "left").withColumn("block", F.pmod(F.xxhash64("query"), F.lit(blocks))))
         wanted = _with_vectors(front.select("block", F.explode("candidates").alias("id")), nodes, [])
@@ -252,25 +258,41 @@ def search_graph(queries: DataFrame, graph: DataFrame, nodes: DataFrame, beam: i
 
         after = cut(front.groupBy("block").cogroup(wanted.groupBy("of_block")).applyInArrow(step, kind))
         drop_cut(front)
-        state = after
-    return state.select("query", "found", "scores")
-
-
-def nearest(vectors: DataFrame, every: int = 20, k: int = 20, degree: int = 48, rounds: int = 6, beam: int = 96, steps: int = 3, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
-    """query_id, rank, vec_id, score: the k nearest other rows found for each row whose id is divisible by ``every``."""
-    rows = usable(vectors, id_col, vector_col).withColumn("same", F.xxhash64("vector"))
-    nodes = rows.groupBy("same").agg(F.min("vec_id").alias("node"), F.min_by("vector", "vec_id").alias("vector"))
-    nodes = cut(nodes)
+        steps.append(after)
+        done.append(after.where(F.size("opening") == 0).select("query", "found", "scores"))
+        state = after.where(F.size("opening") > 0)
+        if not state.limit(1).count():
+            found = cut(reduce(DataFrame.unionByName, done))
+            for table in [*steps, lists]:
+                drop_cut(table)
+            return found
+
+
+def nearest(vectors: DataFrame, every: int = 20, k: int = 20, degree: int = 48, rounds: int = 10, beam: int = 96, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
+    """query_id, rank, vec_id, score, same: the k nearest other rows found for each row whose id is divisible by ``every``."""
+    rows = usable(vectors, id_col, vector_col)
+    sizes = [r[0] for r in rows.select(F.size("vector").alias("size")).distinct().orderBy("size").collect()]
+    found = [_nearest(rows.where(F.size("vector") == size), every, k, degree, rounds, beam) for size in sizes or [0]]
+    return reduce(DataFrame.unionByName, found)
+
+
+def _nearest(rows: DataFrame, every: int, k: int, degree: int, rounds: int, beam: int) -> DataFrame:
+    """nearest() for rows (vec_id, vector) of one length."""
+    rows = rows.withColumn("same", F.xxhash64("vector"))
+    nodes = cut(rows.groupBy("same").agg(F.min_by("vector", "vec_id").alias("vector")).withColumnRenamed("same", "node"))
     least = Window.partitionBy("same").orderBy("vec_id")
-    members = rows.select("same", "vec_id").withColumn("rank", F.row_number().over(least)).where(F.col("rank") <= k + 1).join(nodes.select("same", "node"), "same").select("node", "vec_id")
-    members = cut(members)
-    asked = cut(rows.where(F.col("vec_id") % every == 0).select("vec_id", "same").join(nodes, "same").select(F.col("vec_id").alias("query_id"), "node", "vector"))
-    graph = neighbour_graph(nodes.select("node", "vector"), degree, rounds)
+    members = cut(rows.select("same", "vec_id").withColumn("rank", F.row_number().over(least)).where(F.col("rank") <= k + 1))
+    asked = cut(rows.where(F.col("vec_id") % every == 0).select("vec_id", "same").distinct().withColumnRenamed("same", "node").join(nodes, "node").select(F.col("vec_id").alias("query_id"), "node", "vector"))
+    graph = neighbour_graph(nodes, degree, rounds)
     queries = asked.groupBy(F.col("node").alias("query")).agg(F.first("vector").alias("vector"))
-    found = search_graph(queries, graph, nodes.select("node", "vector"), beam, steps, degree)
+    found = search_graph(queries, graph, nodes, beam, degree)
+    drop_cut(graph)
     # the query's own node: its other members stand at the query's product with itself
-    itself = queries.select("query", F.col("query").alias("node"), F.aggregate("vector", F.lit(0.0), lambda s, x: s + x * x).alias("score"))
-    others = found.select("query", F.explode(F.slice(F.arrays_zip("found", "scores"), 1, k)).alias("e")).select("query", F.col("e.found").alias("node"), F.col("e.scores").alias("score"))
-    scored = asked.select("query_id", F.col("node").alias("query")).join(others.union(itself), "query").join(members, "node").where("vec_id <> query_id")
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return scored.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    itself = queries.select("query", F.col("query").alias("near"), F.aggregate("vector", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")).alias("score"))
+    others = found.select("query", F.explode(F.slice(F.arrays_zip("found", "scores"), 1, k)).alias("e")).select("query", F.col("e.found").alias("near"), F.col("e.scores").alias("score"))
+    # of the query's own node one row with its id is the query itself
+    own = members.withColumnRenamed("same", "near").withColumn("twin", F.row_number().over(Window.partitionBy("near", "vec_id").orderBy("rank"))).drop("rank")
+    scored = asked.select("query_id", F.col("node").alias("query")).join(others.union(itself), "query").join(own, "near").where("vec_id <> query_id or near <> query or twin > 1")
+    best = Window.partitionBy("query_id", "query").orderBy(F.desc("score"), "vec_id", "twin")
+    ranked = scored.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+    return ranked.select("query_id", "rank", "vec_id", "score", F.col("query").alias("same"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from factloom.llm import fingerprints, html_extraction, jaccard_join, line_dedup, mixing, nearest, piece_sampling, sharding, shared, token_counts, toxicity
+from factloom.llm import fingerprints, html_extraction, jaccard_join, line_dedup, mixing, nearest, oracles, piece_sampling, sharding, shared, token_counts, toxicity
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -47,7 +47,8 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents")
     fitted = mixing.rates(docs, mixing.label_domains(_read(spark, sf_dir, "labels")), MIX)
     names = [F.get("posterior", F.lit(i)).alias(f"p_{d}") for i, d in enumerate(sorted(MIX))]
-    return fitted.select("doc_id", "n_tokens", *names, "rate", mixing.copies_of(F.col("rate"), F.col("key"), 11).alias("copies"))
+    found = fitted.select("doc_id", "n_tokens", *names, "rate", mixing.copies_of(F.col("rate"), F.col("key"), 11).alias("copies"), F.explode(F.sequence(F.lit(1), "rows")).alias("row"))
+    return found.drop("row")  # one row for each row of documents
 
 
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,4 +78,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     """Query name to DuckDB SQL; queries that SQL cannot express are tested in tests/llm."""
-    return {}
+    return {"op4_jaccard_join": oracles.JACCARD, "op9_fingerprints": oracles.SPOTS, "op10_line_dedup": oracles.LINES}

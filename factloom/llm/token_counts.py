@@ -66,7 +66,7 @@ def encoded_lengths(texts: Iterable[str], tokenizer, batch_bytes: int) -> Iterat
         for part in safe_parts(text, batch_bytes // 4):
             parts.append(part)
             owner.append(len(counts) - 1)
-            held += len(part)
+            held += len(part) if part.isascii() else len(part.encode("utf-8", "surrogatepass"))
             if held >= batch_bytes:
                 encode()
                 parts, owner, held = [], [], 0

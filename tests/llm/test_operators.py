@@ -84,17 +84,50 @@ def test_sharding_places_every_row_once(spark, docs, empty):
     assert {(r.doc_id, r.shard, r.slot) for r in found} == {(r.doc_id, r.shard, r.slot) for r in again}
     assert [r.doc_id for r in sorted(found, key=lambda r: (r.shard, r.slot))] != list(range(103))
     assert sharding.shuffle_into_shards(with_null_id(spark, docs), 3).count() == len(rows()) + 2
+    equal = spark.range(3000).select(F.lit(None).cast("long").alias("doc_id"), F.when(F.col("id") < 2990, "same text").otherwise(F.col("id").cast("string")).alias("text"))
+    spread = sharding._numbered(equal, 1).select(F.pmod("_hash", F.lit(20)).alias("bucket")).groupBy("bucket").count().collect()
+    assert len(spread) == 20 and max(r["count"] for r in spread) < 250
+    placed = sharding.shuffle_into_shards(equal, 8, bucket_bytes=1000).collect()
+    assert len({(r.shard, r.slot) for r in placed}) == 3000 and len({r.text for r in placed}) == 11
     assert sharding.shuffle_into_shards(empty, 8).collect() == []
 
 
 # --- fingerprints ---------------------------------------------------------------------------------------------------
 
 
+def true_spots(text):
+    """Signatures by a walk over the words."""
+    found, chain, anchor, anchors = [], [], None, set(fingerprints.ANCHORS)
+    tokens = re.findall(r"[^\W_]+", text.lower())
+
+    def plain(run):
+        if len(run) == len(tokens) < fingerprints.CHAIN and run:
+            return [run]
+        return [run[i : i + fingerprints.CHAIN] for i in range(0, len(run) - fingerprints.CHAIN + 1, fingerprints.CHAIN)]
+
+    def flush():
+        if anchor is None:
+            found.extend(plain(chain))
+        elif chain:
+            found.append(["@" + anchor, *chain[:3]])
+            found.extend(plain(chain[3:]))
+
+    for word in tokens:
+        if word in anchors:
+            flush()
+            anchor, chain = word, []
+        else:
+            chain.append(word)
+    flush()
+    made = {" " + " ".join(x) + (" " if len(x) == len(tokens) < fingerprints.CHAIN and x[0][0] != "@" else "") for x in found}
+    return {hashlib.md5(x.encode()).hexdigest()[:16] for x in (made or {text} if text else ())}
+
+
 def test_fingerprints_against_brute_force(spark, docs, empty):
     plain = spark.createDataFrame([r for r in rows()], SCHEMA)
     got = {r.doc_id: r for r in fingerprints.fingerprint_report(plain).collect()}
     texts = [r[1] or "" for r in rows()]
-    sets = {r.doc_id: set(r.spots) for r in fingerprints.fingerprints(plain).collect()}
+    sets = {i: true_spots(t) for i, t in enumerate(texts)}
     assert got[4].fingerprint == got[5].fingerprint and got[0].fingerprint == ""
     for i, text in enumerate(texts):
         after = texts[(i + 1) % len(texts)]
@@ -102,31 +135,61 @@ def test_fingerprints_against_brute_force(spark, docs, empty):
         edited = text[: len(text) - moved] + after[:moved]
         assert got[i].n_chars == len(text)
         assert got[i].edited_sha256 == hashlib.sha256(edited.encode()).hexdigest()
-        a, b = sets[i], sets[(i + 1) % len(texts)]
-        assert got[i].near_next == pytest.approx(len(a & b) / len(a | b) if a | b else 1.0)
+        assert got[i].fingerprint == "".join(sorted(sets[i])) and got[i].edited_fingerprint == "".join(sorted(true_spots(edited)))
+        for b, near in ((sets[(i + 1) % len(texts)], got[i].near_next), (true_spots(edited), got[i].near_edited)):
+            assert near == pytest.approx(len(sets[i] & b) / len(sets[i] | b) if sets[i] | b else 1.0)
     assert got[11].near_edited > 0.3
     assert fingerprints.fingerprint_report(empty).collect() == []
-    assert fingerprints.fingerprint_report(with_null_id(spark, docs)).count() == len(rows()) + 2
+    odd = with_null_id(spark, docs)
+    found = fingerprints.fingerprint_report(odd).collect()
+    key = lambda x: (-1 if x is None else x)
+    by_id = {key(r.doc_id): r for r in found}
+    assert sorted(key(r.doc_id) for r in found) == sorted(key(r.doc_id) for r in odd.collect())
+    assert by_id[-1].edited_sha256 == hashlib.sha256(b"no id here at").hexdigest()  # 16 code points, 4 of them from the next, empty, text
+    assert all(by_id[i].fingerprint == got[i].fingerprint and by_id[i].class_id == got[i].class_id for i in got)
     assert fingerprints.fingerprint_report(plain.limit(1)).count() == 1
 
 
 def test_spots_are_anchors_with_content_words(spark):
-    one = spark.createDataFrame([("the red fox of the deep dark cold wood",)], "t string")
-    spots = one.select(F.regexp_extract_all(F.concat(F.lit(" "), "t", F.lit(" ")), F.lit(fingerprints.SPOT), F.lit(0)).alias("s")).first().s
-    assert spots == [" the red fox", " the deep dark cold"]
+    texts = ["The red-fox of the deep dark cold wood", "one two", "a the", "b1 b2 b3 b4 b5 b6 b7 b8 b9 in x", "?!"]
+    found = spark.createDataFrame([(t,) for t in texts], "t string").select(fingerprints.spots_in(F.col("t")).alias("s")).collect()
+    assert [r.s for r in found] == [[" @the red fox", " @the deep dark cold"], [" one two "], [], [" b1 b2 b3 b4 b5 b6 b7 b8", " @in x"], []]
 
 
-def test_similar_pairs_against_brute_force(spark):
-    texts = [words(i // 3, 50 + i % 3) for i in range(30)]
-    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    prints = fingerprints.fingerprints(frame)
-    sets = {r.doc_id: frozenset(r.spots) for r in prints.collect()}
-    first = {}
-    for i in sorted(sets):
-        first.setdefault(sets[i], i)
-    ids = sorted(first.values())
-    want = {frozenset((a, b)) for a in ids for b in ids if a < b and len(sets[a] & sets[b]) / len(sets[a] | sets[b]) >= 0.8}
-    assert {frozenset((r.a_id, r.b_id)) for r in fingerprints.similar_pairs(prints, 0.8).collect()} == want and want
+def test_documents_alike_against_brute_force(spark):
+    rng = np.random.default_rng(4)
+    texts = ["", None]
+    for i in range(90):
+        w = words(i // 15, 70).split()
+        for _ in range(rng.integers(0, 4)):
+            w[rng.integers(70)] = str(rng.choice(["the", "of", "new", "old"]))
+        texts.append(" ".join(w))
+    texts += texts[2:5] * 3
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").withColumns({c: F.lit("x") for c in ("class_id", "c1", "spots")})
+    sets, up = {i: true_spots(t or "") for i, t in enumerate(texts)}, list(range(len(texts)))
+    for _ in range(len(texts)):
+        for a in sets:
+            for b in sets:
+                if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                    up[a] = up[b] = min(up[a], up[b])
+        if all(up[a] == up[up[a]] for a in sets):
+            break
+    got = {r.doc_id: r for r in fingerprints.fingerprint_report(frame).collect()}
+    assert {i: r.alike_id for i, r in got.items()} == dict(enumerate(up)) and len(set(up)) < len(texts) - 20
+    assert all(r.class_id == min(j for j in sets if sets[j] == sets[i] and (sets[j] or j == i)) for i, r in got.items())
+
+
+def test_ranges_of_ids_are_of_even_size(spark):
+    ids = [*range(2000), 10**15, -(10**12), *[None] * 400]
+    frame = spark.createDataFrame([(i, f"text {n} " * 4) for n, i in enumerate(ids)], "doc_id long, text string")
+    placed = fingerprints._ranges(frame, 1000, 64).collect()
+    sizes = collections.Counter(r["_bucket"] for r in placed)
+    assert max(sizes.values()) < 80 and len(placed) == len(ids)
+    order = [r["_bucket"] for r in sorted(placed, key=lambda r: (r.doc_id is not None, r.doc_id or 0)) if r.doc_id is not None]
+    assert order == sorted(order)
+    linked = fingerprints.with_next(frame.where("doc_id is not null"), {}, ["doc_id"], 1000, 64).collect()
+    known = sorted(i for i in ids if i is not None)
+    assert {r.doc_id: r.next.doc_id for r in linked} == dict(zip(known, known[1:] + known[:1], strict=True))
 
 
 # --- line dedup -----------------------------------------------------------------------------------------------------
@@ -140,13 +203,13 @@ def test_lines_recurring_across_documents_go(spark, docs, empty):
     texts += [f"very same words here and there {x} end" for x in ("alpha", "beta", "gamma")]
     texts += [None, "", "short", "short", "short", "only here"]
     frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").withColumn("line_no", F.lit(1))
-    got = {r.doc_id: r.text for r in line_dedup.dedup_lines(frame).collect()}
+    got = {r.doc_id: r.text for r in line_dedup.dedup_lines(frame, keep_first=True).collect()}
     assert got[0] == texts[0]  # the first keeps it
     assert [got[i] for i in (1, 2, 3)] == [t.split("\n")[1] for t in texts[1:4]]
     assert got[7] == texts[7] and got[8] == got[9] == ""  # generalised: one word varies
     assert got[10] is None and got[11] == "" and got[12] == got[13] == "short" and got[15] == "only here"
-    none = {r.doc_id: r.text for r in line_dedup.dedup_lines(frame, keep_first=False).collect()}
-    assert none[0] == own[0]
+    none = {r.doc_id: r.text for r in line_dedup.dedup_lines(frame).collect()}
+    assert [none[i] for i in range(4)] == own and not any(none[i] for i in range(4, 10))
     assert line_dedup.dedup_lines(empty).collect() == []
     assert line_dedup.dedup_lines(with_null_id(spark, docs)).count() == len(rows()) + 2
 
@@ -156,10 +219,10 @@ def test_long_lines_of_two_documents_go(spark):
     passage, own, tail = plain(31, 60), [plain(40 + i, 55) for i in range(4)], plain(50, 40)
     texts = [f"{passage}\n{own[0]}", f"{own[1]}\n{passage}", f"{own[2]} {own[3]}\n{tail} x", f"{own[2]} {own[3]}\n{tail} y", "a short line\nof one", "a short line\nof two"]
     frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    got = {r.doc_id: r.text for r in line_dedup.dedup_lines(frame).collect()}
+    got = {r.doc_id: r.text for r in line_dedup.dedup_lines(frame, keep_first=True).collect()}
     assert got[0] == texts[0] and got[1] == own[1] and got[2] == texts[2] and got[3] == texts[3].split("\n")[1]
     assert got[4] == texts[4] and got[5] == texts[5]
-    spared = {r.doc_id: r.text for r in line_dedup.dedup_lines(frame, spare=(5, 80)).collect()}
+    spared = {r.doc_id: r.text for r in line_dedup.dedup_lines(frame, keep_first=True, spare=(5, 80)).collect()}
     assert spared == {**got, 3: texts[3]}  # a near copy as a whole
 
 
@@ -169,9 +232,10 @@ def test_rare_values_of_a_skewed_field_go(spark):
     texts += [f"we met in the old {v} of town {w} again" for v, w in zip(["inn"] * 3 + ["pub", "inn", "bar"], ["today"] * 3 + ["once", "late", "twice"], strict=True)]
     texts += ["the parcel was lost", "a parcel was sent out from oslo to you", "we met in the new park of village today once"]
     frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    got = {r.doc_id: r.text for r in line_dedup.dedup_lines(frame).collect()}
+    got = {r.doc_id: r.text for r in line_dedup.dedup_lines(frame, keep_first=True).collect()}
     assert {i for i, t in got.items() if t} == {0, 9, 15, 16, 17}
     assert all(got[i] == texts[i] for i in (0, 9, 15, 16, 17))
+    assert {r.doc_id for r in line_dedup.dedup_lines(frame).where("text <> ''").collect()} == {15, 16, 17}
 
 
 # --- shingles, joins, components ------------------------------------------------------------------------------------
@@ -469,7 +533,24 @@ def test_rates_meet_the_targets(spark, docs, empty):
     counts = collections.Counter(r.doc_id for r in grown.collect())
     assert set(counts) == set(range(302)) and grown.columns == frame.columns
     assert mixing.rates(empty, labelled, {"a": 1.0}).collect() == []
-    assert mixing.mix(with_null_id(spark, docs), labelled, {"a": 0.5, "b": 0.5}, budget="grow").count() >= 1
+    odd = with_null_id(spark, docs)
+    kept = collections.Counter((r.doc_id, r.text) for r in mixing.mix(odd, labelled, {"a": 0.5, "b": 0.5}, budget="grow").collect())
+    assert all(kept[key] >= n for key, n in collections.Counter((r.doc_id, r.text) for r in odd.collect()).items())
+    assert {r.rows for r in mixing.rates(odd, labelled, {"a": 0.5, "b": 0.5}).collect()} == {1, 2}
+
+
+def test_posteriors_are_those_of_the_counts(spark):
+    texts = ["red red blue", "blue green", "green green grey", "red grey", None, ""]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labelled = spark.createDataFrame([(0, "a"), (1, "a"), (2, "b")], "doc_id long, domain string")
+    got = {r.doc_id: r for r in mixing.posteriors(frame, *mixing.fit_classifier(frame, labelled, ["a", "b"])).collect()}
+    counts = {"a": collections.Counter("red red blue blue green".split()), "b": collections.Counter("green green grey".split())}
+    prior = {"a": math.log(2.5 / 4), "b": math.log(1.5 / 4)}
+    for i, text in enumerate(texts):
+        found = (text or "").split()
+        logits = [prior[d] + sum(math.log((counts[d][w] + 0.5) / (sum(counts[d].values()) + 0.5 * 4096)) for w in found) for d in "ab"]
+        weights = np.exp(np.array(logits) - max(logits))
+        assert got[i].n_tokens == len(found) and got[i].posterior == pytest.approx((weights / weights.sum()).tolist())
 
 
 # --- nearest neighbours ---------------------------------------------------------------------------------------------
@@ -480,7 +561,7 @@ def test_nearest_against_brute_force(spark):
     x = rng.normal(0, 1, (400, 16)).astype(np.float32)
     x[100:160] = x[100]  # many equal vectors
     data = [(i, [float(v) for v in row], 0) for i, row in enumerate(x)]
-    bad = [(1000, None, 0), (1020, [0.0] * 16, 0), (1040, [float("nan")] * 16, 0), (1060, [1.0, None] * 8, 0), (1080, [1.0] * 3, 0), (None, [1.0] * 16, 0), (1100, [], 0), (1120, [float("inf")] * 16, 0)]
+    bad = [(1000, None, 0), (1020, [0.0] * 16, 0), (1040, [float("nan")] * 16, 0), (1060, [1.0, None] * 8, 0), (None, [1.0] * 16, 0), (1100, [], 0), (1120, [float("inf")] * 16, 0)]
     frame = spark.createDataFrame(data + bad, "vec_id long, embedding array<float>, label int").withColumn("score", F.lit("x"))
     got = collections.defaultdict(list)
     for r in nearest.nearest(frame).collect():
@@ -502,6 +583,26 @@ def test_nearest_against_brute_force(spark):
     assert nearest.nearest(frame.limit(0)).collect() == []
 
 
+def test_nearest_with_repeated_ids_lengths_and_large_numbers(spark):
+    rng = np.random.default_rng(5)
+    x = rng.normal(0, 1, (60, 8))
+    x[50] *= 1e200
+    data = [(i, [float(v) for v in row]) for i, row in enumerate(x)] + [(20, [float(v) for v in rng.normal(0, 1, 8)]), (7, [float(v) for v in x[7]])]
+    data += [(100 + i, [float(i + 1), 1.0, 2.0]) for i in range(4)]
+    frame = spark.createDataFrame(data, "vec_id long, embedding array<double>")
+    got = nearest.nearest(frame, k=5).collect()
+    rows = collections.defaultdict(list)
+    for r in sorted(got, key=lambda r: (r.query_id, r.same, r.rank)):
+        rows[r.query_id, r.same].append((r.rank, r.vec_id, r.score))
+    assert sorted(q for q, _ in rows) == [0, 20, 20, 40, 100]
+    wanted = []
+    for at, (q, v) in enumerate(data):
+        if q % 20 == 0:
+            others = [(float(np.dot(v, w)), i) for n, (i, w) in enumerate(data) if n != at and len(w) == len(v)]
+            wanted.append([i for _, i in sorted(others, key=lambda o: (-round(o[0], 9), o[1]))[:5]])
+    assert sorted([i for _, i, _ in v] for v in rows.values()) == sorted(wanted)
+
+
 def test_graph_crosses_its_first_blocks(spark, monkeypatch):
     monkeypatch.setattr(nearest, "BLOCK", 200)
     rng = np.random.default_rng(6)
