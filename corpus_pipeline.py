@@ -29,8 +29,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without lines whose template recurs across documents, first occurrences apart; near copies are left to the next stage."""
-    return line_dedup.dedup_lines(docs, spare=(5, 80))
+    """Documents without lines whose template recurs across documents, first occurrences apart (copies of a document would all be emptied); near copies are left to the next stage."""
+    return line_dedup.dedup_lines(docs, keep_first=True, spare=(5, 80))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
