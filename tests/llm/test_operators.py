@@ -391,21 +391,51 @@ def test_html_keeps_the_article_only(spark):
 
 def test_min_cut_is_minimal():
     rng = np.random.default_rng(4)
-    for _ in range(60):
-        n = 6
-        odds = rng.normal(0, 2, n)
-        source, sink = [max(0.0, float(x)) for x in odds], [max(0.0, -float(x)) for x in odds]
+    for _ in range(200):
+        n = 7
+        odds = rng.normal(0, rng.choice([0.3, 1.0, 3.0]), n).tolist()
         caps = [{} for _ in range(n)]
-        for i in range(n - 1):
-            caps[i][i + 1] = caps[i + 1][i] = float(rng.random() * 2)
-        caps[0][n - 1] = caps[n - 1][0] = 0.7
+        for i, j in [(i, i + 1) for i in range(n - 1)] + [(0, 3), (3, 6), (1, 5)]:
+            caps[i][j] = caps[j][i] = float(rng.random() * 2)
 
         def cost(side):
-            return sum(s for s, x in zip(source, side, strict=True) if not x) + sum(t for t, x in zip(sink, side, strict=True) if x) + sum(c for i in range(n) for j, c in caps[i].items() if i < j and side[i] != side[j])
+            return sum(max(0.0, x) for x, s in zip(odds, side, strict=True) if not s) + sum(max(0.0, -x) for x, s in zip(odds, side, strict=True) if s) + sum(c for i in range(n) for j, c in caps[i].items() if i < j and side[i] != side[j])
 
         best = min(cost([bool(m >> i & 1) for i in range(n)]) for m in range(1 << n))
-        side = html_extraction._min_cut(list(source), list(sink), [dict(c) for c in caps])
-        assert cost(side) == pytest.approx(best)
+        assert cost(html_extraction.minimum_cut(odds, [dict(c) for c in caps])) == pytest.approx(best)
+
+
+def test_the_cut_corrects_the_classifier():
+    prose = "<p>{} A sentence that goes on for a while, and another one that follows it closely. It ends here.</p>"
+    page = "<div class=x><div><a href=/a>Home and more</a></div><div>Us today</div><div><a href=/b>Other things here</a></div></div>"
+    page += f"<div>{prose.format('One.')}<p><a href=/c>Linked words of four</a></p>{prose.format('Two.')}</div>"
+    blocks = html_extraction.blocks_of(page)
+    alone = [html_extraction.log_odds(b, (0.1, 1.0, -2.0, 0.3, 0.0)) > 0 for b in blocks]
+    cut = html_extraction.content_blocks(blocks, (0.1, 1.0, -2.0, 0.3, 0.0), 2.0)
+    assert alone == [False, True, False, True, False, True]
+    assert cut == [False, False, False, True, True, True]
+
+
+def test_costs_are_fitted_to_what_elements_say(spark):
+    page = "<nav>" + "<li><a href=x>go on</a></li>" * 5 + "</nav><article><p>" + "some words of text. " * 9 + "</p><p>more of them, without an end</p></article><footer>short words of law</footer>"
+    weights, edge = html_extraction.fit([page] * 20)
+    assert weights[2] < html_extraction.FIRST_WEIGHTS[2] and edge in html_extraction.EDGES
+    bare = re.sub("article|nav|footer", "div", page)
+    assert html_extraction.main_text(bare, weights, edge).startswith("some words of text")
+    assert html_extraction.fit([]) == html_extraction.fit(["<p>x</p>"]) == (html_extraction.FIRST_WEIGHTS, html_extraction.FIRST_EDGE)
+    frame = spark.createDataFrame([(1, "u", page, "x", "y")], "page_id long, url string, html string, text string, n_chars string")
+    assert html_extraction.extract(frame).columns == ["page_id", "url", "text", "n_chars"]
+
+
+def test_html_of_many_blocks_and_great_depth():
+    import time
+
+    began = time.time()
+    many = "<div>" + "".join(f"<p>{'word ' * (i % 9)}{'End.' if i % 3 else ''} x</p><ul><li><a href=x>go</a></li></ul>" for i in range(20000))
+    assert html_extraction.main_text(many, (0.5, 1.0, -4.0, 0.5, 0.0), 1.0)
+    deep = "<div>" * 20000 + "<p>One sentence of text stands here, all alone.</b></p>" * 2000
+    assert html_extraction.main_text(deep).count("\n") == 1999
+    assert time.time() - began < 20
 
 
 # --- sampling of segmentations --------------------------------------------------------------------------------------
