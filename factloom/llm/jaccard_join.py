@@ -16,13 +16,14 @@ Two documents link if 100 * |A and B| >= percent * |A or B|.
    tokens; a group that shares none is its own pivot); members are verified
    against the group's and the pivot's first member on whole sets, and
    components taken.
-5. Where a token's other classes still lie in several components, pairs across
-   them are looked for in two ways that together miss none. If what the two have
-   in common with the token's pivot may be enough, sizes must be close: they meet
-   by token and size. If not, they share a token that the pivot lacks: they meet
-   by pivot and such a token, again in prefixes, rarest first, the smaller's
-   shorter than the larger's. So neither a passage of many documents nor a large
-   group of copies makes its members meet one another.
+5. Where a token's other classes still lie in several components, links across
+   them are looked for by differences to the token's pivot: what a class has and
+   the pivot has not, or the other way round. Two classes whose differences are
+   small enough together link for certain; the one nearest to the pivot stands
+   for the others there. Any other two that link share so many of their
+   differences that they meet by pivot and difference, in prefixes of these, the
+   rarest first, bounded by position. So neither a passage of many documents nor
+   a large group of near copies makes its members meet one another.
 
 Sets are compared by 64-bit hashes of their shingles; classes are told apart by
 128 bits, rows by 128 bits of id and text. Null and empty texts have size 0 and
@@ -42,6 +43,7 @@ from pyspark.sql import functions as F
 from factloom.llm.components import connected_components
 from factloom.llm.shared import Cuts, bounded_batches, give_back
 
+ROUNDS = 2  # of members meeting one of their list; pairs are looked for afterwards, whatever is left
 SMALL_ROWS = 1 << 18  # rows of four numbers that may be broadcast (about 16 MB)
 
 
@@ -152,22 +154,44 @@ def _with_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """For pairs (a, b) of classes: both (tokens in common) and linked."""
+    """For pairs (a, b) of classes: whether they are linked."""
     met = _with_sets(pairs, sets).select("a", "b", "n_a", "n_b", F.size(F.array_intersect("set_a", "set_b")).alias("both"))
-    return met.select("a", "b", "both", (100 * F.col("both") >= percent * (F.col("n_a") + F.col("n_b") - F.col("both"))).alias("linked"))
+    return met.select("a", "b", (100 * F.col("both") >= percent * (F.col("n_a") + F.col("n_b") - F.col("both"))).alias("linked"))
 
 
 def _differences(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """For pairs (a, b): others (how many tokens of a, its own apart, b has not), rest (those, rarest first, one of which any class that links with a has, unless what a and b have in common is enough) and short (how many of them do if that class is not smaller than a)."""
-    met = _with_sets(pairs, sets).select("a", "b", F.col("n_a").alias("n"), F.array_except("set_a", "set_b").alias("other"), F.size("set_a").alias("kept"))
-    met = met.select("a", "b", "other", F.size("other").alias("others"), (F.col("kept") - F.size("other")).alias("both"), "n")
+    """For pairs (a, b): found, what one has and the other has not (without tokens that no other class has, which count in size only).
+
+    n is the size of a, whole what of b counts, size the number of all
+    differences, excess (100 + percent) x size - (100 - percent) x n: two classes
+    link if their excesses come to 0 at most, and only if they share that
+    sum / (2 x (100 + percent)) differences.
+    """
+    met = _with_sets(pairs, sets)
+    found = F.concat(F.array_except("set_a", "set_b"), F.array_except("set_b", "set_a"))
+    met = met.select("a", "b", F.col("n_a").alias("n"), "own_a", F.size("set_b").alias("whole"), found.alias("found"))
+    met = met.select("a", "b", "n", "whole", (F.col("own_a") + F.size("found")).alias("size"), "found")
+    return met.withColumn("excess", (100 + percent) * F.col("size") - (100 - percent) * F.col("n"))
+
+
+def _difference_lists(apart: DataFrame, percent: int) -> DataFrame:
+    """b, token and a for the differences by which classes of other components may meet, in prefixes, rarest first; left is how many from there on count, nearer whether it will do towards classes with more differences.
+
+    apart is what _differences() gives, with the component of a. What only classes
+    of one component have is shared with no other: it takes up the first places.
+    """
+    full = apart.select("a", "b", "component", F.explode("found").alias("token"))
+    torn = full.groupBy("b", "token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("held")).where("lo <> hi").select("b", "token", "held")
+    ranked = full.join(torn, ["b", "token"]).groupBy("a", "b").agg(F.sort_array(F.collect_list(F.struct("held", "token"))).alias("ranked"))
+    met = apart.drop("found").join(ranked, ["a", "b"])
+    all_, twice, around = F.size("ranked"), 2 * (100 + percent), (100 - percent) * (F.col("n") + F.col("whole"))
 
     def length(needed: Column) -> Column:
-        return F.greatest(F.lit(0), F.col("others") - F.greatest(F.lit(1), needed - F.col("both")) + 1).cast("int")
+        return F.greatest(F.lit(0), all_ - F.greatest(F.lit(1), F.ceil(needed / twice - 1e-9)) + 1).cast("int")
 
-    as_larger = F.floor((F.col("n") * percent + 99) / 100)
-    as_smaller = F.floor((F.col("n") * 2 * percent + 99 + percent) / (100 + percent))
-    return met.select("a", "b", "others", F.slice("other", F.lit(1), length(as_larger)).alias("rest"), length(as_smaller).alias("short"))
+    as_farther, as_nearer = length((100 + percent) * F.col("size") - around + 2 * percent), length((100 + 3 * percent) * F.col("size") - around)
+    prefixes = met.select("a", "b", "n", "size", "excess", "component", all_.alias("all"), as_nearer.alias("fewer"), F.posexplode(F.slice("ranked", F.lit(1), as_farther)).alias("at", "one"))
+    return prefixes.select("b", F.col("one.token").alias("token"), "a", "n", "size", "excess", "component", (F.col("all") - F.col("at")).alias("left"), (F.col("at") < F.col("fewer")).alias("nearer"))
 
 
 def class_links(plain: DataFrame, classes: DataFrame, cuts: Cuts, percent: int, first_tokens: Callable, token_lists: Callable) -> DataFrame:
@@ -210,8 +234,7 @@ def class_links(plain: DataFrame, classes: DataFrame, cuts: Cuts, percent: int,
     near = keyed.join(pivots, "token").where("group <> pivot").select("group", "pivot").distinct()
     pairs = members.join(near, "group").select(F.col("class").alias("a"), F.col("pivot").alias("b"))
     inside = members.where("class <> group").select(F.col("class").alias("a"), F.col("group").alias("b"))
-    star = cuts.add(verified(pairs.union(inside).distinct(), sets, percent))
-    links = star.where("linked").select("a", "b")
+    links = cuts.add(verified(pairs.union(inside).distinct(), sets, percent).where("linked").select("a", "b"))
 
     parts = connected_components(links)
     placed = cuts.add(members.join(parts, members["class"] == parts["node"], "left").select("class", "group", "n", "own", F.coalesce("component", "class").alias("component")))
@@ -220,35 +243,33 @@ def class_links(plain: DataFrame, classes: DataFrame, cuts: Cuts, percent: int,
     spread = keyed.select("group", "token").join(pivots, "token").join(placed, "group").where("class <> pivot").select("token", "pivot", "class", "n", "own", "component")
     spread = cuts.add(spread)
     divided = spread.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("token")
-    measured = star.select(F.col("a").alias("class"), F.col("b").alias("pivot"), "both")
-    spread = cuts.add(spread.join(divided, "token").join(measured, ["class", "pivot"]))
-
-    # what both have in common with the pivot may be enough: from the larger to the smaller or equal, by the sizes that this leaves
-    low, high = F.ceil(F.col("n") * percent / 100 - 1e-9), F.floor(F.col("both") * (100 + percent) / percent + 1e-9) - F.col("n")
-    bounded = spread.select("token", "class", "n", "both", "component", low.alias("low"), F.least("n", high).alias("high"), high.alias("most"))
-    asking = bounded.where("high >= low").select("token", F.col("class").alias("a"), F.col("n").alias("n_a"), F.col("both").alias("both_a"), F.col("component").alias("part_a"), F.explode(F.sequence(_size_cell(F.col("low")), _size_cell(F.col("high")))).alias("cell"))
-    asked = bounded.where("most >= n").select("token", F.col("class").alias("b"), F.col("n").alias("n_b"), F.col("both").alias("both_b"), F.col("component").alias("part_b"), _size_cell(F.col("n")).alias("cell"))
-    unordered = "(n_a > n_b or n_a = n_b and a < b) and part_a <> part_b"
-    enough = f"(100 + {percent}) * least(both_a, both_b) >= {percent} * (n_a + n_b)"
-    across = asking.join(asked, ["token", "cell"]).where(unordered).where(enough).select("a", "b")
-
-    # the others share a token that their common pivot has not
-    beside = spread.select("class", "pivot", "n", "both", "component").distinct()
-    apart = _differences(beside.select(F.col("class").alias("a"), F.col("pivot").alias("b")), sets, percent).where("size(rest) > 0")
-    apart = apart.select(F.col("a").alias("class"), F.col("b").alias("pivot"), "others", "short", F.posexplode("rest").alias("at", "token"))
-    beyond = cuts.add(apart.join(beside, ["class", "pivot"]).select("pivot", "token", "class", "n", "both", "others", "component", (F.col("at") < F.col("short")).alias("short")))
-    torn = beyond.groupBy("pivot", "token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.max("short").alias("any")).where("lo <> hi and any").select("pivot", "token")
-    beyond = cuts.add(beyond.join(torn, ["pivot", "token"]))
-    left_, right_ = ([F.col(c).alias(f"{d}{x}") for c, d in (("class", ""), ("n", "n_"), ("both", "both_"), ("others", "others_"), ("component", "part_"))] for x in "ab")
-    met = beyond.select("pivot", "token", *left_).join(beyond.where("short").select("pivot", "token", *right_), ["pivot", "token"]).where(unordered).where(f"100 * n_b >= {percent} * n_a")
-    around = met.where(f"(100 + {percent}) * (least(both_a, both_b) + least(others_a, others_b)) >= {percent} * (n_a + n_b)").select("a", "b")
-
-    return cuts.add(links.union(verified(across.union(around).distinct(), sets, percent).where("linked").select("a", "b")))
-
-
-def _size_cell(n: Column) -> Column:
-    """Sizes themselves up to 64, then cells of a 32nd."""
-    return F.when(n <= 64, n.cast("int")).otherwise((F.floor(F.log(n / 64.0) * 32) + 65).cast("int"))
+    beside = cuts.add(spread.join(divided, "token").select(F.col("class").alias("a"), F.col("pivot").alias("b"), "component").distinct())
+    apart = cuts.add(_differences(beside.select("a", "b"), sets, percent).join(beside, ["a", "b"]))
+    nearest = apart.groupBy("b").agg(F.min(F.struct("excess", "a")).alias("nearest"))
+    links = cuts.add(links.union(apart.join(nearest, "b").where("excess + nearest.excess <= 0 and a <> nearest.a").select("a", F.col("nearest.a").alias("b"))))
+
+    # before pairs are looked for, the members of each list meet one of it, another in each round, as long as that joins components
+    for turn in range(ROUNDS):
+        beyond = cuts.add(_difference_lists(apart, percent))
+        order = F.xxhash64(F.lit(turn), "a") if turn else F.col("size").cast("long")
+        torn = beyond.groupBy("b", "token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.max("nearer").alias("any"), F.min(F.struct(order, "a", "component", "n", "excess", "left")).alias("one"))
+        lists = beyond.join(torn.where("lo <> hi and any").select("b", "token", "one"), ["b", "token"])
+        possible = f"component <> one.component and {2 * (100 + percent)} * least(left, one.left) >= excess + one.excess and 100 * least(n, one.n) >= {percent} * greatest(n, one.n)"
+        fresh = cuts.add(verified(lists.where(possible).select("a", F.col("one.a").alias("b")).distinct(), sets, percent).where("linked").select("a", "b"))
+        if not fresh.limit(1).count():
+            break
+        of = apart.select("a", "component").distinct()
+        joined = fresh.join(of, "a").select("b", F.col("component").alias("one")).join(of.withColumnRenamed("a", "b"), "b").select("one", F.col("component").alias("two"))
+        parts = connected_components(joined, "one", "two")
+        before, apart = apart, cuts.add(apart.join(parts.select("node", F.col("component").alias("whole_")), apart["component"] == F.col("node"), "left").withColumn("component", F.coalesce("whole_", "component")).drop("whole_", "node"))
+        cuts.drop(parts, before, beyond)
+        links, beyond = cuts.add(links.union(fresh)), None
+    beyond = cuts.add(_difference_lists(apart, percent)) if beyond is None else beyond
+    far, near_ = ([F.col(c).alias(f"{c}_{x}") for c in ("a", "n", "size", "excess", "component", "left")] for x in "xy")
+    met = beyond.select(F.col("b").alias("pivot"), "token", *far).join(beyond.where("nearer").select(F.col("b").alias("pivot"), "token", *near_), ["pivot", "token"])
+    met = met.where("component_x <> component_y and (size_x > size_y or size_x = size_y and a_x < a_y)").where(f"100 * least(n_x, n_y) >= {percent} * greatest(n_x, n_y)")
+    met = met.where(f"{2 * (100 + percent)} * least(left_x, left_y) >= excess_x + excess_y").select(F.col("a_x").alias("a"), F.col("a_y").alias("b")).distinct()
+    return cuts.add(links.union(verified(met, sets, percent).where("linked").select("a", "b")))
 
 
 def components_of(rows: DataFrame, plain: DataFrame, cuts: Cuts, percent: int, first_tokens: Callable, token_lists: Callable) -> DataFrame:

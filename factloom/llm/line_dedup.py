@@ -44,7 +44,7 @@ def _masked(line: Column) -> Column:
     """The line with single spaces between its tokens, those that hold a digit made variable."""
     untidy = line.contains("  ") | line.contains("\t") | line.contains("\r") | line.contains("\f") | line.contains("\x0b")
     spaced = F.trim(F.when(untidy, F.regexp_replace(line, r"[ \t\r\f\x0B]+", " ")).otherwise(line))
-    return F.when(spaced.rlike("[0-9]"), F.regexp_replace(spaced, r"[^ ]*[0-9][^ ]*", VARIABLE)).otherwise(spaced)
+    return F.when(spaced.rlike("[0-9]"), F.regexp_replace(spaced, r"(?<![^ ])[^ 0-9]*[0-9][^ ]*", VARIABLE)).otherwise(spaced)
 
 
 def parsed_lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -122,7 +122,7 @@ def dropped_lines(docs: DataFrame, min_docs: int = 3, min_tokens: int = 3, simil
     """key (of a row's id and text) and line_no of the lines to drop."""
     cuts = Cuts()
     needed = F.when(F.col("n") > long_tokens, min(long_docs, min_docs)).otherwise(min_docs)
-    lines = cuts.add(parsed_lines(docs, id_col, text_col).where(F.col("n") >= min_tokens))
+    lines = cuts.add(parsed_lines(docs, id_col, text_col)).where(F.col("n") >= min_tokens)  # after the cut: before it, masks would be made twice
     exact = cuts.add(_recurring(lines, "template", needed))
     known = _checked(exact.select("template"))
     # lines of up to DEPTH tokens are their own leaves: nothing is left to generalise
