@@ -93,6 +93,15 @@ def literal_signature(kind: Column, value: Column) -> Column:
     return F.concat(F.lit("V:"), F.sha2(F.concat(F.lit("["), json_string(kind), F.lit(","), json_string(value), F.lit("]")), 256))
 
 
+def least_share(threshold: float) -> float:
+    """The least share of the longer name's length that the shorter has where Jaro-Winkler reaches the threshold.
+
+    Four equal letters ahead lift a Jaro score j to j + 0.4 * (1 - j); with every
+    letter of the shorter name matched in order, j is (2 + share) / 3.
+    """
+    return max(0.0, 3 * (threshold - 0.4) / 0.6 - 2)
+
+
 def resolved_objects(candidates: DataFrame, entities: DataFrame, config: AssertionConfig = AssertionConfig()) -> DataFrame:
     """candidates with object_entity, object_tier and object_conf (null for literals).
 
@@ -114,12 +123,12 @@ def resolved_objects(candidates: DataFrame, entities: DataFrame, config: Asserti
     lows = refs.select("low").distinct().withColumn("norm", collapsed(nfkc("low")))
     found = lows.join(by_name, "low", "left").join(by_alias, "low", "left").join(by_key, "norm", "left")
     known = found.select("low", F.coalesce("id1", "id2", "id3").alias("id"), F.when(F.col("id1").isNotNull(), F.col("c1")).when(F.col("id2").isNotNull(), F.col("c2")).when(F.col("id3").isNotNull(), 0.9).alias("conf"))
-    # what is left is compared with every form that shares a two-letter piece: what can be so alike shares one
+    # what is left is compared, form by form, with all that share a letter and whose length leaves room for such a score
     forms = entities.select("entity_id", "salience", F.explode(F.array_union(F.array("name"), F.coalesce("aliases", F.array().cast("array<string>")))).alias("form")).where("form is not null").select("entity_id", "salience", F.lower("form").alias("form")).distinct()
     rest = known.where("id is null").select("low")
     letters = lambda c: F.array_distinct(F.split(c, ""))
     near = rest.select("low", F.explode(letters(F.col("low"))).alias("letter")).join(forms.select("entity_id", "salience", "form", F.explode(letters(F.col("form"))).alias("letter")), "letter").where("letter <> ''").select("low", "entity_id", "salience", "form").distinct()
-    near = near.where(F.greatest(F.length("low"), F.length("form")) <= 3 * F.least(F.length("low"), F.length("form"))).withColumn("score", jaro_winkler("low", "form")).where(F.col("score") >= config.fuzzy_threshold)
+    near = near.where(F.least(F.length("low"), F.length("form")) >= least_share(config.fuzzy_threshold) * F.greatest(F.length("low"), F.length("form")) - 1e-9).withColumn("score", jaro_winkler("low", "form")).where(F.col("score") >= config.fuzzy_threshold)
     fuzzy = near.groupBy("low").agg(F.max_by(F.struct("entity_id", "score"), F.struct("score", F.coalesce("salience", F.lit(-1.0)))).alias("m")).select("low", F.col("m.entity_id").alias("id4"), (0.8 * F.col("m.score")).alias("c4"))
     settled = known.join(fuzzy, "low", "left").select("low", F.coalesce("id", "id4").alias("known_id"), F.coalesce("conf", "c4").alias("known_conf"))
     joined = candidates.withColumn("low", F.when(F.col("object_kind") == "entity", F.lower(F.trim("object")))).join(settled, "low", "left")
@@ -181,9 +190,11 @@ def keep_highest(assertions: DataFrame, config: AssertionConfig = AssertionConfi
 def retraction_targets(found: DataFrame, messages: DataFrame, assertions: DataFrame, config: AssertionConfig = AssertionConfig()) -> DataFrame:
     """Retractions with target_id and target_fact: the latest user assertion of the conversation within the window before."""
     placed = found.join(messages.select("message_id", "conversation_id", "order_index"), "message_id").withColumn("retraction_id", entity_id("retraction", F.col("message_id"), F.col("start"), F.col("kind")))
-    users = assertions.where("role = 'user'").select("conversation_id", F.col("order_index").alias("at"), "assertion_id", "fact_key")
-    met = placed.join(users, "conversation_id").where((F.col("at") >= F.col("order_index") - config.retraction_window) & (F.col("at") < F.col("order_index")))
-    latest = met.groupBy("retraction_id").agg(F.max(F.struct("at", "assertion_id", "fact_key")).alias("t")).select("retraction_id", F.col("t.assertion_id").alias("target_id"), F.col("t.fact_key").alias("target_fact"))
+    users = assertions.where("role = 'user'").select("conversation_id", "order_index", F.lit(None).cast("string").alias("retraction_id"), F.struct(F.col("order_index").alias("at"), "assertion_id", "fact_key").alias("said"))
+    both = users.unionByName(placed.select("conversation_id", "order_index", "retraction_id"), allowMissingColumns=True)
+    before = Window.partitionBy("conversation_id").orderBy("order_index").rangeBetween(-config.retraction_window, -1)
+    latest = both.withColumn("t", F.max("said").over(before)).where("retraction_id is not null and t is not null")
+    latest = latest.select("retraction_id", F.col("t.assertion_id").alias("target_id"), F.col("t.fact_key").alias("target_fact")).distinct()
     return placed.join(latest, "retraction_id", "left")
 
 

@@ -5,26 +5,32 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from factloom.session import cut
+
 
 def tree_paths(messages: DataFrame) -> DataFrame:
     """messages with tree_path: 1-based ranks among siblings (by message_id), six digits each, joined by dots.
 
     A message whose parent is missing is a root; messages of a cycle become
-    further roots, at their least message_id.
+    further roots, at their least message_id. Rounds grow with the logarithm of
+    the depth.
     """
-    spark = messages.sparkSession
     ids = messages.select("conversation_id", F.col("message_id").alias("parent_id"), F.lit(True).alias("known"))
     linked = messages.join(ids, ["conversation_id", "parent_id"], "left").withColumn("up", F.when(F.col("known"), F.col("parent_id")))
     ranks = Window.partitionBy("conversation_id", "up").orderBy("message_id")
-    ranked = linked.withColumn("step", F.lpad(F.row_number().over(ranks).cast("string"), 6, "0"))
-    ranked.select("conversation_id", "message_id", "up", "step").createOrReplaceTempView("_factloom_steps")
-    walked = spark.sql("""
-        WITH RECURSIVE walk (conversation_id, message_id, tree_path) AS (
-          SELECT conversation_id, message_id, step FROM _factloom_steps WHERE up IS NULL
-          UNION ALL
-          SELECT s.conversation_id, s.message_id, concat(w.tree_path, '.', s.step)
-          FROM walk w JOIN _factloom_steps s ON s.conversation_id = w.conversation_id AND s.up = w.message_id
-        ) SELECT * FROM walk""")
+    step = F.lpad(F.row_number().over(ranks).cast("string"), 6, "0")
+    walked = cut(linked.select("conversation_id", "message_id", "up", step.alias("tree_path")))
+    # each round joins a message's path to that of the ancestor it reaches so far: twice as far every time
+    open_ = walked.where("up is not null").count()
+    while open_:
+        above = walked.select("conversation_id", F.col("message_id").alias("up"), F.col("up").alias("next"), F.col("tree_path").alias("ahead"))
+        longer = walked.where("up is not null").join(above, ["conversation_id", "up"]).select("conversation_id", "message_id", F.col("next").alias("up"), F.concat_ws(".", "ahead", "tree_path").alias("tree_path"))
+        walked = cut(walked.where("up is null").unionByName(longer))
+        left = walked.where("up is not null").count()
+        if left == open_:
+            break  # what no round resolves hangs on a cycle
+        open_ = left
+    walked = walked.where("up is null").drop("up")
     joined = messages.join(walked, ["conversation_id", "message_id"], "left")
     roots = F.max(F.when(F.col("tree_path").isNotNull() & ~F.col("tree_path").contains("."), F.col("tree_path").cast("int"))).over(Window.partitionBy("conversation_id"))
     stray = F.row_number().over(Window.partitionBy("conversation_id", F.col("tree_path").isNull()).orderBy("message_id"))

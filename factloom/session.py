@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 
@@ -13,3 +15,14 @@ def session(app: str = "factloom", master: str | None = None, **settings: str) -
     for key, value in settings.items():
         builder = builder.config(key.replace("__", "."), value)
     return builder.getOrCreate()
+
+
+def cut(rows):
+    """The same rows, checkpointed in the folder that spark.checkpoint.dir names; where that is unset on a local master, in a temporary one."""
+    context = rows.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        named = rows.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not named and not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="factloom-"))
+    return rows.checkpoint()

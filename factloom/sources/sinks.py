@@ -18,8 +18,17 @@ def replace_table(rows: DataFrame, path: str) -> None:
     jvm = spark._jvm
     old, new = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(staged)
     files = new.getFileSystem(spark._jsc.hadoopConfiguration())
-    files.delete(old, True)
-    files.rename(new, old)
+    # the old table is moved aside and only deleted once the new one stands in its place
+    aside = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}.old-{uuid.uuid4().hex}")
+    held = files.exists(old)
+    if held and not files.rename(old, aside):
+        raise OSError(f"could not move {path} aside; the new table is at {staged}")
+    if not files.rename(new, old):
+        if held:
+            files.rename(aside, old)
+        raise OSError(f"could not move {staged} to {path}")
+    if held:
+        files.delete(aside, True)
 
 
 def require_tables(spark: SparkSession, folder: str, *tables: str) -> None:

@@ -231,3 +231,32 @@ def test_entry_and_queries(spark):
 
     assert set(e.oracle_sql()) <= set(e.queries())
     assert e.entry(spark).limit(5).count() == 5
+
+
+def test_tree_paths_of_branches_under_cycles_and_many_roots(spark):
+    from factloom.operators import threads
+
+    branches = [("c", "a", None), ("c", "b", "a"), ("c", "c", "a"), ("c", "d", "c"), ("c", "x", "y"), ("c", "y", "x"), ("c", "z", "y"), ("k", "only", "gone")]
+    frame = spark.createDataFrame(branches, "conversation_id string, message_id string, parent_id string")
+    got = {r.message_id: r.tree_path for r in threads.tree_paths(frame).collect()}
+    assert got == {"a": "000001", "b": "000001.000001", "c": "000001.000002", "d": "000001.000002.000001", "x": "000002", "y": "000003", "z": "000004", "only": "000001"}
+
+
+def test_fuzzy_lengths_keep_all_that_can_match():
+    from factloom.functions.text import jaro_winkler_of
+    from factloom.operators.assertions import least_share
+
+    assert least_share(0.85) == pytest.approx(0.25)
+    assert jaro_winkler_of("abcd", "abcdefghijklmno") >= 0.85 and 4 / 15 >= least_share(0.85)
+    for n in range(5, 40):
+        assert jaro_winkler_of("abcd", "abcd" + "x" * (n - 4)) < 0.85 or 4 / n >= least_share(0.85) - 1e-9
+
+
+def test_retractions_take_the_latest_statement_before(spark):
+    from factloom.operators import assertions
+
+    said = spark.createDataFrame([("c", i, "user" if i % 2 else "assistant", f"a{i}", f"f{i}") for i in range(1, 8)], "conversation_id string, order_index int, role string, assertion_id string, fact_key string")
+    messages = spark.createDataFrame([(10, "c", 6), (11, "c", 1), (12, "d", 3)], "message_id int, conversation_id string, order_index int")
+    found = spark.createDataFrame([(10, 0, "full"), (10, 5, "full"), (11, 0, "full"), (12, 0, "full")], "message_id int, start int, kind string")
+    got = {(r.message_id, r.start): r.target_id for r in assertions.retraction_targets(found, messages, said).collect()}
+    assert got == {(10, 0): "a5", (10, 5): "a5", (11, 0): None, (12, 0): None}
