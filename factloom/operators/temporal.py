@@ -136,78 +136,63 @@ def apply_negations(facts: DataFrame, config: TemporalConfig = TemporalConfig())
     return done.select(*rest.columns).unionByName(rest)
 
 
-def walk(rows: pd.DataFrame, config: TemporalConfig) -> tuple[pd.DataFrame, list[tuple[str, str, list]]]:
-    """One functional (subject, predicate): statuses after walking its moments in order, and the conflicts met."""
-    rows = rows.sort_values(["valid_from", "assertion_id"], kind="stable").reset_index(drop=True)
-    rows["superseded_by"] = pd.Series([None] * len(rows), dtype="object")
-    conflicts: list[tuple[str, str, list]] = []
-    previous = None
-    for when, some in rows.groupby("valid_from", sort=True):
-        ids = some.sort_values("assertion_id").index.tolist()
-        tags = [rows.at[i, "assertion_id"] for i in ids]
-        if some["object_signature"].nunique() > 1:
-            rows.loc[ids, "status"] = "conflicted"
-            conflicts.append(("OBJECT_DISAGREEMENT", str(when), tags))
-        elif len(ids) > 1:
-            conflicts.append(("SAME_TIME_DUPLICATES", str(when), tags))
-        now = min(ids, key=lambda i: (-rows.at[i, "confidence"], rows.at[i, "tier"], rows.at[i, "assertion_id"]))
-        if previous is not None:
-            pair = [rows.at[previous, "assertion_id"], rows.at[now, "assertion_id"]]
-            if rows.at[previous, "object_signature"] == rows.at[now, "object_signature"]:
-                pass
-            elif "conflicted" in (rows.at[previous, "status"], rows.at[now, "status"]):
-                conflicts.append(("OBJ_TRANSITION_CONFLICT", str(when), pair))
-            else:
-                gain = rows.at[now, "confidence"] - rows.at[previous, "confidence"]
-                better_tier = config.tier_tiebreak and abs(gain) < config.margin and rows.at[now, "tier"] < rows.at[previous, "tier"]
-                if gain >= config.margin or better_tier:
-                    rows.at[previous, "status"] = "superseded"
-                    rows.at[previous, "superseded_by"] = str(rows.at[now, "assertion_id"])
-                    end = rows.at[previous, "valid_to"]
-                    rows.at[previous, "valid_to"] = when if pd.isna(end) else min(end, when)
-                    if better_tier:
-                        conflicts.append(("DETECTOR_TIER_TIEBREAK", str(when), pair))
-                else:
-                    rows.loc[[previous, now], "status"] = "conflicted"
-                    conflicts.append(("OBJ_CONFIDENCE_TOO_CLOSE", str(when), pair))
-        previous = now
-    return rows, conflicts
+def _moments(ready: DataFrame, config: TemporalConfig) -> DataFrame:
+    """One row a moment of a functional (subject_id, predicate), in the order of time: its facts, the one that stands for it (rep) and what its coming does.
+
+    torn says that its facts disagree, differs that rep's object is another than
+    that of the moment before, wins that rep is stronger or of a better tier. A rep
+    counts as conflicted if its moment is torn or it came too close to one that was
+    not; that goes from moment to moment as a chain of negations, so that it follows
+    from the last moment without one and the parity of the distance to it.
+    """
+    keys = ["subject_id", "predicate"]
+    rep = F.struct((-F.col("confidence")).alias("less"), "tier", "assertion_id", "object_signature", "confidence")
+    moments = ready.groupBy(*keys, "valid_from").agg(F.min(rep).alias("rep"), (F.min("object_signature") != F.max("object_signature")).alias("torn"), F.sort_array(F.collect_list("assertion_id")).alias("ids"))
+    order = Window.partitionBy(*keys).orderBy("valid_from")
+    met = moments.withColumns({"at": F.row_number().over(order), "before": F.lag("rep").over(order)})
+    gain = F.col("rep.confidence") - F.col("before.confidence")
+    tier = F.lit(config.tier_tiebreak) & (F.abs(gain) < config.margin) & (F.col("rep.tier") < F.col("before.tier"))
+    met = met.withColumns({"differs": F.coalesce(F.col("before.object_signature") != F.col("rep.object_signature"), F.lit(False)), "by_tier": F.coalesce(tier, F.lit(False))})
+    met = met.withColumn("wins", F.coalesce(gain >= config.margin, F.lit(False)) | F.col("by_tier"))
+    plain = ~(F.col("differs") & ~F.col("torn") & ~F.col("wins"))
+    so_far = order.rowsBetween(Window.unboundedPreceding, 0)
+    last = F.max(F.when(plain, F.struct("at", "torn"))).over(so_far)
+    met = met.withColumn("last", last).withColumn("caught", F.col("last.torn") != ((F.col("at") - F.col("last.at")) % 2 == 1))
+    met = met.withColumn("held", F.coalesce(F.lag("caught").over(order), F.lit(False)) | F.col("torn"))
+    step = F.when(F.col("differs") & F.col("held"), "blocked").when(F.col("differs") & F.col("wins"), "won").when(F.col("differs"), "close")
+    met = met.withColumn("step", step)
+    return met.withColumns({"next_step": F.lead("step").over(order), "next_id": F.lead("rep.assertion_id").over(order), "next_from": F.lead("valid_from").over(order)})
 
 
 def apply_functional(facts: DataFrame, config: TemporalConfig = TemporalConfig()) -> DataFrame:
     """facts with functional predicates walked: later, stronger facts supersede and close earlier ones.
 
     Facts have subject_id, predicate, object_signature, valid_from, valid_to,
-    confidence, tier, status, functional and explicit. Only groups with two or
-    more active, dated rows are walked; the rest pass by.
+    confidence, tier, status, functional and explicit. Only active, dated rows
+    take part; the rest pass by. Ties in time are settled by confidence, tier and id.
     """
     keys = ["subject_id", "predicate"]
     ready = F.coalesce(F.col("functional") & F.col("explicit") & (F.col("status") == "active") & F.col("valid_from").isNotNull(), F.lit(False))
     marked = facts.withColumn("_ready", ready)
-    groups = marked.where("_ready").groupBy(*keys).count().where("count > 1").select(*keys, F.lit(True).alias("_walked"))
-    joined = marked.join(groups, keys, "left").withColumn("_walked", F.coalesce("_walked", F.lit(False)) & F.col("_ready")).drop("_ready")
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in facts.schema) + ", superseded_by string"
-
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        return walk(rows.drop(columns=["_walked"]), config)[0]
-
-    walked = joined.where("_walked").groupBy(*keys).applyInPandas(run, schema)
-    rest = joined.where("not _walked").drop("_walked").withColumn("superseded_by", F.lit(None).cast("string"))
-    return walked.select(*rest.columns).unionByName(rest)
+    moments = _moments(marked.where("_ready"), config).select(*keys, "valid_from", "torn", "step", "next_step", "next_id", "next_from", F.col("rep.assertion_id").alias("_rep"), F.lit(True).alias("_met"))
+    joined = marked.join(moments, [*keys, "valid_from"], "left")
+    own = F.coalesce(F.col("_ready") & F.col("_met"), F.lit(False))
+    rep = own & (F.col("_rep") == F.col("assertion_id"))
+    beaten = rep & (F.col("next_step") == "won")
+    status = F.when(own & F.col("torn"), "conflicted").when(rep & ((F.col("step") == "close") | (F.col("next_step") == "close")), "conflicted").when(beaten, "superseded").otherwise(F.col("status"))
+    new = {"status": status, "valid_to": F.when(beaten, F.least("valid_to", "next_from")).otherwise(F.col("valid_to"))}
+    return joined.select(*[new[c].alias(c) if c in new else c for c in facts.columns], F.when(beaten, F.col("next_id").cast("string")).alias("superseded_by"))
 
 
 def functional_conflicts(facts: DataFrame, config: TemporalConfig = TemporalConfig()) -> DataFrame:
     """conflict_id, kind, key and members of the conflicts that the walk meets."""
-    ready = facts.where("functional and explicit and status = 'active' and valid_from is not null")
-    schema = "subject_id string, predicate string, kind string, at string, members array<string>"
-
-    def run(key, rows: pd.DataFrame) -> pd.DataFrame:
-        if len(rows) < 2:
-            return pd.DataFrame(columns=["subject_id", "predicate", "kind", "at", "members"])
-        found = walk(rows, config)[1]
-        return pd.DataFrame([(str(key[0]), key[1], k, at, [str(m) for m in sorted(members)]) for k, at, members in found], columns=["subject_id", "predicate", "kind", "at", "members"])
-
-    found = ready.groupBy("subject_id", "predicate").applyInPandas(run, schema)
-    key = F.concat_ws("|", F.lower("kind"), "subject_id", "predicate", "at")
+    met = _moments(facts.where("functional and explicit and status = 'active' and valid_from is not null"), config)
+    names = F.transform("ids", lambda x: x.cast("string"))
+    pair = F.array(F.col("before.assertion_id").cast("string"), F.col("rep.assertion_id").cast("string"))
+    here = F.when(F.col("torn"), F.struct(F.lit("OBJECT_DISAGREEMENT").alias("kind"), names.alias("members"))).when(F.size("ids") > 1, F.struct(F.lit("SAME_TIME_DUPLICATES").alias("kind"), names.alias("members")))
+    kind = F.when(F.col("step") == "blocked", "OBJ_TRANSITION_CONFLICT").when(F.col("step") == "close", "OBJ_CONFIDENCE_TOO_CLOSE").when((F.col("step") == "won") & F.col("by_tier"), "DETECTOR_TIER_TIEBREAK")
+    over = F.when(kind.isNotNull(), F.struct(kind.alias("kind"), pair.alias("members")))
+    found = met.select("subject_id", "predicate", F.col("valid_from").cast("string").alias("at"), F.explode(F.filter(F.array(here, over), lambda x: x.isNotNull())).alias("c")).select("subject_id", "predicate", "at", "c.*")
+    key = F.concat_ws("|", F.lower("kind"), F.col("subject_id").cast("string"), "predicate", "at")
     merged = found.groupBy(key.alias("key"), "kind").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("members")))).alias("members"))
     return merged.select(entity_id("conflict", F.col("key")).alias("conflict_id"), "kind", "key", "members")

@@ -151,9 +151,47 @@ def test_retractions_point_to_the_latest_statement(spark):
     assert r.kind == "full" and r.target_id == made.where("message_id = 2").first().assertion_id
 
 
+def walk(rows, config):
+    """The walk of one functional (subject, predicate), moment by moment: what the windows must come to."""
+    rows = rows.sort_values(["valid_from", "assertion_id"], kind="stable").reset_index(drop=True)
+    rows["superseded_by"] = pd.Series([None] * len(rows), dtype="object")
+    conflicts: list[tuple[str, str, list]] = []
+    previous = None
+    for when, some in rows.groupby("valid_from", sort=True):
+        ids = some.sort_values("assertion_id").index.tolist()
+        tags = [rows.at[i, "assertion_id"] for i in ids]
+        if some["object_signature"].nunique() > 1:
+            rows.loc[ids, "status"] = "conflicted"
+            conflicts.append(("OBJECT_DISAGREEMENT", str(when), tags))
+        elif len(ids) > 1:
+            conflicts.append(("SAME_TIME_DUPLICATES", str(when), tags))
+        now = min(ids, key=lambda i: (-rows.at[i, "confidence"], rows.at[i, "tier"], rows.at[i, "assertion_id"]))
+        if previous is not None:
+            pair = [rows.at[previous, "assertion_id"], rows.at[now, "assertion_id"]]
+            if rows.at[previous, "object_signature"] == rows.at[now, "object_signature"]:
+                pass
+            elif "conflicted" in (rows.at[previous, "status"], rows.at[now, "status"]):
+                conflicts.append(("OBJ_TRANSITION_CONFLICT", str(when), pair))
+            else:
+                gain = rows.at[now, "confidence"] - rows.at[previous, "confidence"]
+                better_tier = config.tier_tiebreak and abs(gain) < config.margin and rows.at[now, "tier"] < rows.at[previous, "tier"]
+                if gain >= config.margin or better_tier:
+                    rows.at[previous, "status"] = "superseded"
+                    rows.at[previous, "superseded_by"] = str(rows.at[now, "assertion_id"])
+                    end = rows.at[previous, "valid_to"]
+                    rows.at[previous, "valid_to"] = when if pd.isna(end) else min(end, when)
+                    if better_tier:
+                        conflicts.append(("DETECTOR_TIER_TIEBREAK", str(when), pair))
+                else:
+                    rows.loc[[previous, now], "status"] = "conflicted"
+                    conflicts.append(("OBJ_CONFIDENCE_TOO_CLOSE", str(when), pair))
+        previous = now
+    return rows, conflicts
+
+
 def walked(*rows):
     frame = pd.DataFrame([dict(assertion_id=i, valid_from=pd.Timestamp(t), object_signature=o, confidence=c, tier=tier, status="active", valid_to=pd.NaT) for i, (t, o, c, tier) in enumerate(rows)])
-    done, conflicts = temporal.walk(frame, TemporalConfig())
+    done, conflicts = walk(frame, TemporalConfig())
     return done.sort_values("assertion_id").status.tolist(), [k for k, _, _ in conflicts], done
 
 
@@ -260,3 +298,25 @@ def test_retractions_take_the_latest_statement_before(spark):
     found = spark.createDataFrame([(10, 0, "full"), (10, 5, "full"), (11, 0, "full"), (12, 0, "full")], "message_id int, start int, kind string")
     got = {(r.message_id, r.start): r.target_id for r in assertions.retraction_targets(found, messages, said).collect()}
     assert got == {(10, 0): "a5", (10, 5): "a5", (11, 0): None, (12, 0): None}
+
+
+def test_functional_windows_against_the_walk(spark):
+    import numpy as np
+
+    rng, rows = np.random.default_rng(9), []
+    for subject in range(60):
+        for i in range(int(rng.integers(1, 12))):
+            rows.append((f"s{subject}", "p", f"a{subject}-{i:02d}", str(rng.choice(["A", "B", "C"])), dt.datetime(2024, 1, 1 + int(rng.integers(0, 9))), None if rng.random() < 0.5 else dt.datetime(2024, 1, 5), float(rng.choice([0.8, 0.805, 0.9, 0.95])), int(rng.integers(1, 3)), "active"))
+    names = ["subject_id", "predicate", "assertion_id", "object_signature", "valid_from", "valid_to", "confidence", "tier", "status"]
+    schema = "subject_id string, predicate string, assertion_id string, object_signature string, valid_from timestamp, valid_to timestamp, confidence double, tier int, status string"
+    facts = spark.createDataFrame(rows, schema).withColumns({"functional": F.lit(True), "explicit": F.lit(True)})
+    got = {r.assertion_id: (r.status, r.superseded_by, r.valid_to and r.valid_to.day) for r in temporal.apply_functional(facts).collect()}
+    kinds = {(r.kind, tuple(r.members)) for r in temporal.functional_conflicts(facts).collect()}
+    want, wanted = {}, set()
+    for _, some in pd.DataFrame(rows, columns=names).groupby("subject_id"):
+        some["valid_to"] = pd.to_datetime(some["valid_to"])
+        done, conflicts = walk(some, TemporalConfig())
+        want |= {r.assertion_id: (r.status, r.superseded_by, None if pd.isna(r.valid_to) else r.valid_to.day) for r in done.itertuples()}
+        wanted |= {(k, tuple(sorted(m))) for k, _, m in conflicts}
+    assert got == want and {s for s, *_ in want.values()} == {"active", "conflicted", "superseded"}
+    assert kinds == wanted and len({k for k, _ in kinds}) == 5
