@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -101,39 +100,16 @@ def ambiguous_retractions(facts: DataFrame, retractions: DataFrame, config: Temp
     return met.groupBy("retraction_id").agg(F.array_sort(F.collect_list("assertion_id")).alias("members")).where(F.size("members") > 1)
 
 
-def _negate(rows: pd.DataFrame) -> pd.DataFrame:
-    rows = rows.sort_values(["asserted_at", "assertion_id"], kind="stable").reset_index(drop=True)
-    rows["negated_by"] = pd.Series([None] * len(rows), dtype="object")
-    rows["ambiguous"] = False
-    targets = {i for i in rows.index if rows.at[i, "polarity"] == "positive" and rows.at[i, "status"] == "active"}
-    for i in rows.index:
-        if rows.at[i, "polarity"] != "negative" or not rows.at[i, "may_negate"]:
-            continue
-        if len(targets) == 1:
-            (t,) = targets
-            when = rows.at[i, "valid_from"]
-            rows.at[t, "status"], rows.at[t, "negated_by"] = "negated", str(rows.at[i, "assertion_id"])
-            rows.at[t, "valid_to"] = when if pd.isna(rows.at[t, "valid_to"]) else min(rows.at[t, "valid_to"], when)
-            targets.clear()
-        elif len(targets) > 1:
-            rows.at[i, "ambiguous"] = True
-    return rows.drop(columns=["may_negate"])
-
-
 def apply_negations(facts: DataFrame, config: TemporalConfig = TemporalConfig()) -> DataFrame:
-    """facts with negations applied in order within each (subject, predicate, object_signature): one active target is closed, several are ambiguous.
-
-    Only groups that hold a negative statement go through the fold.
-    """
+    """facts with negated_by and ambiguous, by (subject, predicate, object_signature): the first negative statement that may closes a lone active target; several targets make every such statement ambiguous."""
     may = (F.col("polarity") == "negative") & (F.col("role") == "user") & (F.col("confidence") >= config.threshold) & F.col("valid_from").isNotNull()
-    keys = ["subject_id", "predicate", "object_signature"]
-    marked = facts.withColumn("may_negate", F.coalesce(may, F.lit(False)))
-    touched = marked.where("may_negate").select(*keys).distinct()
-    fold = marked.join(touched, keys, "left_semi")
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in facts.schema) + ", negated_by string, ambiguous boolean"
-    done = fold.groupBy(*keys).applyInPandas(_negate, schema)
-    rest = marked.join(touched, keys, "left_anti").drop("may_negate").withColumn("negated_by", F.lit(None).cast("string")).withColumn("ambiguous", F.lit(False))
-    return done.select(*rest.columns).unionByName(rest)
+    group = Window.partitionBy("subject_id", "predicate", "object_signature")
+    marked = facts.withColumns({"_may": F.coalesce(may, F.lit(False)), "_target": F.coalesce((F.col("polarity") == "positive") & (F.col("status") == "active"), F.lit(False))})
+    first = F.min(F.when(F.col("_may"), F.struct("asserted_at", "assertion_id", "valid_from"))).over(group)
+    marked = marked.withColumns({"_targets": F.count_if("_target").over(group), "_first": first})
+    hit = F.col("_target") & (F.col("_targets") == 1) & F.col("_first").isNotNull()
+    new = {"status": F.when(hit, "negated").otherwise(F.col("status")), "valid_to": F.when(hit, F.least("valid_to", "_first.valid_from")).otherwise(F.col("valid_to"))}
+    return marked.select(*[new[c].alias(c) if c in new else c for c in facts.columns], F.when(hit, F.col("_first.assertion_id").cast("string")).alias("negated_by"), (F.col("_may") & (F.col("_targets") > 1)).alias("ambiguous"))
 
 
 def _moments(ready: DataFrame, config: TemporalConfig) -> DataFrame:

@@ -15,6 +15,26 @@ STATUS = (
   SELECT *, CASE WHEN confidence >= 0.7 AND polarity = 'positive' AND modality NOT IN ('question', 'intention') AND valid_from IS NOT NULL AND role = 'user' THEN 'active' ELSE 'ineligible' END AS status
   FROM facts)"""
 )
+# the functional walk, moment after moment
+WALK = (
+    STATUS
+    + """, ready AS (SELECT * FROM judged WHERE status = 'active' AND valid_from IS NOT NULL AND predicate IN ('click', 'purchase')),
+  moments AS (
+    SELECT subject_id, predicate, valid_from, count(*) AS n, count(DISTINCT object_signature) > 1 AS torn,
+           arg_min(struct_pack(id := assertion_id, obj := object_signature, conf := confidence, tier := tier), struct_pack(c := -confidence, t := tier, i := assertion_id)) AS rep,
+           row_number() OVER (PARTITION BY subject_id, predicate ORDER BY valid_from) AS k
+    FROM ready GROUP BY subject_id, predicate, valid_from),
+  walk AS (
+    SELECT *, NULL::VARCHAR AS step, false AS by_tier, torn AS held, NULL::BIGINT AS before FROM moments WHERE k = 1
+    UNION ALL
+    SELECT subject_id, predicate, valid_from, n, torn, rep, k, step, by_tier, torn OR coalesce(step = 'close', false) AS held, before FROM (
+      SELECT m.*, w.rep.id AS before, coalesce(abs(m.rep.conf - w.rep.conf) < 0.01 AND m.rep.tier < w.rep.tier, false) AS by_tier,
+             CASE WHEN m.rep.obj = w.rep.obj THEN NULL WHEN w.held OR m.torn THEN 'blocked'
+                  WHEN m.rep.conf - w.rep.conf >= 0.01 OR (abs(m.rep.conf - w.rep.conf) < 0.01 AND m.rep.tier < w.rep.tier) THEN 'won' ELSE 'close' END AS step
+      FROM walk w JOIN moments m ON m.subject_id = w.subject_id AND m.predicate = w.predicate AND m.k = w.k + 1)),
+  done AS (SELECT *, lead(step) OVER (PARTITION BY subject_id, predicate ORDER BY k) AS next FROM walk)"""
+)
+
 GRAPH = STATUS + ", dated AS (SELECT *, CASE WHEN assertion_id % 2 = 0 THEN valid_from + INTERVAL 1 DAY END AS valid_to FROM judged)"
 MONTHS = """placed AS (SELECT *, date_trunc('month', coalesce(valid_from, asserted_at)) AS w, coalesce(valid_from, asserted_at) AS seen FROM facts),
   win AS (SELECT subject_id, w, count(*) AS total FROM placed GROUP BY 1, 2)"""
@@ -109,6 +129,25 @@ ORACLES = {
     "jn18_rules": f"""WITH {FACTS} SELECT DISTINCT predicate, CASE WHEN subject_id % 2 = 0 THEN 'even' ELSE 'odd' END AS subject_type,
       CASE WHEN predicate = 'purchase' AND subject_id % 2 = 0 THEN 3 WHEN predicate = 'click' THEN 1 WHEN subject_id % 2 = 1 THEN 4 ELSE 2 END AS rule_id,
       NOT (predicate <> 'click' AND subject_id % 2 = 0 AND predicate <> 'purchase') AS functional FROM facts""",
+    "tr05_negations": f"""WITH {STATUS}, marked AS (SELECT *, polarity = 'negative' AND role = 'user' AND confidence >= 0.7 AND valid_from IS NOT NULL AS may FROM judged),
+      g AS (SELECT subject_id, predicate, object_signature, count(*) FILTER (polarity = 'positive' AND status = 'active') AS targets, bool_or(may) AS denied FROM marked GROUP BY 1, 2, 3)
+      SELECT CASE WHEN polarity = 'positive' AND status = 'active' AND targets = 1 AND denied THEN 'negated' ELSE status END AS status, may AND targets > 1 AS ambiguous, count(*) AS n
+      FROM marked JOIN g USING (subject_id, predicate, object_signature) GROUP BY 1, 2""",
+    "tr06_functional": f"""WITH RECURSIVE {WALK}, judged2 AS (
+        SELECT j.predicate, CASE WHEN d.torn IS NULL THEN j.status WHEN d.torn OR (d.rep.id = j.assertion_id AND (coalesce(d.step = 'close', false) OR coalesce(d.next = 'close', false))) THEN 'conflicted'
+          WHEN d.rep.id = j.assertion_id AND d.next = 'won' THEN 'superseded' ELSE j.status END AS status
+        FROM judged j LEFT JOIN done d ON j.status = 'active' AND d.subject_id = j.subject_id AND d.predicate = j.predicate AND d.valid_from = j.valid_from)
+      SELECT predicate, status, count(*) AS n, count(*) FILTER (status = 'superseded') AS superseded FROM judged2 GROUP BY 1, 2""",
+    "tr07_conflicts": f"""WITH RECURSIVE {WALK}, found AS (
+        SELECT CASE WHEN torn THEN 'OBJECT_DISAGREEMENT' ELSE 'SAME_TIME_DUPLICATES' END AS kind, n AS members FROM done WHERE torn OR n > 1
+        UNION ALL SELECT CASE step WHEN 'blocked' THEN 'OBJ_TRANSITION_CONFLICT' WHEN 'close' THEN 'OBJ_CONFIDENCE_TOO_CLOSE' ELSE 'DETECTOR_TIER_TIEBREAK' END, 2 FROM done WHERE step IN ('blocked', 'close') OR (step = 'won' AND by_tier))
+      SELECT kind, count(*) AS n, sum(members)::BIGINT AS members FROM found GROUP BY 1""",
+    "qry03_month_items": f"""WITH {FACTS}, {MEMBERS}, {VOTES} SELECT subject_id, monthname(window_start) || ' ' || year(window_start) AS label, member, category, round(salience, 6) AS salience
+      FROM scored JOIN cats USING (subject_id, window_start, member) WHERE strftime(window_start, '%Y-%m') = '2024-01' OR monthname(window_start) = 'January' ORDER BY round(salience, 6) DESC, subject_id, member LIMIT 20""",
+    "jn07_retraction_targets": f"""WITH {SAID}, made AS (SELECT p.message_id, s.conversation_id, s.order_index FROM ({_patterns()}) p JOIN said s USING (message_id) WHERE s.role = 'user' AND length(s.text) >= 10),
+      taken AS (SELECT *, 'full' AS kind FROM said WHERE role = 'user' AND regexp_matches(text, '(?i)\\b(?:Actually|Wait|No),?\\s+(?:that''s\\s+)?(?:not\\s+true|wrong|incorrect)\\b')
+        UNION ALL SELECT *, 'temporal_bound' FROM said WHERE role = 'user' AND regexp_matches(text, '(?i)\\bI\\s+(?:stopped|quit|no\\s+longer)\\s+(.+?)(?:\\.|$)'))
+      SELECT t.message_id, t.kind, arg_max(m.message_id, m.order_index) AS target_message FROM taken t LEFT JOIN made m ON m.conversation_id = t.conversation_id AND m.order_index < t.order_index AND m.order_index >= t.order_index - 20 GROUP BY 1, 2""",
     "tr04_retracted": f"WITH {STATUS} SELECT CASE WHEN assertion_id % 19 = 0 AND confidence >= 0.7 AND role = 'user' THEN 'retracted' ELSE status END AS status, count(*) AS n FROM judged GROUP BY 1",
     "ag12_status_counts": f"WITH {STATUS} SELECT status, count(*) AS n FROM judged GROUP BY 1",
     "dq01_quality": f"WITH {STATUS} SELECT count(*) AS facts, count(valid_from) AS dated, count(*) FILTER (status = 'active') AS active, min(valid_from) AS first_at, max(valid_from) AS last_at, count(DISTINCT subject_id) AS subjects, round(avg(confidence), 9) AS mean_confidence FROM judged",
