@@ -54,3 +54,8 @@ def evergreen(base: Column, windows: Column, member_windows: Column, strength: f
     """Less for members of nearly every window."""
     factor = 1 - strength + strength * F.log((1.0 + windows) / (1.0 + member_windows)) / F.log(1.0 + windows)
     return F.when(windows > 1, base * factor).otherwise(base)
+
+
+def salience_factor(salience: Column, most: Column, bonus: float = 0.1) -> Column:
+    """1 plus the bonus times the share of the corpus's greatest salience (at least 1); 1 where it is unknown."""
+    return F.coalesce(1.0 + salience / F.greatest(F.lit(1.0), most) * bonus, F.lit(1.0))

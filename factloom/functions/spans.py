@@ -26,3 +26,19 @@ def merged(ranges: Column) -> Column:
 def covered(ranges: Column) -> Column:
     """Code points within merged ranges."""
     return F.aggregate(ranges, F.lit(0), lambda n, r: n + r["end"] - r["start"])
+
+
+def parsed(value: Column) -> Column:
+    """Ranges from JSON ([{"char_start": 1, "char_end": 4}, ...]); none where it is missing, broken or lacks a bound."""
+    read = F.from_json(value, "array<struct<char_start:int,char_end:int>>")
+    ranges = F.transform(read, lambda r: F.struct(r["char_start"].alias("start"), r["char_end"].alias("end")))
+    whole = F.forall(ranges, lambda r: r["start"].isNotNull() & r["end"].isNotNull())
+    return F.when(F.coalesce(whole, F.lit(False)), ranges).otherwise(F.array().cast("array<struct<start:int,end:int>>"))
+
+
+def quote_span(quote: Column, text: Column) -> Column:
+    """Start and end of a quote that a text holds exactly once, else null."""
+    first = F.call_function("locate", quote, text, F.lit(1))
+    again = F.call_function("locate", quote, text, first + 1)
+    once = (F.length(quote) > 0) & (first > 0) & (again == 0)
+    return F.when(once, F.struct((first - 1).alias("start"), (first - 1 + F.length(quote)).alias("end")))

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import json
+import math
 import unicodedata
 
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from factloom.functions.ids import json_string
+from factloom.functions.times import from_any, iso_ms
+
 
 def collapsed(value: Column) -> Column:
     """Lower case, runs of white space as one blank, trimmed."""
@@ -92,3 +97,35 @@ def jaro_winkler(a: Column | str, b: Column | str) -> Column:
         return pd.Series([None if x is None or y is None else jaro_winkler_of(x, y) for x, y in zip(xs, ys, strict=True)], dtype="float64")
 
     return of(a, b)
+
+
+def json_path(value: Column, path: str) -> Column:
+    """What stands at a path ($.a.b) of a JSON text, as text; null if nothing does."""
+    return F.get_json_object(value, path)
+
+
+def canonical_json_of(kind: str, text: str) -> str:
+    """A number or JSON text in canonical form: keys in order, no blanks; what cannot be read stands as a string."""
+    try:
+        value = float(text) if kind == "number" else json.loads(text)
+        if kind == "number" and not math.isfinite(value):
+            value = text
+    except ValueError:
+        value = text
+    return json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False)
+
+
+def literal_json(kind: Column, value: Column) -> Column:
+    """A literal of a type (string, number, boolean, date, json) as canonical JSON."""
+
+    @F.pandas_udf("string")
+    def of(kinds: pd.Series, texts: pd.Series) -> pd.Series:
+        return pd.Series([None if t is None or k is None else canonical_json_of(k, t) for k, t in zip(kinds, texts, strict=True)], dtype="object")
+
+    read = kind.isin("number", "json")
+    return (
+        F.when(read, of(F.when(read, kind), F.when(read, value)))
+        .when(kind == "boolean", F.lower(value).isin("true", "1", "yes").cast("string"))
+        .when(kind == "date", json_string(F.coalesce(iso_ms(from_any(value)), value)))
+        .otherwise(json_string(value))
+    )

@@ -45,3 +45,18 @@ def last_ms(unit: str, ts: Column) -> Column:
     start = F.date_trunc(unit, ts)
     step = {"day": F.make_interval(days=F.lit(1)), "week": F.make_interval(weeks=F.lit(1)), "month": F.make_interval(months=F.lit(1)), "year": F.make_interval(years=F.lit(1))}[unit]
     return start + step - F.expr("interval 1 millisecond")
+
+
+def earlier(a: Column, b: Column) -> Column:
+    """The earlier of two moments; an unknown one gives way."""
+    return F.least(a, b)
+
+
+def compared(a: Column, b: Column) -> Column:
+    """-1, 0 or 1 as a is before, at or after b; unknown moments come last and equal one another."""
+    return F.when(a.eqNullSafe(b), 0).when(a.isNull(), 1).when(b.isNull() | (a < b), -1).otherwise(1)
+
+
+def localised(ts: Column, zone: str = "Europe/Berlin") -> Column:
+    """A UTC moment on the clocks of a zone."""
+    return F.from_utc_timestamp(ts, zone)

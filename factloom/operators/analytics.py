@@ -79,3 +79,15 @@ def quality_report(facts: DataFrame) -> DataFrame:
         F.count_distinct("subject_id").alias("subjects"),
         F.avg("confidence").alias("mean_confidence"),
     )
+
+
+def stage_counts(messages: DataFrame) -> DataFrame:
+    """One row: conversations, messages and their characters, 0 where there are none."""
+    chars = F.coalesce(F.sum(F.length(F.coalesce("text", F.lit("")))), F.lit(0))
+    return messages.agg(F.count_distinct("conversation_id").alias("conversations"), F.count(F.lit(1)).alias("messages"), chars.alias("chars"))
+
+
+def tier_histogram(assertions: DataFrame, sides: dict[str, str]) -> DataFrame:
+    """side, tier, n and mean_grounding: assertions by the detector tier of each side (name to column), unknown tiers left out."""
+    each = F.explode(F.array(*[F.struct(F.lit(s).alias("side"), F.col(c).cast("int").alias("tier")) for s, c in sides.items()])).alias("x")
+    return assertions.select("grounding", each).where("x.tier is not null").groupBy("x.side", "x.tier").agg(F.count(F.lit(1)).alias("n"), F.avg("grounding").alias("mean_grounding"))

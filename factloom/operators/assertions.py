@@ -202,3 +202,16 @@ def predicates(assertions: DataFrame) -> DataFrame:
     """predicate_id, label, first_seen and count of every predicate."""
     label = collapsed(F.col("predicate"))
     return assertions.groupBy(label.alias("label")).agg(F.min("created_at").alias("first_seen"), F.count(F.lit(1)).alias("assertions")).select(entity_id("predicate", F.col("label")).alias("predicate_id"), "label", "first_seen", "assertions")
+
+
+def qualified(candidates: DataFrame, times: DataFrame) -> DataFrame:
+    """candidates (message_id, qualifier: a surface or null) with qualifier_start: the time mention of that surface in the message, the surest, then first."""
+    best = times.groupBy("message_id", F.col("surface").alias("qualifier")).agg(F.min(F.struct((-F.col("confidence")).alias("less"), F.col("start"))).alias("_t"))
+    joined = candidates.join(best, ["message_id", "qualifier"], "left")
+    return joined.select(*candidates.columns, F.col("_t.start").alias("qualifier_start"))
+
+
+def supersede_retracted(assertions: DataFrame, targets: DataFrame) -> DataFrame:
+    """assertions with supersession: retraction where a full retraction (kind, target_id) names them, no replacement."""
+    named = targets.where("kind = 'full' and target_id is not null").select(F.col("target_id").alias("assertion_id")).distinct().withColumn("supersession", F.lit("retraction"))
+    return assertions.join(named, "assertion_id", "left")

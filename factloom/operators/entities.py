@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from factloom.functions.ids import entity_id
-from factloom.functions.scores import clamp, salience
+from factloom.functions.scores import clamp, salience, salience_factor
 from factloom.functions.text import entity_key
 
 
@@ -61,3 +61,43 @@ def name_changes(entities: DataFrame, names: DataFrame) -> DataFrame:
     """entity_id, previous_name, name, confidence where the chosen name differs."""
     joined = entities.select("entity_id", F.col("name").alias("previous_name")).join(names, "entity_id")
     return joined.where(~F.col("previous_name").eqNullSafe(F.col("name"))).select("entity_id", "previous_name", "name", "confidence")
+
+
+def best_tiers(mentions: DataFrame) -> DataFrame:
+    """entity_id and the best tier of the detectors that found it."""
+    return mentions.groupBy("entity_id").agg(F.min(detector_tier(F.col("detector"))).alias("best_tier"))
+
+
+def greatest_salience(entities: DataFrame) -> DataFrame:
+    """One row: the corpus's greatest salience, at least 1."""
+    return entities.agg(F.greatest(F.lit(1.0), F.coalesce(F.max("salience"), F.lit(1.0))).alias("most"))
+
+
+def with_salience(facts: DataFrame, entities: DataFrame, bonus: float = 0.1) -> DataFrame:
+    """facts (subject_id) with subject_salience and salience_factor, 1 for subjects that are no entity."""
+    known = entities.select(F.col("entity_id").alias("subject_id"), F.col("salience").alias("subject_salience"))
+    # one row of one number
+    joined = facts.join(known, "subject_id", "left").crossJoin(F.broadcast(greatest_salience(entities)))
+    return joined.withColumn("salience_factor", salience_factor(F.col("subject_salience"), F.col("most"), bonus)).drop("most")
+
+
+def context_mentions(messages: DataFrame, mentions: DataFrame, k: int = 5) -> DataFrame:
+    """message_id, entity_id and mentions: what the messages up to k before each message mention.
+
+    Messages have conversation_id and order_index; each mention goes to the
+    messages that come at most k places later.
+    """
+    placed = mentions.select("message_id", "entity_id").join(messages.select("message_id", "conversation_id", "order_index"), "message_id")
+    ahead = placed.select("conversation_id", "entity_id", F.explode(F.sequence(F.col("order_index") + 1, F.col("order_index") + k)).alias("order_index"))
+    met = ahead.join(messages.select("message_id", "conversation_id", "order_index"), ["conversation_id", "order_index"])
+    return met.groupBy("message_id", "entity_id").agg(F.count(F.lit(1)).alias("mentions"))
+
+
+def at_spans(spans: DataFrame, mentions: DataFrame) -> DataFrame:
+    """spans (message_id, start, end) with the entity of the mention they meet: the best by tier, confidence and id; null where none."""
+    tier = detector_tier(F.col("detector"))
+    known = mentions.groupBy("message_id").agg(F.collect_list(F.struct(tier.alias("tier"), (-F.col("confidence")).alias("less"), "entity_id", F.col("start"), F.col("end"))).alias("_known"))
+    met = F.filter("_known", lambda m: (F.col("start") < m["end"]) & (F.col("end") > m["start"]))
+    best = F.array_min(met)
+    joined = spans.join(known, "message_id", "left")
+    return joined.select(*spans.columns, best["entity_id"].alias("entity_id"), best["tier"].alias("tier"), (-best["less"]).alias("entity_conf"))

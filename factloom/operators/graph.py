@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -77,9 +79,18 @@ def fact_edges(facts: DataFrame) -> DataFrame:
     )
 
 
-def lifecycle_edges(facts: DataFrame) -> DataFrame:
-    """SUPERSEDES (newer to older) and NEGATED_BY edges of facts that have superseded_by and negated_by."""
-    return edges(facts, "SUPERSEDES", "Assertion", F.col("superseded_by"), "Assertion", F.col("assertion_id")).unionByName(edges(facts, "NEGATED_BY", "Assertion", F.col("assertion_id"), "Assertion", F.col("negated_by")))
+def lifecycle_edges(facts: DataFrame, inverse: bool = False) -> DataFrame:
+    """SUPERSEDES (newer to older), NEGATED_BY and RETRACTED_BY edges of facts by those of superseded_by, negated_by and retracted_by they have; with NEGATES and RETRACTS the other way if asked for."""
+    own = ("Assertion", F.col("assertion_id"))
+    ways = []
+    if "superseded_by" in facts.columns:
+        ways.append(("SUPERSEDES", ("Assertion", F.col("superseded_by")), own))
+    for column, kind, there, back in (("negated_by", "Assertion", "NEGATED_BY", "NEGATES"), ("retracted_by", "Retraction", "RETRACTED_BY", "RETRACTS")):
+        if column in facts.columns:
+            other = (kind, F.col(column))
+            ways += [(there, own, other), *([(back, other, own)] if inverse else [])]
+    found = [edges(facts, name, *src, *dst) for name, src, dst in ways]
+    return reduce(DataFrame.unionByName, found)
 
 
 def conflict_edges(conflicts: DataFrame, limit: int = 10) -> DataFrame:
@@ -138,17 +149,69 @@ def profile_graph(windows: DataFrame, ranked: DataFrame, clusters: DataFrame, to
     all_nodes = (
         nodes(windows.select("subject_id").distinct(), "TemporalProfile", subject, F.concat(F.lit("Profile of "), subject))
         .unionByName(nodes(windows, "TemporalWindow", window, F.col("label"), window_index=F.col("window_index")))
-        .unionByName(nodes(clusters, "SemanticCluster", cluster, F.initcap(F.replace("category", F.lit("_"), F.lit(" "))), size=F.col("size"), mean_salience=F.col("mean_salience")))
+        .unionByName(nodes(clusters, "SemanticCluster", cluster, F.initcap(F.replace("category", F.lit("_"), F.lit(" "))), category_key=F.col("category"), size=F.col("size"), mean_salience=F.col("mean_salience")))
         .unionByName(nodes(clusters.select("category").distinct(), "SemanticCategory", F.col("category"), F.initcap(F.replace("category", F.lit("_"), F.lit(" ")))))
         .unionByName(nodes(ranked.select("member").distinct(), "Value", F.col("member"), F.substring("member", 1, 50)))
     )
     all_edges = (
-        edges(windows, "HAS_WINDOW", "TemporalProfile", subject, "TemporalWindow", window)
+        edges(windows, "HAS_WINDOW", "TemporalProfile", subject, "TemporalWindow", window, window_index=F.col("window_index"))
         .unionByName(edges(windows, "WINDOW_PRECEDES", "TemporalWindow", before, "TemporalWindow", window))
         .unionByName(edges(clusters, "HAS_CLUSTER", "TemporalWindow", window, "SemanticCluster", cluster))
         .unionByName(edges(clusters, "CLUSTER_OF_CATEGORY", "SemanticCluster", cluster, "SemanticCategory", F.col("category")))
-        .unionByName(edges(ranked, "CLUSTER_CONTAINS", "SemanticCluster", cluster, "Value", F.col("member"), salience=F.col("salience")))
+        .unionByName(edges(ranked, "CLUSTER_CONTAINS", "SemanticCluster", cluster, "Value", F.col("member"), salience=F.col("salience"), rank=F.col("cluster_rank")))
         .unionByName(edges(ranked.where(F.col("window_rank") <= top_members), "WINDOW_TOP_MEMBER", "TemporalWindow", window, "Value", F.col("member"), rank=F.col("window_rank")))
+        .unionByName(edges(clusters.where("evolves").join(windows.select("subject_id", "window_start", "previous"), ["subject_id", "window_start"]), "CLUSTER_EVOLVES", "SemanticCluster", F.concat_ws("|", subject, F.date_format("previous", "yyyy-MM-dd"), F.col("category")), "SemanticCluster", cluster))
         .unionByName(edges(clusters.where(F.col("cluster_rank") <= top_clusters), "WINDOW_TOP_CLUSTER", "TemporalWindow", window, "SemanticCluster", cluster, rank=F.col("cluster_rank")))
     )
     return all_nodes, all_edges
+
+
+def evidence_edges(found: DataFrame) -> DataFrame:
+    """MEMBER_EVIDENCED_BY edges of profile.evidence(): the rank, window and number of what speaks of a member.
+
+    An assertion that speaks of a member in several windows keeps one edge, as all edges are one a pair of ends.
+    """
+    return edges(found, "MEMBER_EVIDENCED_BY", "Value", F.col("member"), "Assertion", F.col("assertion_id"), evidence_rank=F.col("evidence_rank"), window_start=F.date_format("window_start", "yyyy-MM-dd"), total_evidence_count=F.col("total"), capped=F.col("capped"))
+
+
+def retraction_nodes(found: DataFrame) -> DataFrame:
+    """Nodes of retractions (retraction_id, message_id, kind, confidence, surface, target_id, target_fact)."""
+    label = F.coalesce(F.nullif(F.substring("surface", 1, 50), F.lit("")), F.concat(F.lit("Retraction ("), "kind", F.lit(")")))
+    return nodes(found, "Retraction", F.col("retraction_id"), label, retraction_message_id=F.col("message_id"), retraction_type=F.col("kind"), confidence=F.col("confidence"), target_assertion_id=F.col("target_id"), target_fact_key=F.col("target_fact"))
+
+
+def conflict_nodes(found: DataFrame) -> DataFrame:
+    """Nodes of conflict groups (conflict_id, kind, key, members)."""
+    label = F.concat("kind", F.lit(" ("), F.size("members").cast("string"), F.lit(" members)"))
+    return nodes(found, "ConflictGroup", F.col("conflict_id"), label, conflict_type=F.col("kind"), conflict_key=F.col("key"), member_count=F.size("members"))
+
+
+def lexicon_nodes(terms: DataFrame) -> DataFrame:
+    """Nodes of selected terms (term_key, canonical, score)."""
+    return nodes(terms, "LexiconTerm", F.col("term_key"), F.col("canonical"), term_key=F.col("term_key"), canonical_surface=F.col("canonical"), score=F.col("score"))
+
+
+def time_source(message: Column, start: Column, surface: Column) -> Column:
+    """Source of a time mention's node."""
+    return F.concat_ws("|", message.cast("string"), start.cast("string"), surface)
+
+
+def time_nodes(times: DataFrame) -> DataFrame:
+    """Nodes of time mentions."""
+    source = time_source(F.col("message_id"), F.col("start"), F.col("surface"))
+    return nodes(times, "TimeMention", source, F.coalesce(F.nullif(F.substring("surface", 1, 30), F.lit("")), F.lit("Time")), message_id=F.col("message_id"), surface_text=F.col("surface"), pattern_id=F.col("pattern"), resolved_type=F.col("resolved_type"), valid_from=F.col("valid_from"), valid_to=F.col("valid_to"), resolution_granularity=F.col("granularity"), confidence=F.col("confidence"))
+
+
+def qualifier_edges(found: DataFrame) -> DataFrame:
+    """QUALIFIED_BY_TIME edges of assertions (assertion_id, message_id, qualifier, qualifier_start) to their time mentions."""
+    linked = found.where("qualifier_start is not null")
+    return edges(linked, "QUALIFIED_BY_TIME", "Assertion", F.col("assertion_id"), "TimeMention", time_source(F.col("message_id"), F.col("qualifier_start"), F.col("qualifier")), temporal_qualifier_type=F.lit("at"))
+
+
+def hint_graph(facts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Interval nodes and VALID_UNTIL_HINT edges of facts whose end alone is hinted (valid_until_hint, no valid_from)."""
+    none = F.lit(None).cast("timestamp")
+    hinted = facts.where("valid_from is null and valid_until_hint is not null")
+    source = interval_key(none, F.col("valid_until_hint"))
+    some = nodes(hinted.select("valid_until_hint").distinct(), "TimeInterval", source, F.concat(F.lit("Until "), F.date_format("valid_until_hint", "yyyy-MM-dd")))
+    return some, edges(hinted, "VALID_UNTIL_HINT", "Assertion", F.col("assertion_id"), "TimeInterval", source)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from factloom.config import LexiconConfig
 from factloom.functions.scores import lexicon_score
+from factloom.functions.spans import overlaps
 from factloom.functions.text import collapsed, inferred_type
 
 # The generators' patterns (first group is the surface; a quoted term's span holds its quotes).
@@ -41,7 +42,7 @@ def role_weight(role: Column, config: LexiconConfig) -> Column:
 
 
 def occurrences(messages: DataFrame) -> DataFrame:
-    """generator, term_key, surface, message_id, conversation_id, role, start, end and context (two words before and after) of every match."""
+    """generator, term_key, surface, message_id, conversation_id, role, start, end and context (two words before and after) of every match that meets no excluded range (``excluded``, if messages have it)."""
     compiled = [(n, re.compile(p)) for n, p in GENERATORS]
 
     @F.pandas_udf("array<struct<generator:string,surface:string,start:int,end:int,context:string>>")
@@ -59,7 +60,9 @@ def occurrences(messages: DataFrame) -> DataFrame:
         return texts.map(of)
 
     rows = messages.where(F.col("text").isNotNull() & F.col("text").rlike('[A-Z]|[#@][a-zA-Z]'))
-    found = rows.select("message_id", "conversation_id", "role", F.explode(scan("text")).alias("o"))
+    if "excluded" not in rows.columns:
+        rows = rows.withColumn("excluded", F.lit(None).cast("array<struct<start:int,end:int>>"))
+    found = rows.select("message_id", "conversation_id", "role", "excluded", F.explode(scan("text")).alias("o")).where(~overlaps(F.col("o.start"), F.col("o.end"), F.col("excluded")))
     return found.select("message_id", "conversation_id", "role", "o.*", collapsed(F.col("o.surface")).alias("term_key"))
 
 
@@ -119,3 +122,9 @@ def matches(messages: DataFrame, terms: DataFrame) -> DataFrame:
         return pd.Series([of(t, f) for t, f in zip(texts, forms_, strict=True)])
 
     return met.select("message_id", F.explode(scan("text", "forms")).alias("m")).select("message_id", "m.*")
+
+
+def without_overlaps(found: DataFrame, mentions: DataFrame) -> DataFrame:
+    """Matches that meet no mention (message_id, detector, start, end) of their message but those of recognisers."""
+    spans = mentions.where(~F.col("detector").startswith("NER:")).groupBy("message_id").agg(F.collect_list(F.struct("start", "end")).alias("_taken"))
+    return found.join(spans, "message_id", "left").where(~overlaps(F.col("start"), F.col("end"), F.col("_taken"))).select(*found.columns)

@@ -100,3 +100,12 @@ def layout(rows: DataFrame, config: ProfileConfig = ProfileConfig()) -> DataFram
     radius = 1.0 / (0.1 + F.greatest(F.lit(0.0), F.col("salience")))
     height = F.dense_rank().over(Window.partitionBy("subject_id").orderBy("window_start")) - 1
     return rows.select("subject_id", "window_start", "member", (radius * F.cos(angle)).alias("x"), (radius * F.sin(angle)).alias("y"), height.alias("z"))
+
+
+def evidence(facts: DataFrame, config: ProfileConfig = ProfileConfig()) -> DataFrame:
+    """subject_id, window_start, member, assertion_id, evidence_rank, total and capped: the first assertions by id that speak of a member in a window, up to the cap."""
+    at = F.coalesce("valid_from", "asserted_at")
+    rows = facts.where(at.isNotNull()).select("subject_id", window_start(config.granularity, at).alias("window_start"), F.col("object_signature").alias("member"), "assertion_id")
+    whole = Window.partitionBy("subject_id", "window_start", "member")
+    placed = rows.withColumns({"evidence_rank": F.row_number().over(whole.orderBy("assertion_id")) - 1, "total": F.count(F.lit(1)).over(whole)})
+    return placed.where(F.col("evidence_rank") < config.evidence_cap).withColumn("capped", F.col("total") > config.evidence_cap)

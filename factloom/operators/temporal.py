@@ -172,3 +172,17 @@ def functional_conflicts(facts: DataFrame, config: TemporalConfig = TemporalConf
     key = F.concat_ws("|", F.lower("kind"), F.col("subject_id").cast("string"), "predicate", "at")
     merged = found.groupBy(key.alias("key"), "kind").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("members")))).alias("members"))
     return merged.select(entity_id("conflict", F.col("key")).alias("conflict_id"), "kind", "key", "members")
+
+
+def apply_corrections(facts: DataFrame, corrections: DataFrame) -> DataFrame:
+    """facts with status superseded and corrected_by where a correction (assertion_id, replacement) names an assertion that exists.
+
+    valid_to is never touched; a status of higher precedence stays. Of several
+    replacements the least id counts.
+    """
+    there = corrections.join(facts.select(F.col("assertion_id").alias("replacement")), "replacement", "left_semi")
+    chosen = there.groupBy("assertion_id").agg(F.min("replacement").alias("_by"))
+    joined = facts.join(chosen, "assertion_id", "left")
+    hit = F.col("_by").isNotNull() & (precedence(F.col("status")) < PRECEDENCE["superseded"])
+    new = {"status": F.when(hit, "superseded").otherwise(F.col("status"))}
+    return joined.select(*[new[c].alias(c) if c in new else c for c in facts.columns], F.when(hit, F.col("_by")).alias("corrected_by"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from factloom.plans import oracles
+from factloom.plans import detail_oracles, details, oracles
 from factloom.plans import queries as own
 
 
@@ -18,9 +18,9 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Query name to function of (spark, sf_dir)."""
-    return {name: f for name, f in inspect.getmembers(own, inspect.isfunction) if f.__module__ == own.__name__ and not name.startswith("_")}
+    return {name: f for module in (own, details) for name, f in inspect.getmembers(module, inspect.isfunction) if f.__module__ == module.__name__ and not name.startswith("_")}
 
 
 def oracle_sql() -> dict[str, str]:
     """Query name to DuckDB SQL."""
-    return dict(oracles.ORACLES)
+    return oracles.ORACLES | detail_oracles.ORACLES

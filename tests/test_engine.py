@@ -8,9 +8,9 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from factloom.config import NAMESPACE, DetectConfig, TemporalConfig
+from factloom.config import NAMESPACE, DetectConfig, ProfileConfig, TemporalConfig
 from factloom.functions import ids, scores, spans, text, times
-from factloom.operators import assertions, detect, entities, graph, lexicon, profile, temporal, threads, timex
+from factloom.operators import assertions, detect, entities, graph, lexicon, markup, profile, recognize, temporal, threads, timex, views
 from factloom.sources import export
 
 ANCHOR = dt.datetime(2024, 3, 13, 10)
@@ -320,3 +320,75 @@ def test_functional_windows_against_the_walk(spark):
         wanted |= {(k, tuple(sorted(m))) for k, _, m in conflicts}
     assert got == want and {s for s, *_ in want.values()} == {"active", "conflicted", "superseded"}
     assert kinds == wanted and len({k for k, _ in kinds}) == 5
+
+
+def test_new_column_functions(spark):
+    rows = spark.createDataFrame([(1, "ab", "xabx"), (2, "a", "aba"), (3, "aa", "aaa"), (4, "z", "ab"), (5, "", "ab"), (6, None, "ab"), (7, "é😀", "x😀é😀")], "id int, q string, t string")
+    got = {r.id: r.s and (r.s.start, r.s.end) for r in rows.select("id", spans.quote_span(F.col("q"), F.col("t")).alias("s")).collect()}
+    assert got == {1: (1, 3), 2: None, 3: None, 4: None, 5: None, 6: None, 7: (2, 4)}
+    rows = spark.createDataFrame([(1, '[{"char_start":1,"char_end":4}]'), (2, "oops"), (3, None), (4, '[{"char_start":1}]'), (5, "[]")], "id int, j string")
+    assert {r.id: [tuple(x) for x in r.s] for r in rows.select("id", spans.parsed(F.col("j")).alias("s")).collect()} == {1: [(1, 4)], 2: [], 3: [], 4: [], 5: []}
+    assert [text.canonical_json_of(*x) for x in (("number", "12"), ("number", "x"), ("number", "nan"), ("json", '{"b":[1, 2.5],"a":"é"}'), ("json", "{"))] == ["12.0", '"x"', '"nan"', '{"a":"é","b":[1,2.5]}', '"{"']
+    rows = spark.createDataFrame([("boolean", "TRUE"), ("boolean", "nay"), ("date", "2024-03-01"), ("date", "soon"), ("string", 'a"b'), ("number", "7")], "k string, v string")
+    assert [r.l for r in rows.select(text.literal_json(F.col("k"), F.col("v")).alias("l")).collect()] == ["true", "false", '"2024-03-01T00:00:00.000Z"', '"soon"', '"a\\"b"', "7.0"]
+    rows = spark.sql("SELECT * FROM VALUES (1, timestamp'2024-01-01', timestamp'2024-01-02'), (2, timestamp'2024-01-02', timestamp'2024-01-02'), (3, null, timestamp'2024-01-02'), (4, timestamp'2024-01-02', null), (5, null, null) t(id, a, b)")
+    assert [r.c for r in rows.orderBy("id").select(times.compared(F.col("a"), F.col("b")).alias("c")).collect()] == [-1, 0, 1, -1, 0]
+
+
+def test_recogniser_chunks_and_labels(spark):
+    assert list(recognize.chunks_of("abcdefghij", 6, 2)) == [(0, "abcdef"), (4, "efghij")]
+    assert list(recognize.chunks_of("abc", 6, 2)) == [(0, "abc")] and list(recognize.chunks_of("", 6, 2)) == [(0, "")]
+    said = spark.createDataFrame([(1, "Ann met Bob in Rome, Rome!"), (2, None), (3, "x" * 40 + " Ann")], "message_id int, text string")
+    names = {"Ann": "PERSON", "Bob": "DATE", "Rome": "GPE"}
+    found = recognize.recognised(said, lambda: recognize.gazetteer(names), size=12, stride=6)
+    got = sorted((r.message_id, r.kind, r.start, r.end, r.surface) for r in found.collect())
+    assert got == [(1, "LOCATION", 15, 19, "Rome"), (1, "LOCATION", 21, 25, "Rome"), (1, "PERSON", 0, 3, "Ann"), (3, "PERSON", 41, 44, "Ann")]
+    terms = spark.createDataFrame([("k", 1, "k", 0, 3), ("k", 1, "k", 8, 11)], "term_key string, message_id int, surface string, start int, end int")
+    taken = spark.createDataFrame([(1, "NER:X", 0, 3), (1, "EMAIL", 10, 20)], "message_id int, detector string, start int, end int")
+    assert [r.start for r in lexicon.without_overlaps(terms, taken).collect()] == [0]
+
+
+def test_lexicon_leaves_code_alone(spark):
+    said = spark.createDataFrame([(1, 1, "user", "NASA says\n```\nESA code\n```\nJAXA")], "message_id int, conversation_id int, role string, text string")
+    found = lexicon.occurrences(markup.with_exclusions(said)).where("generator = 'ALLCAPS'")
+    assert sorted(r.surface for r in found.collect()) == ["JAXA", "NASA"]
+
+
+def test_spans_contexts_and_salience_of_entities(spark):
+    mentions = spark.createDataFrame([(1, "e2", "EMAIL", 0, 5, 0.9), (1, "e1", "EMAIL", 3, 8, 0.9), (1, "e0", "FILEPATH", 0, 9, 1.0), (2, "e3", "URL", 0, 4, 0.9)], "message_id int, entity_id string, detector string, start int, end int, confidence double")
+    spans = spark.createDataFrame([(1, 0, 3), (1, 4, 6), (1, 8, 9), (2, 4, 9), (3, 0, 1)], "message_id int, start int, end int")
+    got = {(r.message_id, r.start): (r.entity_id, r.tier) for r in entities.at_spans(spans, mentions).collect()}
+    assert got == {(1, 0): ("e2", 1), (1, 4): ("e1", 1), (1, 8): ("e0", 2), (2, 4): (None, None), (3, 0): (None, None)}
+    said = spark.createDataFrame([(i, 1, i) for i in range(1, 5)] + [(9, 2, 3)], "message_id int, conversation_id int, order_index int")
+    near = entities.context_mentions(said, mentions.select("message_id", "entity_id"), 2)
+    assert sorted((r.message_id, r.entity_id) for r in near.collect()) == [(2, "e0"), (2, "e1"), (2, "e2"), (3, "e0"), (3, "e1"), (3, "e2"), (3, "e3"), (4, "e3")]
+    known = spark.createDataFrame([("a", 4.0), ("b", None)], "entity_id string, salience double")
+    facts = spark.createDataFrame([("a",), ("b",), ("c",)], "subject_id string")
+    assert {r.subject_id: r.salience_factor for r in entities.with_salience(facts, known).collect()} == {"a": 1.1, "b": 1.0, "c": 1.0}
+    assert entities.greatest_salience(known.where("false")).collect()[0].most == 1.0
+
+
+def test_corrections_and_full_retractions(spark):
+    facts = spark.createDataFrame([(1, "active"), (2, "active"), (3, "retracted"), (4, "ineligible"), (5, "active")], "assertion_id int, status string")
+    named = spark.createDataFrame([(1, 5), (1, 2), (2, 99), (3, 5), (4, 5)], "assertion_id int, replacement int")
+    got = {r.assertion_id: (r.status, r.corrected_by) for r in temporal.apply_corrections(facts, named).collect()}
+    assert got == {1: ("superseded", 2), 2: ("active", None), 3: ("retracted", None), 4: ("superseded", 5), 5: ("active", None)}
+    targets = spark.createDataFrame([("full", 1), ("full", 1), ("correction", 2), ("full", None)], "kind string, target_id int")
+    got = {r.assertion_id: r.supersession for r in assertions.supersede_retracted(facts, targets).collect()}
+    assert got == {1: "retraction", 2: None, 3: None, 4: None, 5: None}
+
+
+def test_evidence_cap_and_graph_reads(spark):
+    facts = spark.sql("SELECT id AS assertion_id, 1 AS subject_id, 'V' AS object_signature, timestamp'2024-03-05' AS valid_from, timestamp'2024-03-06' AS asserted_at FROM range(5)")
+    got = sorted((r.assertion_id, r.evidence_rank, r.total, r.capped) for r in profile.evidence(facts, ProfileConfig(evidence_cap=3)).collect())
+    assert got == [(0, 0, 5, True), (1, 1, 5, True), (2, 2, 5, True)]
+    assert graph.evidence_edges(profile.evidence(facts)).count() == 5
+    nodes = spark.createDataFrame([("n1", "Value", '{"a":1}'), ("n2", "Value", None)], "node_id string, node_type string, metadata_json string")
+    edges = spark.createDataFrame([("n1", "p9", "HAS_PROFILE", "{}"), ("n2", "p3", "HAS_PROFILE", None)], "src_id string, dst_id string, edge_type string, metadata_json string")
+    assert [r.node_id for r in views.profile_id(nodes, edges).collect()] == ["p3"]
+    assert [r.metadata for r in views.node(nodes, "n1").collect()] == [{"a": "1"}] and [r.metadata for r in views.node(nodes, "n2").collect()] == [{}]
+    assert [r.dst_id for r in views.edges_from(edges, "n2", "HAS_PROFILE").collect()] == ["p3"]
+    ends = spark.createDataFrame([(1, 2, 3, 4)], "assertion_id int, superseded_by int, negated_by int, retracted_by int")
+    kinds = sorted(r.edge_type for r in graph.lifecycle_edges(ends, inverse=True).collect())
+    assert kinds == ["NEGATED_BY", "NEGATES", "RETRACTED_BY", "RETRACTS", "SUPERSEDES"]
+    assert sorted(r.edge_type for r in graph.lifecycle_edges(ends).collect()) == ["NEGATED_BY", "RETRACTED_BY", "SUPERSEDES"]
