@@ -30,7 +30,7 @@ empty table gives an empty table.
 from __future__ import annotations
 
 import re
-from itertools import chain
+from itertools import islice
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -40,6 +40,7 @@ from factloom.llm.shared import bounded_batches, give_back
 
 SHIFT = 10.0
 BATCH_CHARS = 600_000
+HELD_NODES = 1_000_000
 BLANK = "▁"
 _UNIT = re.compile(r" +[^ \n]*|[^ \n]+|\n")
 _DENSE = 256
@@ -139,8 +140,8 @@ def load_pieces(path: str, alpha: float = 0.5) -> Pieces:
     return _MODELS[path, alpha]
 
 
-class Lattice:
-    """The lattices of some distinct units, with backward sums."""
+class _Part:
+    """The lattices of some units, numbered from 0."""
 
     def __init__(self, pieces: Pieces, units: list[str]):
         lengths = np.fromiter(map(len, units), np.int64, len(units))
@@ -226,6 +227,73 @@ class Lattice:
             self.top_q[has] = self.q[self.top[has]]
             self.top_from[has] = np.where(self.top[has] > begins, cum[np.maximum(self.top[has] - 1, 0)], 0.0)
 
+
+class _Grown:
+    """An array that values are put behind, its room doubled when it is full."""
+
+    __slots__ = ("data", "size")
+
+    def __init__(self, dtype: np.dtype):
+        self.data, self.size = np.empty(0, dtype), 0
+
+    def put(self, values: np.ndarray) -> np.ndarray:
+        """All values, the new ones last."""
+        end = self.size + len(values)
+        if end > len(self.data):
+            wider = np.empty(max(end, 2 * len(self.data)), self.data.dtype)
+            wider[: self.size] = self.data[: self.size]
+            self.data = wider
+        self.data[self.size : end] = values
+        self.size = end
+        return self.data[:end]
+
+
+class _Numbers(dict):
+    """Units by the order in which they were first asked for."""
+
+    def __missing__(self, unit: str) -> int:
+        self[unit] = number = len(self)
+        return number
+
+
+class Lattice:
+    """The lattices of distinct units, with backward sums; units once met stay for later batches."""
+
+    _COLUMNS = ("start", "piece", "logp", "dst", "first", "beta", "q", "key", "final", "top", "top_q", "top_from")
+
+    def __init__(self, pieces: Pieces):
+        self.pieces = pieces
+        self._held: dict[str, _Grown] = {}
+        self.clear()
+
+    def clear(self) -> None:
+        """Forgets all units; the room they took is used again."""
+        self.numbers = _Numbers()
+        self.units = self.nodes = self.edges = 0
+        for column in self._held.values():
+            column.size = 0
+
+    def numbered(self, rows: list[list[str]]) -> list[np.ndarray]:
+        """The numbers of each row's units; those not met before get their lattices."""
+        number_of = self.numbers.__getitem__
+        found = [np.fromiter(map(number_of, row), np.int64, len(row)) for row in rows]
+        if self.units < len(self.numbers) or not self._held:
+            self._add(list(islice(self.numbers, self.units, None)))
+        return found
+
+    def _add(self, units: list[str]) -> None:
+        part = _Part(self.pieces, units)
+        part.start += self.nodes
+        part.first += self.edges
+        part.dst += self.nodes
+        part.key += self.nodes
+        part.top += self.edges
+        for name in self._COLUMNS:
+            values = getattr(part, name)
+            column = self._held.setdefault(name, _Grown(values.dtype))
+            setattr(self, name, column.put(values[1:] if name == "first" and column.size else values))
+        self.units, self.nodes, self.edges = len(self.start), len(self.beta), len(self.q)
+
     def sample(self, unit: np.ndarray, seeds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Each unit's path by ancestral sampling: edges one unit after another, where each unit's begin, its log-probability."""
         node = self.start[unit]
@@ -293,14 +361,15 @@ def _bounds(before: np.ndarray, logp: np.ndarray, top: np.ndarray | float, seeds
         return np.where(np.isneginf(phi), -np.inf, phi - np.log(np.exp(np.minimum(phi - top, 700.0)) - np.log(_uniform(_seeds(seeds, 1 << 20)))))
 
 
-def sample_rows(pieces: Pieces, texts: list[str], keys: np.ndarray, k: int) -> list[list[tuple[np.ndarray, float, float, float]]]:
-    """For each text (blanks for U+2581): up to k of (ids, log-probability, perturbed value, log inclusion probability), best first."""
+def sample_rows(pieces: Pieces, texts: list[str], keys: np.ndarray, k: int, lattice: Lattice | None = None) -> list[list[tuple[np.ndarray, float, float, float]]]:
+    """For each text (blanks for U+2581): up to k of (ids, log-probability, perturbed value, log inclusion probability), best first.
+
+    A lattice given holds the units of batches before, and this one's afterwards.
+    """
     units = [_UNIT.findall(" " + t) if t else [] for t in texts]
-    kinds = dict.fromkeys(chain.from_iterable(units))
-    number_of = dict(zip(kinds, range(len(kinds)), strict=True)).__getitem__
-    per_row = [np.array(list(map(number_of, row)), np.int64) for row in units]
+    lattice = Lattice(pieces) if lattice is None else lattice
+    per_row = lattice.numbered(units)
     del units
-    lattice = Lattice(pieces, list(kinds))
     base = _seeds(np.asarray(keys).astype(np.int64).view(np.uint64), 0)
     tops = -np.log(-np.log(_uniform(_seeds(base, 1 << 21))))
     found: list[list[_Path]] = [[] for _ in texts]
@@ -398,6 +467,7 @@ def sample_encode(docs: DataFrame, model_path: str, k: int = 2, alpha: float = 0
         import pyarrow as pa
 
         pieces = load_pieces(model_path, alpha)
+        lattice = Lattice(pieces)
         for batch in batches:
             doc_ids, keys, texts = batch.column("doc_id"), batch.column("key").to_numpy(), batch.column("text")
             start = 0
@@ -407,7 +477,9 @@ def sample_encode(docs: DataFrame, model_path: str, k: int = 2, alpha: float = 0
                     some.append(texts[start + len(some)].as_py())
                     held += len(some[-1])
                 plain = [t.replace(BLANK, " ") for t in some]
-                rows = sample_rows(pieces, plain, keys[start : start + len(some)], k)
+                if lattice.nodes > HELD_NODES:  # most words recur: their lattices are kept while there is room
+                    lattice.clear()
+                rows = sample_rows(pieces, plain, keys[start : start + len(some)], k, lattice)
                 flat = [(start + i, n, *x, decode_ids(pieces, x[0]) == some[i]) for i, row in enumerate(rows) for n, x in enumerate(row, 1)]
                 start += len(some)
                 offsets = np.concatenate([[0], np.cumsum([len(x[2]) for x in flat])]).astype(np.int32)
@@ -415,7 +487,7 @@ def sample_encode(docs: DataFrame, model_path: str, k: int = 2, alpha: float = 0
                 columns = [doc_ids.take(pa.array([x[0] for x in flat], pa.int64())), pa.array([x[1] for x in flat], pa.int32()), pa.array(np.diff(offsets), pa.int32()), *[pa.array([x[c] for x in flat], pa.float64()) for c in (3, 4, 5)], ids, pa.array([x[6] for x in flat], pa.bool_())]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "sample", "n_pieces", "log_prob", "perturbed", "log_inclusion", "ids", "decoded_ok"])
         _MODELS.clear()  # idle workers are kept for other stages: they need not keep the trie
-        del pieces
+        del pieces, lattice
         give_back()
 
     return kept.mapInArrow(run, f"doc_id {id_type}, sample int, n_pieces int, log_prob double, perturbed double, log_inclusion double, ids array<int>, decoded_ok boolean")

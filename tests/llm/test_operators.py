@@ -446,6 +446,20 @@ def pieces():
     return piece_sampling.load_pieces(shared.tokenizer_file("piece_bpe_32k.model"))
 
 
+def test_a_kept_lattice_changes_no_sample(pieces):
+    texts = [["so much depends", "", "upon"], [], [""], ["upon a red  wheel\nbarrow", "é😀 depends"], ["so much", "wheel wheel"]]
+    kept = piece_sampling.Lattice(pieces)
+    for some in texts:
+        keys = np.arange(len(some))
+        alone, beside = piece_sampling.sample_rows(pieces, some, keys, 3), piece_sampling.sample_rows(pieces, some, keys, 3, kept)
+        assert [[x[0].tolist() for x in row] for row in alone] == [[x[0].tolist() for x in row] for row in beside]
+        assert np.allclose([x[1:] for row in alone for x in row], [x[1:] for row in beside for x in row])
+    assert len(kept.numbers) == len(kept.start) and len(kept.first) == kept.nodes + 1
+    kept.clear()
+    again = piece_sampling.sample_rows(pieces, texts[3], np.arange(2), 3, kept)
+    assert [[x[0].tolist() for x in row] for row in again] == [[x[0].tolist() for x in row] for row in piece_sampling.sample_rows(pieces, texts[3], np.arange(2), 3)]
+
+
 def test_samples_follow_the_lattice_without_replacement(pieces):
     by_bytes = {b: i for i, b in enumerate(pieces.bytes_of) if b and i > 258}
 
