@@ -44,23 +44,46 @@ HELD_NODES = 1_000_000
 BLANK = "▁"
 _UNIT = re.compile(r" +[^ \n]*|[^ \n]+|\n")
 _DENSE = 256
+_WORD = (1 << 64) - 1
 _MODELS: dict[tuple[str, float], "Pieces"] = {}
 
 
 def _mix(z: np.ndarray) -> np.ndarray:
-    """splitmix64's finaliser over uint64."""
-    z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return z ^ (z >> np.uint64(31))
+    """splitmix64's finaliser over uint64, in z's own place."""
+    z ^= z >> np.uint64(30)
+    z *= np.uint64(0xBF58476D1CE4E5B9)
+    z ^= z >> np.uint64(27)
+    z *= np.uint64(0x94D049BB133111EB)
+    z ^= z >> np.uint64(31)
+    return z
 
 
 def _seeds(base: np.ndarray, number: np.ndarray | int) -> np.ndarray:
     with np.errstate(over="ignore"):
-        return _mix(np.asarray(base, np.uint64) + np.asarray(number).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(0x632BE59BD9B4E019))
+        step = np.asarray(number).astype(np.uint64)
+        step *= np.uint64(0x9E3779B97F4A7C15)
+        step += np.uint64(0x632BE59BD9B4E019)
+        return _mix(np.asarray(base, np.uint64) + step)
 
 
 def _uniform(z: np.ndarray) -> np.ndarray:
-    return ((z >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53
+    u = (z >> np.uint64(11)).astype(np.float64)
+    u += 0.5
+    u *= 2.0**-53
+    return u
+
+
+def _seed(base: int, number: int) -> int:
+    """_seeds() of one."""
+    z = (base + number * 0x9E3779B97F4A7C15 + 0x632BE59BD9B4E019) & _WORD
+    z = ((z ^ (z >> 30)) * 0xBF58476D1CE4E5B9) & _WORD
+    z = ((z ^ (z >> 27)) * 0x94D049BB133111EB) & _WORD
+    return z ^ (z >> 31)
+
+
+def _uniform_of(z: int) -> float:
+    """_uniform() of one."""
+    return ((z >> 11) + 0.5) * 2.0**-53
 
 
 class Pieces:
@@ -229,7 +252,7 @@ class _Part:
 
 
 class _Grown:
-    """An array that values are put behind, its room doubled when it is full."""
+    """An array that values are put behind, its room widened by a quarter when it is full."""
 
     __slots__ = ("data", "size")
 
@@ -240,7 +263,7 @@ class _Grown:
         """All values, the new ones last."""
         end = self.size + len(values)
         if end > len(self.data):
-            wider = np.empty(max(end, 2 * len(self.data)), self.data.dtype)
+            wider = np.empty(max(end, len(self.data) * 5 // 4), self.data.dtype)
             wider[: self.size] = self.data[: self.size]
             self.data = wider
         self.data[self.size : end] = values
@@ -321,7 +344,7 @@ class Lattice:
         total = np.concatenate([[0.0], np.cumsum(np.log(np.maximum(self.q[edges], 1e-300)))])
         return edges, offset, np.minimum(total[offset[1:]] - total[offset[:-1]], 0.0)
 
-    def sample_other(self, unit: int, taken: list[tuple[list[int], float]], seed: np.ndarray) -> tuple[list[int], float]:
+    def sample_other(self, unit: int, taken: list[tuple[list[int], float]], seed: int) -> tuple[list[int], float]:
         """A path that is none of the taken ones (each with its probability), and its log-probability."""
         node, reach, path, logq = int(self.start[unit]), 1.0, [], 0.0
         while not self.final[node]:
@@ -332,7 +355,7 @@ class Lattice:
                 mass[other[len(path)] - lo] -= p
             mass = np.maximum(mass, 0.0)
             total = mass.sum()
-            u = float(_uniform(_seeds(seed, len(path))))
+            u = _uniform_of(_seed(seed, len(path)))
             pick = int(np.argmax(q)) if total <= 0 else min(int(np.searchsorted(np.cumsum(mass), u * total, side="right")), hi - lo - 1)
             taken = [(other, p) for other, p in taken if other[len(path)] == lo + pick]
             reach *= float(q[pick])
@@ -412,13 +435,13 @@ def sample_rows(pieces: Pieces, texts: list[str], keys: np.ndarray, k: int, latt
                 continue
             i = int(best.bound.argmax())
             taken = best.left_out.setdefault(i, [(best.edges[best.offset[i] : best.offset[i + 1]].tolist(), float(np.exp(best.logp[i])))])
-            seed = _seeds(_seeds(base[r], number), (1 << 22) + i)
+            seed = _seed(_seed(int(base[r]), number), (1 << 22) + i)
             own, lq = lattice.sample_other(int(per_row[r][i]), taken, seed)
             taken.append((own, float(np.exp(lq))))
             gone = sum(p for _, p in taken)
             left = np.log1p(-gone) if gone < 1 - 1e-12 else -np.inf
             phi = float(best.logp[:i].sum() + left)
-            best.bound[i] = -np.inf if phi == -np.inf else phi - np.log(np.exp(min(phi - value, 700.0)) - np.log(float(_uniform(_seeds(seed, 1 << 20)))))
+            best.bound[i] = -np.inf if phi == -np.inf else phi - np.log(np.exp(min(phi - value, 700.0)) - np.log(_uniform_of(_seed(seed, 1 << 20))))
             jobs.append((r, i + 1, value, best, own, lq))
         draw(jobs, number)
     out = []
