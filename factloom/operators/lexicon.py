@@ -32,6 +32,8 @@ DENYLIST = (
     "google apple amazon microsoft facebook twitter"
 ).split()
 
+FEW_FORMS = 1 << 17  # terms' spellings that may be broadcast (about 16 MB)
+
 
 def role_weight(role: Column, config: LexiconConfig) -> Column:
     """Weight of a speaker's words."""
@@ -99,12 +101,14 @@ def matches(messages: DataFrame, terms: DataFrame) -> DataFrame:
 
     Texts and terms meet by the term's first word, so that only terms that can
     occur are looked for; longer terms win, matches do not overlap, both ends are
-    word ends, case does not matter.
+    word ends, case does not matter. Terms are broadcast if they have been counted
+    and found few; words of texts never are, however little a plan takes them for.
     """
     words = messages.where(F.col("text").isNotNull()).select("message_id", "text", F.explode(F.array_distinct(F.split(F.lower("text"), r"[^\p{L}\p{N}]+"))).alias("word")).where("word <> ''")
     forms = terms.select("term_key", F.explode(F.array_union(F.array("canonical"), "aliases")).alias("form")).select("term_key", F.lower("form").alias("form")).distinct()
-    forms = forms.withColumn("word", F.regexp_extract("form", r"([\p{L}\p{N}]+)", 1)).where("word <> ''")
-    met = words.join(forms, "word").groupBy("message_id").agg(F.first("text").alias("text"), F.collect_set(F.struct("form", "term_key")).alias("forms"))
+    forms = forms.withColumn("word", F.regexp_extract("form", r"([\p{L}\p{N}]+)", 1)).where("word <> ''").persist()
+    near = words.join(F.broadcast(forms), "word") if forms.count() <= FEW_FORMS else words.hint("merge").join(forms, "word")
+    met = near.groupBy("message_id").agg(F.first("text").alias("text"), F.collect_set(F.struct("form", "term_key")).alias("forms"))
 
     @F.pandas_udf("array<struct<term_key:string,start:int,end:int,surface:string>>")
     def scan(texts: pd.Series, forms_: pd.Series) -> pd.Series:
@@ -126,5 +130,5 @@ def matches(messages: DataFrame, terms: DataFrame) -> DataFrame:
 
 def without_overlaps(found: DataFrame, mentions: DataFrame) -> DataFrame:
     """Matches that meet no mention (message_id, detector, start, end) of their message but those of recognisers."""
-    spans = mentions.where(~F.col("detector").startswith("NER:")).groupBy("message_id").agg(F.collect_list(F.struct("start", "end")).alias("_taken"))
+    spans = mentions.where(~F.col("detector").startswith("NER:")).groupBy("message_id").agg(F.collect_list(F.struct("start", "end")).alias("_taken")).hint("merge")
     return found.join(spans, "message_id", "left").where(~overlaps(F.col("start"), F.col("end"), F.col("_taken"))).select(*found.columns)

@@ -392,3 +392,23 @@ def test_evidence_cap_and_graph_reads(spark):
     kinds = sorted(r.edge_type for r in graph.lifecycle_edges(ends, inverse=True).collect())
     assert kinds == ["NEGATED_BY", "NEGATES", "RETRACTED_BY", "RETRACTS", "SUPERSEDES"]
     assert sorted(r.edge_type for r in graph.lifecycle_edges(ends).collect()) == ["NEGATED_BY", "RETRACTED_BY", "SUPERSEDES"]
+
+
+def built_from_messages(rows):
+    """Lines of the first plan that broadcast anything but terms."""
+    plan = rows._jdf.queryExecution().sparkPlan().toString()
+    return [line for line in plan.splitlines() if "BroadcastHashJoin" in line and "BuildLeft" in line or "LeftOuter, BuildRight" in line]
+
+
+def test_words_of_texts_are_never_broadcast(spark):
+    said = spark.range(100).selectExpr("id AS message_id", "'tea for Acme group no ' || id AS text")
+    terms = spark.createDataFrame([("acme", "Acme", ["Acme Group"]), ("tea", "tea", [])], "term_key string, canonical string, aliases array<string>")
+    found = lexicon.matches(said, terms)
+    assert built_from_messages(found) == [] and found.count() == 200
+
+
+def test_mentions_are_never_broadcast(spark):
+    found = spark.range(10).selectExpr("id AS message_id", "'k' AS term_key", "0 AS start", "3 AS end", "'tea' AS surface")
+    taken = spark.range(5).selectExpr("id AS message_id", "'URL' AS detector", "2 AS start", "9 AS end")
+    left = lexicon.without_overlaps(found, taken)
+    assert built_from_messages(left) == [] and left.count() == 5
