@@ -412,3 +412,11 @@ def test_mentions_are_never_broadcast(spark):
     taken = spark.range(5).selectExpr("id AS message_id", "'URL' AS detector", "2 AS start", "9 AS end")
     left = lexicon.without_overlaps(found, taken)
     assert built_from_messages(left) == [] and left.count() == 5
+
+
+def test_many_terms_meet_words_without_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(lexicon, "FEW_FORMS", 1)
+    terms = spark.createDataFrame([("acme", "Acme", ["Acme Group"]), ("tea", "tea", [])], "term_key string, canonical string, aliases array<string>")
+    found = lexicon.matches(messages(spark, "tea at ACME Group", "steam", None), terms)
+    assert "BroadcastHashJoin" not in found._jdf.queryExecution().sparkPlan().toString()
+    assert sorted((r.message_id, r.term_key, r.start, r.end) for r in found.collect()) == [(0, "acme", 7, 17), (0, "tea", 0, 3)]
