@@ -45,9 +45,9 @@ def alignment(start: Column, end: Column, other_start: Column, other_end: Column
     return F.when(gap <= proximity, 1.0 / (1.0 + gap)).otherwise(0.0)
 
 
-def window_salience(share: Column, recency: Column, confidence: Column) -> Column:
-    """Salience of a member within a window."""
-    return 0.4 * share + 0.2 * recency + 0.4 * confidence
+def window_salience(mentions: Column, total: Column, recency: Column, confidence: Column) -> Column:
+    """Salience of a member within a window: its share of the mentions, weighed before it is divided, and the others."""
+    return 4 * mentions / 10 / total + 0.2 * recency + 0.4 * confidence
 
 
 def evergreen(base: Column, windows: Column, member_windows: Column, strength: float = 0.3) -> Column:

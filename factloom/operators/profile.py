@@ -44,13 +44,21 @@ def overlapping(facts: DataFrame, found: DataFrame) -> DataFrame:
 
 
 def members(facts: DataFrame, found: DataFrame, config: ProfileConfig = ProfileConfig()) -> DataFrame:
-    """subject_id, window_start, member, mentions, salience of what facts are about in each window."""
+    """subject_id, window_start, member, mentions, salience of what facts are about in each window.
+
+    Confidences are added up in the order of assertions, so that sums, and with
+    them the ranks of members nearly as salient as each other, are the same
+    wherever rows lie.
+    """
     at = F.coalesce("valid_from", "asserted_at")
-    rows = facts.where(at.isNotNull()).select("subject_id", window_start(config.granularity, at).alias("window_start"), F.col("object_signature").alias("member"), at.alias("at"), "confidence")
+    rows = facts.where(at.isNotNull()).select("subject_id", window_start(config.granularity, at).alias("window_start"), F.col("object_signature").alias("member"), at.alias("at"), "confidence", "assertion_id")
     placed = rows.join(found.select("subject_id", "window_start", "window_end", F.col("facts").alias("total")), ["subject_id", "window_start"])
     days = F.greatest(F.lit(0), F.timestamp_diff("DAY", F.col("at"), F.col("window_end")))
-    per = placed.groupBy("subject_id", "window_start", "member").agg(F.count(F.lit(1)).alias("mentions"), F.max(1 / (1 + config.decay * days)).alias("recency"), F.avg("confidence").alias("confidence"), F.first("total").alias("total"))
-    base = window_salience(F.col("mentions") / F.col("total"), F.col("recency"), F.col("confidence"))
+    own = Window.partitionBy("subject_id", "window_start", "member").orderBy("assertion_id", "confidence").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    running = placed.select("*", (1 / (1 + config.decay * days)).alias("recent"), F.sum("confidence").over(own).alias("sum"), F.count("confidence").over(own).alias("sure"), F.count(F.lit(1)).over(own).alias("mentions"))
+    last = F.max_by(F.struct("mentions", (F.col("sum") / F.col("sure")).alias("confidence"), "total"), "mentions")
+    per = running.groupBy("subject_id", "window_start", "member").agg(F.max("recent").alias("recency"), last.alias("last")).select("subject_id", "window_start", "member", "recency", "last.*")
+    base = window_salience(F.col("mentions"), F.col("total"), F.col("recency"), F.col("confidence"))
     spread = per.groupBy("subject_id", "member").agg(F.count(F.lit(1)).alias("member_windows"))
     all_windows = found.groupBy("subject_id").agg(F.count(F.lit(1)).alias("windows"))
     joined = per.withColumn("base", base).join(spread, ["subject_id", "member"]).join(all_windows, "subject_id")

@@ -420,3 +420,16 @@ def test_many_terms_meet_words_without_broadcast(spark, monkeypatch):
     found = lexicon.matches(messages(spark, "tea at ACME Group", "steam", None), terms)
     assert "BroadcastHashJoin" not in found._jdf.queryExecution().sparkPlan().toString()
     assert sorted((r.message_id, r.term_key, r.start, r.end) for r in found.collect()) == [(0, "acme", 7, 17), (0, "tea", 0, 3)]
+
+
+def test_salience_adds_up_in_the_order_of_assertions(spark):
+    assert len({(0.61 + 0.72) + 0.6, (0.61 + 0.6) + 0.72, (0.72 + 0.6) + 0.61}) > 1
+    at = dt.datetime(2024, 3, 5)
+    schema = "assertion_id long, subject_id long, object_signature string, valid_from timestamp, asserted_at timestamp, confidence double"
+    for order in ((0.61, 0.72, 0.6), (0.72, 0.6, 0.61), (0.6, 0.61, 0.72)):
+        facts = spark.createDataFrame([(i, 1, "V", at, at, c) for i, c in enumerate(order)][::-1], schema).repartition(3, "assertion_id")
+        (r,) = profile.members(facts, profile.windows(facts)).collect()
+        assert r.mentions == 3 and r.salience == 1.2 / 3 + 0.2 * (1 / (1 + 0.1 * 27)) + 0.4 * (((order[0] + order[1]) + order[2]) / 3)
+    unsure = spark.createDataFrame([(1, 1, "V", at, at, None), (2, 1, "V", at, at, 0.5), (3, 2, "V", at, at, None)], schema)
+    got = {r.subject_id: r.salience for r in profile.members(unsure, profile.windows(unsure)).collect()}
+    assert got[1] == 0.4 + 0.2 * (1 / (1 + 0.1 * 27)) + 0.2 and got[2] is None
