@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from factloom.config import GRAPH_NAMESPACE
 from factloom.functions.ids import entity_id
+from factloom.functions.times import iso_ms
 
 EMPTY = "struct<schema_version:string>"
 
@@ -44,9 +45,13 @@ def without_dangling(all_edges: DataFrame, all_nodes: DataFrame) -> DataFrame:
 
 
 def interval_key(start: Column, end: Column) -> Column:
-    """Source of a time interval's node."""
-    iso = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
-    return F.concat_ws("|", F.coalesce(F.date_format(start, iso), F.lit("-")), F.coalesce(F.date_format(end, iso), F.lit("-")))
+    """Source of a time interval's node: moments to the millisecond, or to the microsecond where they are no whole milliseconds."""
+
+    def moment(at: Column) -> Column:
+        whole = F.unix_micros(at) % 1000 == 0
+        return F.when(whole, iso_ms(at)).otherwise(F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"))
+
+    return F.concat_ws("|", *[F.coalesce(moment(at.cast("timestamp")), F.lit("-")) for at in (start, end)])
 
 
 def interval_label(start: Column, end: Column) -> Column:

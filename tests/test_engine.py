@@ -433,3 +433,17 @@ def test_salience_adds_up_in_the_order_of_assertions(spark):
     unsure = spark.createDataFrame([(1, 1, "V", at, at, None), (2, 1, "V", at, at, 0.5), (3, 2, "V", at, at, None)], schema)
     got = {r.subject_id: r.salience for r in profile.members(unsure, profile.windows(unsure)).collect()}
     assert got[1] == 0.4 + 0.2 * (1 / (1 + 0.1 * 27)) + 0.2 and got[2] is None
+
+
+def test_intervals_within_a_millisecond_are_told_apart(spark):
+    rows = spark.sql("SELECT id AS assertion_id, 1 AS subject_id, 'p' AS predicate, 'V' AS object_signature, 0.5D AS confidence, 'active' AS status, timestamp_micros(1700000000123000 + id * 400) AS valid_from, CAST(NULL AS TIMESTAMP) AS valid_to FROM range(3)")
+    assert graph.fact_nodes(rows).where("node_type = 'TimeInterval'").count() == 3
+
+
+def test_ends_of_facts_meet_intervals_within_a_millisecond(spark):
+    rows = spark.sql("SELECT id AS assertion_id, 1 AS subject_id, 'p' AS predicate, 'V' AS object_signature, 0.5D AS confidence, 'active' AS status, timestamp_micros(1700000000123000 + id * 400) AS valid_from, CAST(NULL AS TIMESTAMP) AS valid_to FROM range(3)")
+    kept = graph.without_dangling(graph.fact_edges(rows), graph.fact_nodes(rows)).where("edge_type = 'VALID_IN'")
+    assert kept.select("dst_id").distinct().count() == kept.count() == 3
+    # moments of whole milliseconds keep the ids they have in milliseconds
+    whole = rows.where("assertion_id = 0").select(graph.interval_key(F.col("valid_from"), F.col("valid_to"))).first()[0]
+    assert whole == "2023-11-14T22:13:20.123Z|-"
