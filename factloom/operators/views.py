@@ -50,14 +50,14 @@ def profile_walk(nodes: DataFrame, edges: DataFrame, start: DataFrame | None = N
     return top.join(labels.select(F.col("node_id").alias("member_id"), F.substring("label", 1, 50).alias("member")), "member_id").select("window_index", "window", "category", "member", "rank", "salience")
 
 
-def entities_between(entities: DataFrame, begin: Column | None = None, end: Column | None = None, most: int = 10_000) -> DataFrame:
-    """The first entities by first_seen (ties by id) within [begin, end); without a span, of all time."""
+def entities_between(entities: DataFrame, begin: Column | None = None, end: Column | None = None, most: int | None = None) -> DataFrame:
+    """Entities first seen within [begin, end); without a span, of all time. All of them, or where ``most`` is given the first by first_seen (ties by id)."""
     kept = entities
     if begin is not None:
         kept = kept.where(F.col("first_seen") >= begin)
     if end is not None:
         kept = kept.where(F.col("first_seen") < end)
-    return kept.orderBy("first_seen", "entity_id").limit(most)
+    return kept if most is None else kept.orderBy("first_seen", "entity_id").limit(most)
 
 
 def active_links(facts: DataFrame, min_confidence: float = 0.3) -> DataFrame:

@@ -447,3 +447,9 @@ def test_ends_of_facts_meet_intervals_within_a_millisecond(spark):
     # moments of whole milliseconds keep the ids they have in milliseconds
     whole = rows.where("assertion_id = 0").select(graph.interval_key(F.col("valid_from"), F.col("valid_to"))).first()[0]
     assert whole == "2023-11-14T22:13:20.123Z|-"
+
+
+def test_entities_of_a_span_are_all_read(spark):
+    found = spark.range(10_050).selectExpr("CAST(id AS STRING) AS entity_id", "timestamp_seconds(id) AS first_seen")
+    assert views.entities_between(found).count() == 10_050
+    assert [r.entity_id for r in views.entities_between(found, F.timestamp_seconds(F.lit(5)), F.timestamp_seconds(F.lit(20)), most=2).orderBy("first_seen").collect()] == ["5", "6"]
