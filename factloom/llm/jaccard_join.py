@@ -248,23 +248,28 @@ def class_links(plain: DataFrame, classes: DataFrame, cuts: Cuts, percent: int,
     nearest = apart.groupBy("b").agg(F.min(F.struct("excess", "a")).alias("nearest"))
     links = cuts.add(links.union(apart.join(nearest, "b").where("excess + nearest.excess <= 0 and a <> nearest.a").select("a", F.col("nearest.a").alias("b"))))
 
-    # before pairs are looked for, the members of each list meet one of it, another in each round, as long as that joins components
-    for turn in range(ROUNDS):
-        beyond = cuts.add(_difference_lists(apart, percent))
+    # before pairs are looked for, the members of each list meet one of it, another in each round, as long as that joins
+    # components; the differences are listed once, later rounds go on with the lists that still hold several components
+    beyond = cuts.add(_difference_lists(apart, percent))
+    cuts.drop(apart)
+    for turn in range(ROUNDS + 1):
         order = F.xxhash64(F.lit(turn), "a") if turn else F.col("size").cast("long")
         torn = beyond.groupBy("b", "token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.max("nearer").alias("any"), F.min(F.struct(order, "a", "component", "n", "excess", "left")).alias("one"))
-        lists = beyond.join(torn.where("lo <> hi and any").select("b", "token", "one"), ["b", "token"])
+        lists = cuts.add(beyond.join(torn.where("lo <> hi and any").select("b", "token", "one"), ["b", "token"]))
+        cuts.drop(beyond)
+        beyond = lists.drop("one")
+        if turn == ROUNDS:
+            break
         possible = f"component <> one.component and {2 * (100 + percent)} * least(left, one.left) >= excess + one.excess and 100 * least(n, one.n) >= {percent} * greatest(n, one.n)"
         fresh = cuts.add(verified(lists.where(possible).select("a", F.col("one.a").alias("b")).distinct(), sets, percent).where("linked").select("a", "b"))
         if not fresh.limit(1).count():
             break
-        of = apart.select("a", "component").distinct()
+        of = lists.select("a", "component").distinct()
         joined = fresh.join(of, "a").select("b", F.col("component").alias("one")).join(of.withColumnRenamed("a", "b"), "b").select("one", F.col("component").alias("two"))
         parts = connected_components(joined, "one", "two")
-        before, apart = apart, cuts.add(apart.join(parts.select("node", F.col("component").alias("whole_")), apart["component"] == F.col("node"), "left").withColumn("component", F.coalesce("whole_", "component")).drop("whole_", "node"))
-        cuts.drop(parts, before, beyond)
-        links, beyond = cuts.add(links.union(fresh)), None
-    beyond = cuts.add(_difference_lists(apart, percent)) if beyond is None else beyond
+        beyond = cuts.add(beyond.join(parts.select("node", F.col("component").alias("whole_")), beyond["component"] == F.col("node"), "left").withColumn("component", F.coalesce("whole_", "component")).drop("whole_", "node"))
+        cuts.drop(parts, lists)
+        links = cuts.add(links.union(fresh))
     far, near_ = ([F.col(c).alias(f"{c}_{x}") for c in ("a", "n", "size", "excess", "component", "left")] for x in "xy")
     met = beyond.select(F.col("b").alias("pivot"), "token", *far).join(beyond.where("nearer").select(F.col("b").alias("pivot"), "token", *near_), ["pivot", "token"])
     met = met.where("component_x <> component_y and (size_x > size_y or size_x = size_y and a_x < a_y)").where(f"100 * least(n_x, n_y) >= {percent} * greatest(n_x, n_y)")

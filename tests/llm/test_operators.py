@@ -320,6 +320,21 @@ def test_one_large_group_of_near_copies(spark):
         assert got == true_components(texts, width, percent)
 
 
+def test_differences_are_listed_once_for_all_rounds(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    base, texts, called = words(77, 60, 4000).split(), {}, []
+    for i in range(300):
+        w = list(base)
+        for at in rng.choice(60, int(rng.integers(0, 6)), replace=False):
+            w[at] = f"r{rng.integers(0, 3)}"
+        texts[i] = " ".join(w[int(rng.integers(0, 12)) :] if rng.random() < 0.3 else w)
+    listed = jaccard_join._difference_lists
+    monkeypatch.setattr(jaccard_join, "_difference_lists", lambda *a: called.append(1) or listed(*a))
+    frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.near_duplicates(frame, 3, 90).collect()}
+    assert got == true_components(texts, 3, 90) and len(called) == 1
+
+
 def test_null_ids_and_repeated_rows(spark):
     texts = copies(6, 5, 6)
     frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
