@@ -32,7 +32,8 @@ DENYLIST = (
     "google apple amazon microsoft facebook twitter"
 ).split()
 
-FEW_FORMS = 1 << 17  # terms' spellings that may be broadcast (about 16 MB)
+FEW_FORMS = 1 << 17  # terms' spellings that may be broadcast,
+FEW_BYTES = 1 << 24  # and the bytes they may hold together
 
 
 def role_weight(role: Column, config: LexiconConfig) -> Column:
@@ -102,12 +103,14 @@ def matches(messages: DataFrame, terms: DataFrame) -> DataFrame:
     Texts and terms meet by the term's first word, so that only terms that can
     occur are looked for; longer terms win, matches do not overlap, both ends are
     word ends, case does not matter. Terms are broadcast if they have been counted
-    and found few; words of texts never are, however little a plan takes them for.
+    and found few and short; words of texts never are, however little a plan takes
+    them for.
     """
     words = messages.where(F.col("text").isNotNull()).select("message_id", "text", F.explode(F.array_distinct(F.split(F.lower("text"), r"[^\p{L}\p{N}]+"))).alias("word")).where("word <> ''")
     forms = terms.select("term_key", F.explode(F.array_union(F.array("canonical"), "aliases")).alias("form")).select("term_key", F.lower("form").alias("form")).distinct()
     forms = forms.withColumn("word", F.regexp_extract("form", r"([\p{L}\p{N}]+)", 1)).where("word <> ''").persist()
-    near = words.join(F.broadcast(forms), "word") if forms.count() <= FEW_FORMS else words.hint("merge").join(forms, "word")
+    held = forms.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("form") + F.octet_length("word") + F.coalesce(F.octet_length(F.col("term_key").cast("string")), F.lit(0))).alias("bytes")).first()
+    near = words.join(F.broadcast(forms), "word") if held.n <= FEW_FORMS and (held.bytes or 0) <= FEW_BYTES else words.hint("merge").join(forms, "word")
     met = near.groupBy("message_id").agg(F.first("text").alias("text"), F.collect_set(F.struct("form", "term_key")).alias("forms"))
 
     @F.pandas_udf("array<struct<term_key:string,start:int,end:int,surface:string>>")

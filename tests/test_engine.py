@@ -422,6 +422,13 @@ def test_many_terms_meet_words_without_broadcast(spark, monkeypatch):
     assert sorted((r.message_id, r.term_key, r.start, r.end) for r in found.collect()) == [(0, "acme", 7, 17), (0, "tea", 0, 3)]
 
 
+def test_long_terms_meet_words_without_broadcast(spark):
+    terms = spark.createDataFrame([("acme", "Acme", ["Acme Group"]), ("tea", "tea", ["word " + "x" * (1 << 23), "other " + "y" * (1 << 23)])], "term_key string, canonical string, aliases array<string>")
+    found = lexicon.matches(messages(spark, "tea at ACME Group", "steam", "no other word", None), terms)
+    assert "BroadcastHashJoin" not in found._jdf.queryExecution().sparkPlan().toString()
+    assert sorted((r.message_id, r.term_key, r.start, r.end) for r in found.collect()) == [(0, "acme", 7, 17), (0, "tea", 0, 3)]
+
+
 def test_salience_adds_up_in_the_order_of_assertions(spark):
     assert len({(0.61 + 0.72) + 0.6, (0.61 + 0.6) + 0.72, (0.72 + 0.6) + 0.61}) > 1
     at = dt.datetime(2024, 3, 5)
