@@ -456,6 +456,19 @@ def test_ends_of_facts_meet_intervals_within_a_millisecond(spark):
     assert whole == "2023-11-14T22:13:20.123Z|-"
 
 
+def test_nodes_equal_their_sql_within_a_millisecond(spark, tmp_path):
+    import __spark_entry__ as e
+
+    duckdb = pytest.importorskip("duckdb")
+    at = "timestamp_ntz'2024-01-15 13:13:28.641150' + make_dt_interval(0, 0, 0, id * 0.000373)"
+    spark.sql(f"SELECT id AS event_id, {at} AS ts, id % 3 AS user_id, 'view' AS event_type, CAST(id AS DOUBLE) AS value FROM range(1, 40)").write.parquet(f"{tmp_path}/events.parquet")
+    with duckdb.connect() as db:
+        db.execute(f"CREATE VIEW events AS SELECT * FROM '{tmp_path}/events.parquet/*.parquet'")
+        want = db.execute(f"SELECT node_type, n, labels FROM ({e.oracle_sql()['gr_nodes']})").fetchall()
+    got = e.queries()["gr_nodes"](spark, str(tmp_path)).select("node_type", "n", "labels").collect()
+    assert sorted(map(tuple, got)) == sorted(want) and ("TimeInterval", 36, 2) in want
+
+
 def test_entities_of_a_span_are_all_read(spark):
     found = spark.range(10_050).selectExpr("CAST(id AS STRING) AS entity_id", "timestamp_seconds(id) AS first_seen")
     assert views.entities_between(found).count() == 10_050
